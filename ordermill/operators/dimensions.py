@@ -110,7 +110,8 @@ def unknown_geography(like: DataFrame) -> DataFrame:
         [tuple(row.get(c) for c in like.columns)], like.schema)
 
 
-def dim_customer_initial(customers: DataFrame, orders: DataFrame | None) -> DataFrame:
+def dim_customer_initial(customers: DataFrame, orders: DataFrame | None,
+                         first_valid_from: str = FIRST_VALID_FROM) -> DataFrame:
     """One open-ended row per person.
 
     With ``orders`` the address is that of the latest order, otherwise that of
@@ -128,5 +129,5 @@ def dim_customer_initial(customers: DataFrame, orders: DataFrame | None) -> Data
     one = first_per_key(people, ["customer_unique_id"], order)
     return one.select(
         "customer_unique_id", "customer_city", "customer_state", "zip_code_prefix",
-        F.lit(FIRST_VALID_FROM).cast("date").alias("valid_from"),
+        F.lit(first_valid_from).cast("date").alias("valid_from"),
         F.lit(OPEN_END).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))

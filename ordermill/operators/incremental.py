@@ -3,10 +3,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PLACED = F.col("order_purchase_timestamp")
+
+def placed() -> Column:
+    return F.col("order_purchase_timestamp")
 
 
 def extract_orders(orders: DataFrame, mark: dt.datetime,
@@ -18,10 +20,10 @@ def extract_orders(orders: DataFrame, mark: dt.datetime,
     at or below it is not seen again. ``lookback`` lowers the mark to re-read a
     tail; the key merge downstream absorbs the repetition.
     """
-    out = orders.filter(PLACED > F.lit(mark - lookback).cast("timestamp_ntz"))
+    out = orders.filter(placed() > F.lit(mark - lookback).cast("timestamp_ntz"))
     if max_ts is not None:
         bound = F.lit(max_ts).cast("timestamp_ntz")
-        out = out.filter(PLACED <= bound if inclusive else PLACED < bound)
+        out = out.filter(placed() <= bound if inclusive else placed() < bound)
     return out
 
 
@@ -44,8 +46,8 @@ def with_lineage(df: DataFrame, run_id: int, extracted_at: dt.datetime) -> DataF
 
 def batch_split(orders: DataFrame, cutoff: str) -> DataFrame:
     """Size and date range of the arrival batches around a cutoff."""
-    label = F.when(PLACED < F.lit(cutoff).cast("timestamp_ntz"), "batch 1").otherwise(
+    label = F.when(placed() < F.lit(cutoff).cast("timestamp_ntz"), "batch 1").otherwise(
         "batch 2")
     return orders.groupBy(label.alias("batch")).agg(
-        F.count("*").alias("orders"), F.to_date(F.min(PLACED)).alias("first_day"),
-        F.to_date(F.max(PLACED)).alias("last_day"))
+        F.count("*").alias("orders"), F.to_date(F.min(placed())).alias("first_day"),
+        F.to_date(F.max(placed())).alias("last_day"))

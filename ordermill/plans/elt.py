@@ -11,7 +11,7 @@ import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import dimensions as dims
@@ -22,7 +22,7 @@ from ..operators.keys import extend_keys
 from ..operators.merge import upsert_ignore, upsert_update
 from ..operators.run_log import RunLog, utc_now
 from ..operators.scd2 import change_counts, one_address_per_person, scd2_merge
-from ..schemas import CALENDAR_END, CALENDAR_START
+from ..schemas import CALENDAR_END, CALENDAR_START, FIRST_VALID_FROM
 from ..sources import layers as state
 from ..sources.layers import Layers
 
@@ -31,11 +31,14 @@ STAGING = ["staging/customers", "staging/orders", "staging/order_items"]
 WAREHOUSE = ["warehouse/dim_date", "warehouse/dim_product", "warehouse/dim_seller",
              "warehouse/dim_geography", "warehouse/dim_customer",
              "warehouse/fact_order_items"]
-MONTH = (F.year("order_purchase_timestamp") * 100
-         + F.month("order_purchase_timestamp")).alias("purchase_month")
 ORPHAN_MONTH = 0
 
 
+def purchase_month() -> Column:
+    """The month as yyyyMM: partition value of the large tables."""
+    return F.year("order_purchase_timestamp") * 100 + F.month("order_purchase_timestamp")
+
+
 @dataclass(frozen=True)
 class Settings:
     """Behaviours in which the two generations of the reference differ."""
@@ -46,6 +49,7 @@ class Settings:
     no_unknown_check: bool = False
     update_transit_dates: bool = True       # approved/carrier dates on conflict
     calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END)
+    first_valid_from: str = FIRST_VALID_FROM
 
 
 @dataclass
@@ -106,6 +110,8 @@ class Cycle:
             self._stage_orders(raw["orders"])
             self._stage_items(raw["order_items"])
         with self.log.step("quality.staging") as c:
+            if self.layers.preview(self.run_id, "staging/orders") is None:
+                raise quality.GateFailed("orders not empty: the extract produced nothing")
             frames = {n: self.layers.preview(self.run_id, f"staging/{t}")
                       for n, t in (("orders", "orders"), ("items", "order_items"),
                                    ("customers", "customers"))}
@@ -141,7 +147,7 @@ class Cycle:
         staged stays in the month it was first placed in."""
         with self.log.step("transform.orders") as c:
             rows, rejected = staging.stage_orders(raw)
-            rows = rows.withColumn("purchase_month", MONTH)
+            rows = rows.withColumn("purchase_month", purchase_month())
             old = self.layers.read("staging/orders", rows)
             known = old.join(rows.select("order_id"), "order_id", "left_semi")
             months = {r[0] for r in rows.select("purchase_month").unionByName(
@@ -257,7 +263,8 @@ class Cycle:
             old = self.layers.read("warehouse/dim_customer", like)
             merged = self.layers.write_candidate(
                 self.run_id, "_work/dim_customer_changes",
-                scd2_merge(old, one_address_per_person(customers), self.as_of))
+                scd2_merge(old, one_address_per_person(customers), self.as_of,
+                           self.settings.first_valid_from))
             n = change_counts(merged).first()
             keyed = extend_keys(old, merged.drop("change"), "customer_unique_id",
                                 "customer_key")
@@ -294,10 +301,12 @@ def reset(layers: Layers, run_id: int) -> None:
             continue
         keep = (df.filter("geo_key = -1") if table.endswith("dim_geography")
                 else df.limit(0))
+        by = ["_run_id"] if table.startswith("raw/") else [
+            layers.partitions[table]] if table in layers.partitions else []
         path = f"{layers.root}/_candidate/reset={run_id}/{table}"
         keep.write.mode("overwrite").parquet(path)
         (layers.spark.read.schema(df.schema).parquet(path)
-         .write.mode("overwrite").parquet(layers.path(table)))
+         .write.mode("overwrite").partitionBy(*by).parquet(layers.path(table)))
     for table, ddl in (("meta/watermarks", state.MARK_DDL),
                        ("meta/progress", state.PROGRESS_DDL)):
         if layers.exists(table):

@@ -4,7 +4,7 @@ Range filters stay on the raw timestamp so they reach the Parquet scan.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import mean, month_offset, month_start, pct, ratio
@@ -13,8 +13,12 @@ from ..operators.dimensions import category
 from ..operators.joins import count_children
 from ..operators.windows import growth, running_total, top_n
 
-PLACED = F.col("order_purchase_timestamp")
-MONTH = month_start(PLACED).alias("month")
+def placed() -> Column:
+    return F.col("order_purchase_timestamp")
+
+
+def month() -> Column:
+    return month_start(placed()).alias("month")
 
 
 def not_canceled(orders: DataFrame) -> DataFrame:
@@ -23,13 +27,13 @@ def not_canceled(orders: DataFrame) -> DataFrame:
 
 def placed_between(orders: DataFrame, start: str, end: str) -> DataFrame:
     """Half-open range on the purchase time."""
-    return orders.filter((PLACED >= F.lit(start).cast("timestamp_ntz"))
-                         & (PLACED < F.lit(end).cast("timestamp_ntz")))
+    return orders.filter((placed() >= F.lit(start).cast("timestamp_ntz"))
+                         & (placed() < F.lit(end).cast("timestamp_ntz")))
 
 
 def monthly_revenue(orders, items, start: str, end: str) -> DataFrame:
     """Q1. Revenue and orders per month."""
-    scoped = not_canceled(placed_between(orders, start, end)).select("order_id", MONTH)
+    scoped = not_canceled(placed_between(orders, start, end)).select("order_id", month())
     return (scoped.join(items.select("order_id", "price"), "order_id")
             .groupBy("month")
             .agg(F.sum("price").alias("revenue"),
@@ -72,7 +76,7 @@ def running_total_of_top_sellers(orders, items, k: int = 5) -> DataFrame:
 
     The limit proves the top list small enough to broadcast.
     """
-    monthly = (not_canceled(orders).select("order_id", MONTH)
+    monthly = (not_canceled(orders).select("order_id", month())
                .join(items.select("order_id", "seller_id", "price"), "order_id")
                .groupBy("seller_id", "month").agg(F.sum("price").alias("revenue")))
     top = (monthly.groupBy("seller_id").agg(F.sum("revenue").alias("total"))
@@ -88,8 +92,8 @@ def delivery_by_state(orders, customers) -> DataFrame:
     done = orders.filter((F.col("order_status") == "delivered") & delivered.isNotNull())
     return (
         done.select("customer_id",
-                    F.datediff(delivered, PLACED).alias("actual"),
-                    F.datediff(promised, PLACED).alias("promised"),
+                    F.datediff(delivered, placed()).alias("actual"),
+                    F.datediff(promised, placed()).alias("promised"),
                     F.datediff(delivered, promised).alias("over"),
                     (delivered > promised).alias("late"))
         .join(customers.select("customer_id", F.col("customer_state").alias("state")),
@@ -133,7 +137,7 @@ def active_months(orders, customers) -> DataFrame:
     Deduplicated before any window or count: a person has at most one row per
     month, whatever number of orders they placed.
     """
-    active = (not_canceled(orders).select("customer_id", MONTH)
+    active = (not_canceled(orders).select("customer_id", month())
               .join(customers.select("customer_id", "customer_unique_id"), "customer_id")
               .select("customer_unique_id", "month").distinct())
     first = F.min("month").over(Window.partitionBy("customer_unique_id"))

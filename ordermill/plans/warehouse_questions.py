@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import mean, pct
 from ..operators.windows import growth, share_of_total, top_n
 
-SOLD = F.col("order_status") != "canceled"
-DELIVERED = (F.col("order_status") == "delivered") & F.col("delivery_days").isNotNull()
+SOLD = "order_status <> 'canceled'"
+DELIVERED = "order_status = 'delivered' and delivery_days is not null"
 
 
 def _revenue():

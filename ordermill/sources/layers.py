@@ -12,12 +12,16 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import path_exists
 from .parquet_io import write_partitioned
 
+# Conditions of a directory that is absent or holds no data file yet.
+NO_DATA = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+
 
 @dataclass
 class Layers:
@@ -36,9 +40,12 @@ class Layers:
     def read(self, table: str, like: DataFrame | None = None) -> DataFrame | None:
         """The published table; an empty frame of ``like``'s schema if there is
         none yet."""
-        if self.exists(table):
+        try:
             return self.spark.read.parquet(self.path(table))
-        return None if like is None else like.limit(0)
+        except AnalysisException as error:
+            if error.getCondition() not in NO_DATA:
+                raise
+            return None if like is None else like.limit(0)
 
     def append_run(self, table: str, df: DataFrame) -> None:
         """Append-only landing. A replayed run replaces its own partition."""
