@@ -1,5 +1,5 @@
 """Registered queries: one Spark callable and, where SQL can say it, one oracle."""
-from . import questions  # noqa: F401
+from . import questions, relational  # noqa: F401
 from .base import oracle_sql, queries
 
 __all__ = ["queries", "oracle_sql"]

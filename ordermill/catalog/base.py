@@ -204,7 +204,6 @@ CTES: dict[str, str] = {
     "src_geolocation": """
         select lpad(cast(c_nationkey * 3970 + c_custkey % 7 + 1 as varchar), 5, '0')
                    as zip,
-               cast(cast(c_acctbal as decimal(12,2)) as decimal(18,8)) / 100 as lat_x,
                cast(round(cast(c_acctbal as decimal(12,2)) * 100) as bigint) as lat_e4,
                c_custkey % 180 as lng,
                lower(c_mktsegment) as city, 'N' || chr(65 + c_nationkey) as state
