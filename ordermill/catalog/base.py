@@ -238,6 +238,10 @@ CTES: dict[str, str] = {
                    order_delivered_customer_date) as days_vs_estimate,
                order_delivered_customer_date > order_estimated_delivery_date as is_late
         from src_orders""",
+    "stg_orders_int": """
+        select * replace (cast(delivery_days as int) as delivery_days,
+                          cast(days_vs_estimate as int) as days_vs_estimate)
+        from stg_orders""",
     "stg_items": """
         select * exclude (rn) from (
             select *, row_number() over (partition by order_id, order_item_id

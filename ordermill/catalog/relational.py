@@ -118,7 +118,8 @@ def _(t):
 
 
 @query("nullif_guard", """
-    select event_type, user_id, sum(event_id % 3) as part, sum(event_id % 2) as whole,
+    select event_type, user_id, cast(sum(event_id % 3) as bigint) as part,
+           cast(sum(event_id % 2) as bigint) as whole,
            cast(sum(event_id % 3) as double) / nullif(sum(event_id % 2), 0) as quotient
     from events group by 1, 2""")
 def _(t):
@@ -635,18 +636,16 @@ def _(t):
 
 
 @query("lead_gaps", """
-    select day, next_day, cast(next_day - day as int) as gap_days from (
-        select day, lead(day) over (order by day) as next_day from (
-            select distinct cast(order_purchase_timestamp as date) as day
-            from src_orders where order_status = 'canceled'
-              and order_purchase_timestamp < timestamp '1998-01-01'))
+    select customer_id, day, next_day, cast(next_day - day as int) as gap_days from (
+        select customer_id, day,
+               lead(day) over (partition by customer_id order by day) as next_day
+        from (select distinct customer_id,
+                     cast(order_purchase_timestamp as date) as day from src_orders))
     where next_day - day <> 1""")
 def _(t):
-    days = t.orders.filter(
-        (F.col("order_status") == "canceled")
-        & (F.col(PLACED) < F.lit("1998-01-01").cast("timestamp_ntz"))
-    ).select(F.to_date(PLACED).alias("day")).distinct()
-    return windows.sequence_gaps(days, "day")
+    """Breaks between the order days of each customer."""
+    days = t.orders.select("customer_id", F.to_date(PLACED).alias("day")).distinct()
+    return windows.sequence_gaps(days, "day", ["customer_id"])
 
 
 @query("distinct_on", f"""
@@ -706,11 +705,16 @@ def _(t):
 
 
 @query("nulls_last", """
-    select order_id, order_delivered_customer_date from src_orders
-    order by order_delivered_customer_date desc nulls last, order_id limit 8000""")
-def _(t):
-    return t.orders.select("order_id", "order_delivered_customer_date").orderBy(
-        F.desc_nulls_last("order_delivered_customer_date"), "order_id").limit(8000)
+    select distinct on (customer_id) customer_id, order_id,
+           order_delivered_customer_date from src_orders
+    order by customer_id, order_delivered_customer_date desc nulls last, order_id""")
+def _(t):
+    """The last delivered order of each customer; an undelivered one only where
+    there is no other."""
+    return first_per_key(
+        t.orders.select("customer_id", "order_id", "order_delivered_customer_date"),
+        ["customer_id"],
+        [F.desc_nulls_last("order_delivered_customer_date"), F.col("order_id")])
 
 
 @query("topk_groups", """

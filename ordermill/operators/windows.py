@@ -63,9 +63,10 @@ def share_of_total(df: DataFrame, value: str, name: str = "pct_of_total") -> Dat
     return df.withColumn(name, pct(F.col(value), total))
 
 
-def sequence_gaps(days: DataFrame, day: str) -> DataFrame:
-    """Days whose successor in the set is not the next calendar day."""
-    w = Window.orderBy(day)
+def sequence_gaps(days: DataFrame, day: str,
+                  partition: Sequence[str] = ()) -> DataFrame:
+    """Distinct days whose successor in the set is not the next calendar day."""
+    w = Window.partitionBy(*partition).orderBy(day)
     return (days.withColumn("next_day", F.lead(day).over(w))
             .withColumn("gap_days", F.datediff("next_day", day))
             .filter(F.col("gap_days") != 1))
