@@ -77,3 +77,16 @@ def type_roundtrip(df: DataFrame, root: str) -> DataFrame:
                  F.lit(t == parquet_types[c]).alias("parquet_ok"),
                  F.col(c).alias("filled"))
         for c, t in df.dtypes])))
+
+
+def create_table_as(df: DataFrame, path: str) -> DataFrame:
+    """Materialise a query and return the stored table."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def insert_select(df: DataFrame, path: str) -> DataFrame:
+    """Append a query's rows to a stored table; columns match by name."""
+    spark = df.sparkSession
+    df.select(*spark.read.parquet(path).columns).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
