@@ -14,7 +14,8 @@ from .base import CUTOFF, FIRST_DAY, query
 
 MARK = dt.datetime.fromisoformat(CUTOFF)
 AS_OF = dt.date(2002, 1, 1)
-SETTINGS = elt.Settings(calendar=("1995-01-01", "2001-12-31"), first_valid_from=FIRST_DAY)
+SETTINGS = elt.Settings(calendar=("1995-01-01", "2001-12-31"), first_valid_from=FIRST_DAY,
+                        months_per_partition=12)
 PLACED = "order_purchase_timestamp"
 
 

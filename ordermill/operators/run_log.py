@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import append_state
 from .dedup import first_per_key
 
 LOG_DDL = ("run_id long, step string, started_at timestamp_ntz, "
@@ -47,16 +48,15 @@ class RunLog:
 
     def _append(self, step, started, ended, counters, status, message) -> None:
         self._seq += 1
-        row = (self.run_id, step, started, ended, counters["rows_in"],
-               counters["rows_out"], counters["rows_rejected"], status, message,
-               self._seq)
-        (self.spark.createDataFrame([row], LOG_DDL).coalesce(1)
-         .write.mode("append").parquet(self.path))
+        append_state(self.spark, self.path, [{
+            "run_id": self.run_id, "step": step, "started_at": started,
+            "ended_at": ended, **counters, "status": status, "message": message,
+            "seq": self._seq}])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Current state of each (run, step)."""
-    log = spark.read.schema(LOG_DDL).parquet(path)
+    log = spark.read.schema(LOG_DDL).json(path)
     return first_per_key(log, ["run_id", "step"],
                          [F.desc("started_at"), F.desc("seq")]).drop("seq")
 

@@ -1,7 +1,7 @@
 """One incremental cycle: extract, transform, gate, load, gate, publish.
 
 Stages hand over written tables. Only what a run touches is rewritten: pending
-raw rows, and the months their orders fall into. A run that stopped between
+raw rows, and the periods their orders fall into. A run that stopped between
 two stages is picked up by the next one, because pending work is derived from
 what was published, not from the run at hand.
 """
@@ -31,12 +31,12 @@ STAGING = ["staging/customers", "staging/orders", "staging/order_items"]
 WAREHOUSE = ["warehouse/dim_date", "warehouse/dim_product", "warehouse/dim_seller",
              "warehouse/dim_geography", "warehouse/dim_customer",
              "warehouse/fact_order_items"]
-ORPHAN_MONTH = 0
+ORPHAN_PERIOD = 0
 
 
-def purchase_month() -> Column:
-    """The month as yyyyMM: partition value of the large tables."""
-    return F.year("order_purchase_timestamp") * 100 + F.month("order_purchase_timestamp")
+def period(year: Column, month: Column, months: int) -> Column:
+    """First month of the period as yyyyMM: partition value of the large tables."""
+    return (year * 100 + 1 + F.floor((month - 1) / months) * months).cast("int")
 
 
 @dataclass(frozen=True)
@@ -50,6 +50,7 @@ class Settings:
     update_transit_dates: bool = True       # approved/carrier dates on conflict
     calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END)
     first_valid_from: str = FIRST_VALID_FROM
+    months_per_partition: int = 1           # more where a month is small
 
 
 @dataclass
@@ -118,11 +119,11 @@ class Cycle:
             self._gate(c, "staging", quality.staging_checks(
                 **frames, leading_zero=self.settings.leading_zero_check), frames)
         if runs:
-            months = sorted({m for t in STAGING[1:]
-                             for m in self.layers.touched(self.run_id, t)})
+            periods = sorted({p for t in STAGING[1:]
+                              for p in self.layers.touched(self.run_id, t)})
             self.layers.publish(self.run_id, STAGING)
             state.record_progress(self.layers, "staged",
-                                  [(r, m) for r in runs for m in months])
+                                  [(r, p) for r in runs for p in periods])
 
     def _pending_runs(self) -> list[int]:
         raw = self.layers.read("raw/orders")
@@ -143,34 +144,36 @@ class Cycle:
                 old, rows, ["customer_id"], staging.CUSTOMER_UPDATES))
 
     def _stage_orders(self, raw: DataFrame) -> None:
-        """Only the months of the incoming orders are merged; an order already
-        staged stays in the month it was first placed in."""
+        """Only the periods of the incoming orders are merged; an order already
+        staged stays in the period it was first placed in."""
         with self.log.step("transform.orders") as c:
             rows, rejected = staging.stage_orders(raw)
-            rows = rows.withColumn("purchase_month", purchase_month())
+            rows = rows.withColumn("purchase_period", period(
+                F.year("order_purchase_timestamp"), F.month("order_purchase_timestamp"),
+                self.settings.months_per_partition))
             old = self.layers.read("staging/orders", rows)
             known = old.join(rows.select("order_id"), "order_id", "left_semi")
-            months = {r[0] for r in rows.select("purchase_month").unionByName(
-                known.select("purchase_month")).distinct().collect()}
+            periods = {r[0] for r in rows.select("purchase_period").unionByName(
+                known.select("purchase_period")).distinct().collect()}
             update = (staging.ORDER_UPDATES if self.settings.update_transit_dates
                       else staging.ORDER_UPDATES_SLIM)
             merged = upsert_update(
-                old.filter(F.col("purchase_month").isin(sorted(months))), rows,
+                old.filter(F.col("purchase_period").isin(sorted(periods))), rows,
                 ["order_id"], update)
             self._candidate(c, "staging/orders", raw, rejected, merged)
 
     def _stage_items(self, raw: DataFrame) -> None:
-        """Items lie in the month of their order, orphans in a month of their own
+        """Items lie in the period of their order, orphans in one of their own
         where the gate finds them."""
         with self.log.step("transform.order_items") as c:
             rows, rejected = staging.stage_items(raw)
             orders = self.layers.candidate(self.run_id, "staging/orders")
-            rows = rows.join(orders.select("order_id", "purchase_month"), "order_id",
+            rows = rows.join(orders.select("order_id", "purchase_period"), "order_id",
                              "left").withColumn(
-                "purchase_month", F.coalesce("purchase_month", F.lit(ORPHAN_MONTH)))
-            months = [r[0] for r in orders.select("purchase_month").distinct().collect()]
+                "purchase_period", F.coalesce("purchase_period", F.lit(ORPHAN_PERIOD)))
+            periods = [r[0] for r in orders.select("purchase_period").distinct().collect()]
             old = self.layers.read("staging/order_items", rows).filter(
-                F.col("purchase_month").isin(months))
+                F.col("purchase_period").isin(periods))
             self._candidate(c, "staging/order_items", raw, rejected, upsert_update(
                 old, rows, ["order_id", "order_item_id"], staging.ITEM_UPDATES))
 
@@ -197,22 +200,23 @@ class Cycle:
                         "zip_code_prefix", "geo_key", [])
         self._customer_history(staged["customers"])
 
-        progress = self.layers.read("meta/progress")
-        todo = [] if progress is None else state.pending(
-            self.layers, "loaded", progress.filter("stage = 'staged'")
-            .select("run_id", "purchase_month"))
-        months = sorted({m for _, m in todo})
+        staged_runs = self.layers.state("meta/progress", state.PROGRESS_DDL).filter(
+            "stage = 'staged'")
+        todo = state.pending(self.layers, "loaded",
+                             staged_runs.select("run_id", "purchase_period"))
+        periods = sorted({p for _, p in todo})
         with self.log.step("load.fact") as c:
-            if months:
-                in_scope = F.col("purchase_month").isin(months)
+            if periods:
+                in_scope = F.col("purchase_period").isin(periods)
                 view = {t: self._view(t) for t in ("dim_customer", "dim_product",
                                                    "dim_seller", "dim_geography")}
                 fact = build_fact(
                     staged["order_items"].filter(in_scope),
                     staged["orders"].filter(in_scope), staged["customers"], **view,
                     unknown_geography=cfg.unknown_geography)
-                fact = fact.select(*FACT_COLUMNS, F.expr("date_key div 100").cast("int")
-                                   .alias("purchase_month"))
+                fact = fact.select(*FACT_COLUMNS, period(
+                    F.expr("date_key div 10000"), F.expr("date_key div 100 % 100"),
+                    cfg.months_per_partition).alias("purchase_period"))
                 c["rows_in"] = staged["order_items"].filter(in_scope).count()
                 c["rows_out"] = self.layers.write_candidate(
                     self.run_id, "warehouse/fact_order_items", fact).count()
@@ -248,6 +252,9 @@ class Cycle:
             merged = (upsert_update(old, rows, [natural], update) if update
                       else upsert_ignore(old, rows, [natural]))
             if key:
+                # Written once: numbering the new rows reads them several times.
+                merged = self.layers.write_candidate(
+                    self.run_id, f"_work/{name}", merged)
                 merged = extend_keys(old, merged, natural, key)
             c["rows_out"] = self.layers.write_candidate(
                 self.run_id, f"warehouse/{name}", merged).count()
@@ -309,6 +316,5 @@ def reset(layers: Layers, run_id: int) -> None:
          .write.mode("overwrite").partitionBy(*by).parquet(layers.path(table)))
     for table, ddl in (("meta/watermarks", state.MARK_DDL),
                        ("meta/progress", state.PROGRESS_DDL)):
-        if layers.exists(table):
-            (layers.spark.createDataFrame([], ddl).write.mode("overwrite")
-             .parquet(layers.path(table)))
+        (layers.spark.createDataFrame([], ddl).write.mode("overwrite")
+         .json(layers.path(table)))

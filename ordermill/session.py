@@ -1,7 +1,9 @@
 """Session defaults and the shared scratch location."""
 from __future__ import annotations
 
+import json
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +58,20 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.getContentSummary(hadoop_path).getLength()
+
+
+def append_state(spark: SparkSession, path: str, rows: list[dict]) -> None:
+    """Add a few rows of run state as one JSON-lines file below ``path``.
+
+    State is small and written often, so it skips the job a DataFrame write
+    would cost. A file appears whole or not at all, and none is rewritten.
+    """
+    conf = spark._jsc.hadoopConfiguration()
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{uuid.uuid4().hex}.json")
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_{target.getName()}")
+    fs = target.getFileSystem(conf)
+    out = fs.create(hidden)
+    lines = "".join(json.dumps(r, default=lambda v: v.isoformat()) + "\n" for r in rows)
+    out.write(bytearray(lines.encode()))
+    out.close()
+    fs.rename(hidden, target)

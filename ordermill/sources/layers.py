@@ -16,7 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..session import append_state, path_exists
 from .parquet_io import write_partitioned
 
 # Conditions of a directory that is absent or holds no data file yet.
@@ -28,8 +28,8 @@ class Layers:
     spark: SparkSession
     root: str
     partitions: dict[str, str] = field(default_factory=lambda: {
-        "staging/orders": "purchase_month", "staging/order_items": "purchase_month",
-        "warehouse/fact_order_items": "purchase_month"})
+        "staging/orders": "purchase_period", "staging/order_items": "purchase_period",
+        "warehouse/fact_order_items": "purchase_period"})
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -47,6 +47,12 @@ class Layers:
                 raise
             return None if like is None else like.limit(0)
 
+    def state(self, table: str, ddl: str) -> DataFrame:
+        """Small run state; empty if nothing was recorded yet."""
+        if not self.exists(table):
+            return self.spark.createDataFrame([], ddl)
+        return self.spark.read.schema(ddl).json(self.path(table))
+
     def append_run(self, table: str, df: DataFrame) -> None:
         """Append-only landing. A replayed run replaces its own partition."""
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -101,15 +107,13 @@ class Layers:
 
 EPOCH = dt.datetime(1970, 1, 1)
 MARK_DDL = "table_name string, watermark_value timestamp_ntz, updated_at timestamp_ntz"
-PROGRESS_DDL = "stage string, run_id long, purchase_month int"
+PROGRESS_DDL = "stage string, run_id long, purchase_period int"
 
 
 def read_mark(layers: Layers, table: str) -> dt.datetime:
     """Stored high-water mark, or the epoch. Marks only rise, so the highest
     appended value is the current one."""
-    marks = layers.read("meta/watermarks")
-    if marks is None:
-        return EPOCH
+    marks = layers.state("meta/watermarks", MARK_DDL)
     row = marks.filter(F.col("table_name") == table).agg(
         F.max("watermark_value").alias("m")).first()
     return row["m"] or EPOCH
@@ -117,21 +121,20 @@ def read_mark(layers: Layers, table: str) -> dt.datetime:
 
 def store_mark(layers: Layers, table: str, value: dt.datetime,
                updated_at: dt.datetime) -> None:
-    row = layers.spark.createDataFrame([(table, value, updated_at)], MARK_DDL)
-    row.coalesce(1).write.mode("append").parquet(layers.path("meta/watermarks"))
+    append_state(layers.spark, layers.path("meta/watermarks"), [
+        {"table_name": table, "watermark_value": value, "updated_at": updated_at}])
 
 
 def record_progress(layers: Layers, stage: str, rows: Sequence[tuple[int, int]]) -> None:
-    """Note (run, month) pairs that reached a stage."""
+    """Note (run, period) pairs that reached a stage."""
     if rows:
-        (layers.spark.createDataFrame([(stage, r, m) for r, m in rows], PROGRESS_DDL)
-         .coalesce(1).write.mode("append").parquet(layers.path("meta/progress")))
+        append_state(layers.spark, layers.path("meta/progress"), [
+            {"stage": stage, "run_id": r, "purchase_period": p} for r, p in rows])
 
 
 def pending(layers: Layers, done: str, reached: DataFrame) -> list[tuple]:
-    """Rows of ``reached`` not yet recorded as ``done``; bounded by runs x months."""
-    progress = layers.read("meta/progress")
-    if progress is not None:
-        keys = progress.filter(F.col("stage") == done).select(*reached.columns)
-        reached = reached.join(keys, reached.columns, "left_anti")
+    """Rows of ``reached`` not yet recorded as ``done``; bounded by runs x periods."""
+    keys = layers.state("meta/progress", PROGRESS_DDL).filter(
+        F.col("stage") == done).select(*reached.columns)
+    reached = reached.join(keys, reached.columns, "left_anti")
     return [tuple(r) for r in reached.distinct().collect()]
