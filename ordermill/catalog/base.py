@@ -318,7 +318,7 @@ CTES: dict[str, str] = {
                customer_zip_code_prefix as zip_code_prefix
         from (select *, row_number() over (partition by customer_unique_id
                   order by customer_id) as rn from src_customers) where rn = 1""",
-    "moved": "select customer_unique_id from addresses where state = 'NA'",
+    "moved": "select customer_unique_id from addresses where city = 'household'",
     "dim_customer": f"""
         select customer_key, customer_unique_id, customer_city, customer_state,
                zip_code_prefix, date '{FIRST_DAY}' as valid_from,

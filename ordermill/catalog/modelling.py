@@ -212,12 +212,12 @@ def _(t):
 
 @query("scd2_change_counts", """
     select count(*) as expired, cast(0 as bigint) as corrected, count(*) as versioned,
-           (select count(*) from addresses where state = 'NB') as new
+           (select count(*) from addresses where city = 'furniture') as new
     from moved""")
 def _(t):
     """One merge with every outcome: movers, newcomers and the untouched."""
     first = t.built("dim_customer_first")
-    newcomers = t.customer_addresses.filter("state = 'NB'")
+    newcomers = t.customer_addresses.filter("city = 'furniture'")
     known = first.join(newcomers, "customer_unique_id", "left_anti").select(first.columns)
     incoming = t.moved_customers.unionByName(newcomers)
     return change_counts(scd2_merge(known, incoming, AS_OF, FIRST_DAY))

@@ -205,8 +205,8 @@ class Source:
     @cached_property
     def moved_customers(self) -> DataFrame:
         """Address changes to apply to the customer dimension: everybody who
-        lived in one state moves to another."""
-        return self.customer_addresses.filter(F.col("state") == "NA").select(
+        lived in one city moves to another."""
+        return self.customer_addresses.filter(F.col("city") == "household").select(
             "customer_unique_id",
             F.lit("curitiba").alias("city"), F.lit("PR").alias("state"),
             F.lit("80010").alias("zip_code_prefix"),
