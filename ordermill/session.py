@@ -21,6 +21,9 @@ def build_session(app: str = "ordermill", cores: int | str = "*",
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Compressed Parquet is several times smaller than its rows in memory;
+        # without this a large table looks small enough to broadcast.
+        .config("spark.sql.sources.fileCompressionFactor", "6.0")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
