@@ -15,7 +15,7 @@ from ..operators.fact import build_fact, enrich, with_delivery_measures
 from ..operators.keys import assign_dense_keys, extend_keys
 from ..operators.scd2 import scd2_merge
 from ..plans import marts
-from ..session import scratch_root
+from ..session import handle_skew, scratch_root
 from ..sources.binding import Source
 from ..sources.parquet_io import write_partitioned
 
@@ -36,6 +36,9 @@ class Tables(Source):
     and read back, as the warehouse and the marts they stand for are.
     """
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(handle_skew(spark), sf_dir)
+
     def fresh_dir(self, name: str) -> str:
         return f"{scratch_root(self.spark)}/{name}-{next(_RUNS)}"
 

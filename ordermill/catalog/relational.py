@@ -245,8 +245,8 @@ NO_ITEMS = """select order_id, order_status from src_orders o where not exists
 
 @query("anti_join_not_exists", NO_ITEMS)
 def _(t):
-    return t.orders.join(t.items, "order_id", "left_anti").select(
-        "order_id", "order_status")
+    return t.orders.join(t.items.select("order_id").distinct(), "order_id",
+                         "left_anti").select("order_id", "order_status")
 
 
 @query("anti_join_left_null", NO_ITEMS)

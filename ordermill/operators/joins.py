@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import UNKNOWN_KEY
 
+# Rows up to which a side may be hinted; narrow keys and labels, a few megabytes.
 BROADCAST_ROWS = 100_000
 
 

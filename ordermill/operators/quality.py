@@ -85,7 +85,7 @@ def staging_checks(orders: DataFrame, items: DataFrame, customers: DataFrame,
     zip_code = F.col("zip_code_prefix")
     checks = [
         Check("orders not empty", "orders", F.count("*"), "value > 0",
-              "the extract produced nothing"),
+              "no order was staged"),
         Check("orders unique on order_id", "orders", surplus_rows(orders, ["order_id"]),
               "value = 0", "duplicate order_id"),
         Check("orders purchase timestamp present", "orders",
@@ -98,7 +98,7 @@ def staging_checks(orders: DataFrame, items: DataFrame, customers: DataFrame,
               "value = 0", "orphan items"),
         Check("customers state well formed", "customers",
               violations(F.length(F.trim("state")) != 2), "value = 0",
-              "malformed state code"),
+              "state codes have two letters"),
         Check("customers zip numeric", "customers",
               violations(~zip_code.rlike("^[0-9]+$")), "value = 0",
               "non-numeric zip"),
@@ -115,18 +115,18 @@ def warehouse_checks(fact: DataFrame, staged_items: DataFrame, dim_customer: Dat
                      no_unknown: bool = False) -> list[Check]:
     checks = [
         Check("fact rows match staging", "fact", count_difference(staged_items, fact),
-              "value = 0", "rows dropped or duplicated during the load"),
+              "value = 0", "fact and staged items differ in number"),
         Check("fact grain unique", "fact",
               surplus_rows(fact, ["order_id", "order_item_id"]), "value = 0",
-              "duplicate grain key"),
+              "an item occurs more than once"),
         Check("fact customer keys resolve", "fact",
               orphans(fact, dim_customer, "customer_key"), "value = 0",
-              "missing dimension row"),
+              "fact points at no customer version"),
         Check("one current row per customer", "dim_customer",
               most_current_rows(dim_customer), "value <= 1", "more than one current row"),
         Check("validity ranges ordered", "dim_customer",
               violations(F.col("valid_from") >= F.col("valid_to")), "value = 0",
-              "valid_from is not before valid_to"),
+              "empty or inverted range"),
         Check("fact prices non-negative", "fact", violations(F.col("price") < 0),
               "value = 0", "negative price"),
         Check("fact revenue positive", "fact",

@@ -112,7 +112,7 @@ class Cycle:
             self._stage_items(raw["order_items"])
         with self.log.step("quality.staging") as c:
             if self.layers.preview(self.run_id, "staging/orders") is None:
-                raise quality.GateFailed("orders not empty: the extract produced nothing")
+                raise quality.GateFailed("orders not empty: no order was staged")
             frames = {n: self.layers.preview(self.run_id, f"staging/{t}")
                       for n, t in (("orders", "orders"), ("items", "order_items"),
                                    ("customers", "customers"))}
