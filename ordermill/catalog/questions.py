@@ -1,9 +1,6 @@
 """Keys of the analytical, warehouse, mart and serving questions."""
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from ..operators.fact import enrich
 from ..plans import marts, questions, serve
 from ..plans import warehouse_questions as wh
 from .base import END, START, YEARS, cents, doubles, pct, query, rounded

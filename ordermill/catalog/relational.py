@@ -5,12 +5,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (clean_code, clean_place, date_key, differs, is_late,
-                                 iso_weekday, mean, month_offset, month_start, pct)
+                                 iso_weekday, mean, month_offset, month_start, pct,
+                                 seconds_between)
 from ..operators import dimensions as dims
 from ..operators import joins, windows
-from ..operators.dedup import duplicate_summary, first_per_key, latest_per_key
+from ..operators.dedup import duplicate_summary, first_per_key
 from ..operators.fact import fact_from_source
-from ..plans.questions import active_months, monthly_revenue, not_canceled
+from ..plans.questions import active_months, monthly_revenue
 from .base import END, MOVE_DATE, START, cents, doubles, pct as pct_sql, query, rounded
 
 PLACED = "order_purchase_timestamp"
@@ -787,10 +788,6 @@ def _(t):
     from src_orders""")
 def _(t):
     p, delivered = F.col(PLACED), F.col("order_delivered_customer_date")
-
-    def micros(c):
-        return F.unix_micros(c.cast("timestamp"))
-
     return t.orders.select(
         "order_id", month_start(p).alias("month"), F.datediff(delivered, p).alias("days"),
         F.year(p).alias("year"), F.quarter(p).alias("quarter"),
@@ -799,7 +796,7 @@ def _(t):
         date_key(p).alias("date_key"), F.date_format(p, "MMMM").alias("month_name"),
         F.date_format(p, "EEEE").alias("day_name"), F.last_day(p).alias("month_end"),
         F.to_date(p).alias("order_date"),
-        ((micros(delivered) - micros(p)) / 1e6).alias("seconds"),
+        seconds_between(p, delivered).cast("double").alias("seconds"),
         month_offset(F.lit(MOVE_DATE).cast("date"), p).alias("months_before"))
 
 

@@ -1,6 +1,8 @@
 """Column expressions shared by the operators. Built-ins only."""
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,7 +40,19 @@ def month_offset(later: Column, earlier: Column) -> Column:
 
 
 def date_key(ts: Column) -> Column:
-    return F.date_format(ts, "yyyyMMdd").cast("int")
+    """yyyyMMdd as an integer, without a detour through the session's zone."""
+    return F.year(ts) * 10000 + F.month(ts) * 100 + F.dayofmonth(ts)
+
+
+def instant(value: dt.datetime) -> Column:
+    """A literal without zone. Through text: a datetime literal would pass the
+    session's zone and shift."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Elapsed seconds with microseconds, as an exact decimal."""
+    return (end - start).cast("interval second").cast("decimal(18,6)")
 
 
 def iso_weekday(d: Column) -> Column:

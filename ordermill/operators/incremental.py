@@ -6,6 +6,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import instant
+
 
 def placed() -> Column:
     return F.col("order_purchase_timestamp")
@@ -20,9 +22,9 @@ def extract_orders(orders: DataFrame, mark: dt.datetime,
     at or below it is not seen again. ``lookback`` lowers the mark to re-read a
     tail; the key merge downstream absorbs the repetition.
     """
-    out = orders.filter(placed() > F.lit(mark - lookback).cast("timestamp_ntz"))
+    out = orders.filter(placed() > instant(mark - lookback))
     if max_ts is not None:
-        bound = F.lit(max_ts).cast("timestamp_ntz")
+        bound = instant(max_ts)
         out = out.filter(placed() <= bound if inclusive else placed() < bound)
     return out
 
@@ -40,7 +42,7 @@ def next_mark(extracted: DataFrame) -> DataFrame:
 
 def with_lineage(df: DataFrame, run_id: int, extracted_at: dt.datetime) -> DataFrame:
     return df.withColumns({
-        "_extracted_at": F.lit(extracted_at).cast("timestamp_ntz"),
+        "_extracted_at": instant(extracted_at),
         "_run_id": F.lit(run_id).cast("long")})
 
 

@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scalars import seconds_between
 from ..session import append_state
 from .dedup import first_per_key
 
@@ -61,20 +62,15 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
                          [F.desc("started_at"), F.desc("seq")]).drop("seq")
 
 
-def seconds(start: str, end: str):
-    micros = (F.unix_micros(F.col(end).cast("timestamp"))
-              - F.unix_micros(F.col(start).cast("timestamp")))
-    return F.round(micros.cast("decimal(20,0)") / 1_000_000, 2).cast("double")
-
-
 def run_report(log: DataFrame, last: int = 40) -> DataFrame:
     """The latest steps with their duration and a shortened message."""
     def n(c: str):
         return F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
+    elapsed = seconds_between(F.col("started_at"), F.col("ended_at"))
     return (log.orderBy(F.desc("started_at"), F.desc("run_id"), F.desc("step"))
             .limit(last)
             .select("run_id", "step", "status", n("rows_in"), n("rows_out"),
-                    n("rows_rejected"), seconds("started_at", "ended_at").alias("secs"),
+                    n("rows_rejected"), F.round(elapsed, 2).cast("double").alias("secs"),
                     F.left(F.coalesce("message", F.lit("")), F.lit(46)).alias("message")))
 
 

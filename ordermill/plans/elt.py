@@ -151,6 +151,8 @@ class Cycle:
             rows = rows.withColumn("purchase_period", period(
                 F.year("order_purchase_timestamp"), F.month("order_purchase_timestamp"),
                 self.settings.months_per_partition))
+            # Written once: the periods and the merge both read it.
+            rows = self.layers.write_candidate(self.run_id, "_work/orders", rows)
             old = self.layers.read("staging/orders", rows)
             known = old.join(rows.select("order_id"), "order_id", "left_semi")
             periods = {r[0] for r in rows.select("purchase_period").unionByName(

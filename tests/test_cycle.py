@@ -191,3 +191,19 @@ def test_stream_in_small_batches_equals_batch(spark, tables, tmp_path):
 def _ensure(path):
     path.mkdir(exist_ok=True)
     return path
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_marks_do_not_depend_on_the_session_zone(spark, zone):
+    from ordermill.operators.incremental import extract_orders, with_lineage
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        orders = spark.sql("select explode(array(timestamp_ntz'2018-01-01 00:00:00', "
+                           "timestamp_ntz'2018-01-01 03:00:00')) as order_purchase_timestamp")
+        mark = dt.datetime(2018, 1, 1)
+        assert extract_orders(orders, mark).count() == 1
+        assert extract_orders(orders, dt.datetime(1970, 1, 1), mark, True).count() == 1
+        assert {r[0] for r in with_lineage(orders, 1, mark).select("_extracted_at")
+                .collect()} == {mark}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
