@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_root
-from . import eliasfano, linefreq, rendezvous, sketch, spbpe
-from .tables import table
+from . import eliasfano, linefreq, lshforest, rendezvous, sketch, spbpe
+from .tables import stored, table
 
 SHARDS = 8
 
@@ -50,6 +50,15 @@ def op5_threshold_sketch(spark, sf_dir):
         sketch.containment(F.col("own"), F.col("next_sketch")).alias("near_next"))
 
 
+def op7_lsh_forest(spark, sf_dir):
+    """Components of all documents linked at 0.8 on two-word shingles."""
+    found, _ = stored(lshforest.linked_components(
+        table(spark, sf_dir, "documents"), "doc_id", "text", k=2, percent=80), "components")
+    return lshforest.with_component_id(found, "doc_id").select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id",
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
 def op8_line_frequency(spark, sf_dir):
     """All documents without the boilerplate lines of their source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -63,6 +72,6 @@ def op9_sentencepiece(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_rendezvous, op4_elias_fano, op5_threshold_sketch, op8_line_frequency,
+    op2_rendezvous, op4_elias_fano, op5_threshold_sketch, op7_lsh_forest, op8_line_frequency,
     op9_sentencepiece)}
 ORACLES: dict[str, str] = {}

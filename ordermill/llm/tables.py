@@ -1,6 +1,7 @@
 """Reading the tables and writing intermediate ones where all executors see them."""
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -8,8 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 from ..session import handle_skew, path_bytes, scratch_root
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers of a session that was started elsewhere find this package.
+
+    A cluster has it installed or gets it with --py-files; the path is then unused.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(":"):
+        env["PYTHONPATH"] = ":".join(x for x in (env.get("PYTHONPATH"), root) if x)
+    return handle_skew(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return handle_skew(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
