@@ -7,10 +7,20 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_root
-from . import eliasfano, linefreq, lshforest, rendezvous, sketch, spbpe
+from . import (decontaminate, eliasfano, license_join, linefreq, lshforest, quality,
+               rendezvous, sketch, spbpe, warc)
 from .tables import stored, table
 
 SHARDS = 8
+#: Of a document by the quality classifier.
+ACCEPTED = 0.3
+CRAWL_DATE = "2024-01-01T00:00:00Z"
+
+
+def op1_warc(spark, sf_dir):
+    """Metadata and conversion records of all pages."""
+    pages = table(spark, sf_dir, "pages")
+    return warc.derivatives(warc.responses(pages, "page_id", "url", "html", CRAWL_DATE))
 
 
 def op2_rendezvous(spark, sf_dir):
@@ -26,6 +36,13 @@ def op2_rendezvous(spark, sf_dir):
             .withColumn("law", F.lit("key")))
 
 
+def op3_decontamination(spark, sf_dir):
+    """Every document that holds a stretch of a benchmark item, with the item."""
+    return decontaminate.contaminations(
+        table(spark, sf_dir, "documents"), "doc_id", "text",
+        table(spark, sf_dir, "benchmark"), "item_id", "text")
+
+
 def op4_elias_fano(spark, sf_dir):
     """Ids of all documents written with Elias-Fano boundaries and read back."""
     path = f"{scratch_root(spark)}/llm/ids-{uuid.uuid4().hex[:12]}"
@@ -50,6 +67,21 @@ def op5_threshold_sketch(spark, sf_dir):
         sketch.containment(F.col("own"), F.col("next_sketch")).alias("near_next"))
 
 
+def held_out():
+    """The rows that no label may be learned from."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0
+
+
+def op6_quality(spark, sf_dir):
+    """All documents scored by a classifier that learned from the rows not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").filter(~held_out())
+    model = quality.fit(docs, labels, "doc_id", "text", "quality")
+    return quality.scored(docs, "text", model).select(
+        "doc_id", held_out().alias("held_out"), "score",
+        (F.col("score") >= ACCEPTED).cast("int").alias("predicted"))
+
+
 def op7_lsh_forest(spark, sf_dir):
     """Components of all documents linked at 0.8 on two-word shingles."""
     found, _ = stored(lshforest.linked_components(
@@ -65,6 +97,11 @@ def op8_line_frequency(spark, sf_dir):
     return linefreq.drop_boilerplate(docs, "source", "text")
 
 
+def op10_license_join(spark, sf_dir):
+    """All documents with license phrases and the templates their blocks meet."""
+    return license_join.scan(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op9_sentencepiece(spark, sf_dir):
     """All documents encoded and decoded; digests of ids and texts."""
     return spbpe.digest(table(spark, sf_dir, "documents"), "doc_id", "text",
@@ -72,6 +109,6 @@ def op9_sentencepiece(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_rendezvous, op4_elias_fano, op5_threshold_sketch, op7_lsh_forest, op8_line_frequency,
-    op9_sentencepiece)}
+    op1_warc, op2_rendezvous, op3_decontamination, op4_elias_fano, op5_threshold_sketch,
+    op6_quality, op7_lsh_forest, op8_line_frequency, op9_sentencepiece, op10_license_join)}
 ORACLES: dict[str, str] = {}
