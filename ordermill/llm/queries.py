@@ -108,7 +108,88 @@ def op9_sentencepiece(spark, sf_dir):
                         public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def pipeline(spark, sf_dir):
+    """All stages of corpus_pipeline.py."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_rendezvous, op3_decontamination, op4_elias_fano, op5_threshold_sketch,
-    op6_quality, op7_lsh_forest, op8_line_frequency, op9_sentencepiece, op10_license_join)}
-ORACLES: dict[str, str] = {}
+    op6_quality, op7_lsh_forest, op8_line_frequency, op9_sentencepiece, op10_license_join,
+    pipeline)}
+
+_HASH = "cast('0x' || left(md5({}), 13) as bigint)"
+_UNIT = f"({_HASH.format("'shards/' || doc_id || '/' || s")} + 0.5) / pow(2, 52)"
+#: CRC-32 of a text's bytes, from a table of 256 values that is worked out first.
+_CRC32 = """
+    crc as (select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, u:
+                case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end) order by i) as t
+            from range(256) r(i)),
+    crcs as (select doc_id, xor(4294967295, list_reduce(
+                list_prepend(4294967295, list_transform(range(octet_length(encode(text))),
+                    lambda k: cast('0x' || substr(h, 2 * k + 1, 2) as bigint))),
+                lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) as text_crc32
+             from (select doc_id, text, hex(encode(text)) as h from documents), crc)"""
+
+
+def _op2_sql() -> str:
+    def least(n):
+        return (f"select doc_id, arg_min(s, -ln({_UNIT})) as s from documents, range({n}) r(s) "
+                "group by doc_id")
+
+    return f"""
+        with {_CRC32},
+        a as ({least(SHARDS)}), b as ({least(SHARDS + 1)}),
+        r as (select doc_id, cast(a.s as int) as shard, cast(b.s as int) as grown_shard,
+                     octet_length(encode(text)) + 1 as size, text_crc32
+              from documents join a using (doc_id) join b using (doc_id) join crcs using (doc_id)),
+        k as (select *, {_HASH.format("concat_ws('/', 'slot', doc_id, size, text_crc32, grown_shard)")}
+                     % greatest(1, cast(ceil((select count(*) from documents) / 65536.0) as bigint))
+                     as bucket from r)
+        select doc_id, size, text_crc32, 'key' as law, shard,
+               row_number() over (partition by shard order by bucket, doc_id, size, text_crc32,
+                                  grown_shard) - 1 as slot, grown_shard from k"""
+
+
+_OP7_SQL = """
+    with recursive words as (
+        select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[ \\x09-\\x0D]+'), lambda w: w <> '') as w from documents),
+    sets as (
+        select doc_id, case when len(w) >= 2 then list_distinct(list_transform(
+                   range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) else w end as s from words),
+    one as (select doc_id, unnest(s) as g, len(s) as n from sets),
+    links as (
+        select a.doc_id as x, b.doc_id as y from one a join one b on a.g = b.g
+            and a.doc_id < b.doc_id and 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+        group by a.doc_id, b.doc_id, a.n, b.n
+        having 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    ends as (select x, y from links union all select y, x from links),
+    reach(d, r) as (select x, y from ends
+                    union select reach.d, ends.y from reach join ends on reach.r = ends.x)
+    select sets.doc_id, cast(len(s) as bigint) as n_shingles,
+           least(sets.doc_id, coalesce(m, sets.doc_id)) as component_id,
+           least(sets.doc_id, coalesce(m, sets.doc_id)) = sets.doc_id as kept
+    from sets left join (select d, min(r) as m from reach group by d) on d = sets.doc_id"""
+
+_OP8_SQL = f"""
+    with pages as (select row_number() over () as p, doc_id, source, text,
+                          string_split(text, chr(10)) as w from documents),
+    lines as (select distinct p, source, trim(l) as l from (
+        select p, source, unnest(w) as l from pages where source is not null)
+        where trim(l) <> ''),
+    drops as (select source, list(l) as b from (
+        select source, l from lines group by source, l having count(*) >= {linefreq.MIN_PAGES}
+            and count(*) > {linefreq.RATIO} * (select count(*) from pages q
+                                               where q.source = lines.source)) group by source),
+    kept as (select doc_id, source, text, w, list_filter(w, lambda x: trim(x) = ''
+                 or not list_contains(coalesce(b, []), trim(x))) as k
+             from pages left join drops using (source))
+    select doc_id, source, case when len(k) < len(w) then array_to_string(k, chr(10))
+           else text end as text, coalesce(cast(len(w) - len(k) as int), 0) as n_dropped from kept"""
+
+ORACLES: dict[str, str] = {"op2_rendezvous": _op2_sql(), "op7_lsh_forest": _OP7_SQL,
+                           "op8_line_frequency": _OP8_SQL}
