@@ -54,7 +54,7 @@ def op4_elias_fano(spark, sf_dir):
 def op5_threshold_sketch(spark, sf_dir):
     """Fingerprints of all texts and of their edited forms."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = sketch.with_next(sketch.with_sketch(docs, "text", "own"), "doc_id", "text", "own")
+    docs = sketch.with_sketch(sketch.with_next(docs, "doc_id", "text"), "text", "own")
     docs = docs.withColumn("n_chars", F.length("text").cast("long")).withColumn(
         "edited", F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 4))"),
                            "next_start"))

@@ -68,10 +68,9 @@ def as_string(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lower(F.hex(h))), " ")
 
 
-def with_next(docs: DataFrame, key: str, text: str, sketch: str,
-              share: int = 4) -> DataFrame:
-    """Columns ``key``, ``text``, ``sketch``, and of the next row by ``key``: ``next_start``
-    and ``next_sketch``.
+def with_next(docs: DataFrame, key: str, text: str, share: int = 4) -> DataFrame:
+    """Columns ``key``, ``text``, and of the next row by ``key``: ``next_start`` and
+    ``next_sketch``.
 
     ``next_start`` is the start of the next text, of n // share code points at
     most, n being the length of the row's own text. The last row is followed by
@@ -82,33 +81,33 @@ def with_next(docs: DataFrame, key: str, text: str, sketch: str,
     Only keys and hashes are ordered: range partitions of them are stored, each
     row finds the next one in its partition, and the last one of a partition
     takes the first of the following one. Texts are then shuffled once, for both
-    joins.
+    joins; sketches are made behind the shuffle, so that both read the same one.
     """
-    rows = docs.select(F.col(key).alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("_t"),
-                       F.col(sketch).alias("_s")).withColumn("_h", F.xxhash64("_t"))
-    slim = rows.select("_k", "_h", F.floor(F.length("_t") / share).cast("int").alias("_need"))
-    slim, _ = stored(slim.dropDuplicates(["_k", "_h"]).repartitionByRange("_k", "_h")
+    kind = dict(docs.dtypes)[key]
+    # Three columns that are never null stand for key and text.
+    rows = docs.select(F.col(key).isNotNull().alias("_z"),
+                       F.coalesce(F.col(key), F.lit(0).cast(kind)).alias("_k"),
+                       F.coalesce(F.col(text), F.lit("")).alias("_t"))
+    rows = rows.select("_z", "_k", F.xxhash64("_t").alias("_h"), "_t")
+    own = ["_z", "_k", "_h"]
+    slim = rows.select(*own, F.floor(F.length("_t") / share).cast("int").alias("_need"))
+    slim, _ = stored(slim.dropDuplicates(own).repartitionByRange(*own)
                      .withColumn("_part", F.spark_partition_id()), "order")
-    this = F.struct("_k", "_h")
+    this = F.struct(*own)
     # One row per partition of the stored table.
     parts = slim.groupBy("_part").agg(F.min(this).alias("_first"))
     parts = parts.select("_part", F.coalesce(
         F.lead("_first").over(Window.orderBy("_part")),
         F.min("_first").over(Window.partitionBy())).alias("_then"))
-    order = Window.partitionBy("_part").orderBy("_k", "_h")
+    order = Window.partitionBy("_part").orderBy(*own)
     linked = (slim.withColumn("_next", F.lead(this).over(order)).join(parts, "_part")
-              .withColumn("_next", F.coalesce("_next", "_then"))
-              .select(F.col("_k").alias("_lk"), F.col("_h").alias("_lh"), "_need",
-                      F.col("_next._k").alias("_nk"), F.col("_next._h").alias("_nh")))
-
-    def same(k1: str, h1: str, k2: str, h2: str) -> Column:
-        return F.col(k1).eqNullSafe(F.col(k2)) & (F.col(h1) == F.col(h2))
-
-    wide = rows.select("_k", "_h", "_t", "_s")
-    after = (linked.join(wide.toDF("_fk", "_fh", "_ft", "_fs"), same("_nk", "_nh", "_fk", "_fh"))
-             .select("_lk", "_lh", F.expr("substring(_ft, 1, _need)").alias("next_start"),
-                     F.col("_fs").alias("next_sketch"))
-             .dropDuplicates(["_lk", "_lh"]))
-    return (wide.join(after, same("_k", "_h", "_lk", "_lh"))
-            .select(F.col("_k").alias(key), F.col("_t").alias(text), F.col("_s").alias(sketch),
-                    "next_start", "next_sketch"))
+              .select(*[F.col(c).alias(f"_to{c}") for c in own], "_need",
+                      F.coalesce("_next", "_then").alias("_next"))
+              .select("*", *[F.col(f"_next.{c}").alias(c) for c in own]).drop("_next"))
+    after = with_sketch(linked.join(rows, own), "_t", "next_sketch")
+    after = (after.select(*[F.col(f"_to{c}").alias(c) for c in own],
+                          F.expr("substring(_t, 1, _need)").alias("next_start"), "next_sketch")
+             .dropDuplicates(own))
+    return rows.join(after, own).select(
+        F.when(F.col("_z"), F.col("_k")).alias(key), F.col("_t").alias(text),
+        "next_start", "next_sketch")
