@@ -5,7 +5,8 @@ around them; kinds that are rare in the sample keep casing and marks only. Every
 kind has a sparse ternary index vector made from its hash. A kind's vector is
 the sum of the index vectors of the kinds within two words of it, damped by
 their frequencies: random indexing. A document is pooled into the mean and the
-spread of its words' vectors, their common direction and its length. A network
+spread of its words' vectors, how far they agree, how often a word follows itself,
+and its length. A network
 of two layers, fitted in numpy, gives a logit; a temperature, fitted on rows
 that the network didn't see, turns it into a calibrated probability.
 
@@ -20,6 +21,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterator
+from operator import eq
 
 import numpy as np
 import pyarrow as pa
@@ -98,8 +100,9 @@ class Vectors:
         return row.get(f"{letters}|{shape}", row.get("|" + shape, 0))
 
 
-def pooled(rows: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-    """Features of a document from its words' rows."""
+def pooled(words: list[str], row_of, matrix: np.ndarray) -> np.ndarray:
+    """Features of a document from its words, whose vectors ``row_of`` finds."""
+    rows = np.fromiter(map(row_of, words), np.int64, len(words))
     out = np.zeros(2 * DIMENSIONS + 3, np.float32)
     n = len(rows)
     if n:
@@ -109,7 +112,7 @@ def pooled(rows: np.ndarray, matrix: np.ndarray) -> np.ndarray:
         out[DIMENSIONS:2 * DIMENSIONS] = np.sqrt(np.maximum(
             np.einsum("ij,ij->j", vectors, vectors) / n - mean * mean, 0))
         out[-3] = np.linalg.norm(mean)
-        out[-2] = np.count_nonzero(rows[1:] == rows[:-1]) / n
+        out[-2] = sum(map(eq, words, words[1:])) / n
     out[-1] = np.log1p(n)
     return out
 
@@ -166,19 +169,18 @@ class Model:
         if 0 < self.constant < 1 and len(y) >= 20:
             self.vectors = Vectors(texts)
             matrix, row_of = self.vectors.matrix, self.vectors.row_of
-            x = np.stack([pooled(np.array([row_of(w) for w in t.split()], np.int64), matrix)
-                          for t in texts])
+            x = np.stack([pooled(t.split(), row_of, matrix) for t in texts])
             self.network = Network(x, y)
 
     def scorer(self):
         """A function from texts to probabilities, with a cache of words."""
         if self.network is None:
             return lambda texts: np.full(len(texts), self.constant)
-        matrix, get = self.vectors.matrix, HotCache(self.vectors.row_of, CACHED_WORDS)
+        matrix, get = self.vectors.matrix, HotCache(
+            self.vectors.row_of, CACHED_WORDS).__getitem__
 
         def score(texts: list[str | None]) -> np.ndarray:
-            features = [pooled(np.array([get[w] for w in (t or "").split()], np.int64), matrix)
-                        for t in texts]
+            features = [pooled((t or "").split(), get, matrix) for t in texts]
             return self.network.probability(np.stack(features)) if features else np.zeros(0)
 
         return score
