@@ -303,20 +303,25 @@ def layer_counts(layers: Layers) -> DataFrame:
 
 
 def reset(layers: Layers, run_id: int) -> None:
-    """Empty every layer but keep schemas and the unknown member; forget marks."""
-    for table in ("raw/orders", "raw/order_items", "raw/customers", *STAGING, *WAREHOUSE):
+    """Empty every layer but keep schemas and the unknown member; forget marks.
+
+    Staging and warehouse are pointed at empty versions all at once.
+    """
+    cleared = []
+    for table in (*STAGING, *WAREHOUSE):
+        df = layers.read(table)
+        if df is not None:
+            layers.write_candidate(run_id, table, df.filter("geo_key = -1")
+                                   if table.endswith("dim_geography") else df.limit(0))
+            cleared.append(table)
+    for table in ("raw/orders", "raw/order_items", "raw/customers"):
         df = layers.read(table)
-        if df is None:
-            continue
-        keep = (df.filter("geo_key = -1") if table.endswith("dim_geography")
-                else df.limit(0))
-        by = ["_run_id"] if table.startswith("raw/") else [
-            layers.partitions[table]] if table in layers.partitions else []
-        path = f"{layers.root}/_candidate/reset={run_id}/{table}"
-        keep.write.mode("overwrite").parquet(path)
-        (layers.spark.read.schema(df.schema).parquet(path)
-         .write.mode("overwrite").partitionBy(*by).parquet(layers.path(table)))
+        if df is not None:
+            # Nothing of the old landing is read here, only its schema.
+            (layers.spark.createDataFrame([], df.schema).write.mode("overwrite")
+             .partitionBy("_run_id").parquet(layers.path(table)))
     for table, ddl in (("meta/watermarks", state.MARK_DDL),
                        ("meta/progress", state.PROGRESS_DDL)):
         (layers.spark.createDataFrame([], ddl).write.mode("overwrite")
          .json(layers.path(table)))
+    layers.publish(run_id, cleared, whole=True)

@@ -71,6 +71,21 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop_path).getLength()
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below a path; none if it is absent."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(hadoop_path)
+            ] if fs.exists(hadoop_path) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder with what is in it; whether it was removed."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return bool(fs.delete(hadoop_path, True))
+
+
 def append_state(spark: SparkSession, path: str, rows: list[dict]) -> None:
     """Add a few rows of run state as one JSON-lines file below ``path``.
 
@@ -85,4 +100,5 @@ def append_state(spark: SparkSession, path: str, rows: list[dict]) -> None:
     lines = "".join(json.dumps(r, default=lambda v: v.isoformat()) + "\n" for r in rows)
     out.write(bytearray(lines.encode()))
     out.close()
-    fs.rename(hidden, target)
+    if not fs.rename(hidden, target):
+        raise OSError(f"run state could not be recorded at {target}")

@@ -1,26 +1,44 @@
-"""Layer tables as Parquet directories, written as candidates first.
-
-``write_candidate`` puts the next state of a table beside the published one;
-checks read it through ``preview``; ``publish`` copies it over only after the
-gate. A partitioned table's candidate holds just the partitions a run touches,
-and publishing replaces just those. Publishing again gives the same result, so
-a run that dies half-way is repeated from its candidates.
+"""Layer tables as versioned Parquet folders behind a pointer.
+
+``write_candidate`` writes the next state of a table into a folder of its own
+and never touches a published one. Checks read it through ``preview``.
+``publish`` then appends one small file of pointers, for all tables at once: it
+appears whole or not at all, so a run that dies at any moment leaves the last
+published state, and nothing is copied. A pointer names the folder of a table,
+or of one partition of a partitioned table, whose other partitions stay as they
+are. A folder that a pointer names and that isn't there is an error; only a
+table without any pointer is one that doesn't exist yet.
+
+``vacuum`` removes the folders that no pointer names any more; it must not run
+beside a cycle or a reader of an older state. One cycle runs at a time.
 """
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from ..session import append_state, path_exists
-from .parquet_io import write_partitioned
+from ..session import append_state, child_names, delete_path, path_exists
 
-# Conditions of a directory that is absent or holds no data file yet.
+# Conditions of a landing directory that is absent or holds no data file yet.
 NO_DATA = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
+POINTER_DDL = ("seq long, table_name string, part string, folder string, "
+               "columns string")
+PART = "_part"
+
+
+@dataclass
+class Version:
+    """Columns of a table and the folder of each partition ('' if it has none)."""
+    columns: StructType
+    folders: dict[str, str]
 
 
 @dataclass
@@ -30,6 +48,9 @@ class Layers:
     partitions: dict[str, str] = field(default_factory=lambda: {
         "staging/orders": "purchase_period", "staging/order_items": "purchase_period",
         "warehouse/fact_order_items": "purchase_period"})
+    _candidates: dict[tuple[int, str], Version] = field(default_factory=dict)
+    _published: dict[str, Version] | None = None
+    _seq: int = 0
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -37,15 +58,21 @@ class Layers:
     def exists(self, table: str) -> bool:
         return path_exists(self.spark, self.path(table))
 
-    def read(self, table: str, like: DataFrame | None = None) -> DataFrame | None:
-        """The published table; an empty frame of ``like``'s schema if there is
-        none yet."""
+    # ---- landing (raw) and small state -----------------------------------
+
+    def append_run(self, table: str, df: DataFrame) -> None:
+        """Append-only landing. A replayed run replaces its own partition."""
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("_run_id").parquet(self.path(table)))
+
+    def landed(self, table: str) -> DataFrame | None:
+        """All landed rows of a raw table, None before the first ones."""
         try:
             return self.spark.read.parquet(self.path(table))
         except AnalysisException as error:
             if error.getCondition() not in NO_DATA:
                 raise
-            return None if like is None else like.limit(0)
+            return None
 
     def state(self, table: str, ddl: str) -> DataFrame:
         """Small run state; empty if nothing was recorded yet."""
@@ -53,54 +80,109 @@ class Layers:
             return self.spark.createDataFrame([], ddl)
         return self.spark.read.schema(ddl).json(self.path(table))
 
-    def append_run(self, table: str, df: DataFrame) -> None:
-        """Append-only landing. A replayed run replaces its own partition."""
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("_run_id").parquet(self.path(table)))
+    # ---- published tables ------------------------------------------------
+
+    def refresh(self) -> None:
+        """Look at the pointers anew; what was read before keeps its folders."""
+        self._published = None
+
+    def _current(self) -> dict[str, Version]:
+        """Tables and the folders of their partitions: bounded by the calendar."""
+        if self._published is None:
+            rows = (self.state("meta/pointers", POINTER_DDL)
+                    .groupBy("table_name", F.coalesce("part", F.lit("")).alias("part"))
+                    .agg(F.max_by(F.struct("folder", "columns", "seq"), "seq").alias("v"))
+                    .select("table_name", "part", "v.*").orderBy("seq").collect())
+            self._published = {}
+            for r in rows:
+                columns = StructType.fromJson(json.loads(r["columns"]))
+                version = self._published.setdefault(r["table_name"], Version(columns, {}))
+                version.columns = columns
+                if r["folder"] is not None:
+                    version.folders[r["part"]] = r["folder"]
+                self._seq = max(self._seq, r["seq"])
+        return self._published
+
+    def _frame(self, version: Version | None) -> DataFrame | None:
+        if version is None:
+            return None
+        if not version.folders:
+            return self.spark.createDataFrame([], version.columns)
+        return self.spark.read.schema(version.columns).parquet(*version.folders.values())
+
+    def read(self, table: str, like: DataFrame | None = None) -> DataFrame | None:
+        """The published table; if there is none yet, an empty frame of ``like``'s
+        schema. Raw tables are read as they have landed."""
+        found = (self.landed(table) if table.startswith("raw/")
+                 else self._frame(self._current().get(table)))
+        return found if found is not None or like is None else like.limit(0)
 
     def write_candidate(self, run_id: int, table: str, df: DataFrame) -> DataFrame:
-        path = self._candidate(run_id, table)
+        """Write the next state of a table, or of the partitions in ``df``."""
+        folder = f"{self.path(table)}/v-{uuid.uuid4().hex}"
         by = self.partitions.get(table)
         if by:
-            write_partitioned(df, path, [by])
+            (df.withColumn(PART, F.col(by)).hint("rebalance", F.col(PART))
+             .write.partitionBy(PART).parquet(folder))
+            folders = {n.partition("=")[2]: f"{folder}/{n}"
+                       for n in child_names(self.spark, folder) if n.startswith(f"{PART}=")}
         else:
-            df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+            df.write.parquet(folder)
+            folders = {"": folder}
+        version = self._candidates[run_id, table] = Version(df.schema, folders)
+        return self._frame(version)
 
     def candidate(self, run_id: int, table: str) -> DataFrame | None:
-        path = self._candidate(run_id, table)
-        return self.spark.read.parquet(path) if path_exists(self.spark, path) else None
+        return self._frame(self._candidates.get((run_id, table)))
 
-    def touched(self, run_id: int, table: str) -> list:
+    def touched(self, run_id: int, table: str) -> list[int]:
         """Partition values of the candidate: bounded by the calendar."""
-        by = self.partitions[table]
-        cand = self.candidate(run_id, table)
-        return [r[0] for r in cand.select(by).distinct().collect()] if cand else []
+        version = self._candidates.get((run_id, table))
+        return sorted(map(int, version.folders)) if version else []
 
-    def preview(self, run_id: int, table: str) -> DataFrame:
+    def preview(self, run_id: int, table: str) -> DataFrame | None:
         """The table as it would be after publishing."""
-        cand, published = self.candidate(run_id, table), self.read(table)
-        if cand is None or published is None:
-            return published if cand is None else cand
-        by = self.partitions.get(table)
-        if not by:
-            return cand
-        untouched = published.filter(~F.col(by).isin(self.touched(run_id, table)))
-        return untouched.unionByName(cand)
-
-    def publish(self, run_id: int, tables: Sequence[str]) -> None:
+        new, old = self._candidates.get((run_id, table)), self._current().get(table)
+        if new is None or old is None or table not in self.partitions:
+            return self._frame(new or old)
+        return self._frame(Version(new.columns, old.folders | new.folders))
+
+    def publish(self, run_id: int, tables: Sequence[str], whole: bool = False) -> None:
+        """Point at the candidates of ``tables``, all at once. ``whole``: partitions
+        that a candidate doesn't have go."""
+        current, rows = self._current(), []
+        seq = self._seq + 1
         for table in tables:
-            cand = self.candidate(run_id, table)
-            if cand is None:
+            version = self._candidates.get((run_id, table))
+            if version is None:
                 continue
-            by = self.partitions.get(table)
-            if by:
-                write_partitioned(cand, self.path(table), [by], dynamic=True)
-            else:
-                cand.write.mode("overwrite").parquet(self.path(table))
-
-    def _candidate(self, run_id: int, table: str) -> str:
-        return f"{self.root}/_candidate/run={run_id}/{table}"
+            gone = {p: None for p in current[table].folders
+                    } if whole and table in current else {}
+            # A table without partitions' folders still has its columns.
+            parts = gone | version.folders or {"": None}
+            rows += [{"seq": seq, "table_name": table, "part": p, "folder": f,
+                      "columns": version.columns.json()} for p, f in parts.items()]
+        if rows:
+            append_state(self.spark, self.path("meta/pointers"), rows)
+            self.refresh()
+        for table in tables:
+            self._candidates.pop((run_id, table), None)
+
+    def replace(self, run_id: int, table: str, df: DataFrame) -> None:
+        """Publish ``df`` as the whole table."""
+        self.write_candidate(run_id, table, df)
+        self.publish(run_id, [table], whole=True)
+
+    def vacuum(self) -> int:
+        """Remove version folders that no pointer names; returns how many."""
+        removed = 0
+        for table, version in self._current().items():
+            used = {f.split(f"{self.path(table)}/")[1].split("/")[0]
+                    for f in version.folders.values()}
+            for name in child_names(self.spark, self.path(table)):
+                if name.startswith("v-") and name not in used:
+                    removed += delete_path(self.spark, f"{self.path(table)}/{name}")
+        return removed
 
 
 # ---- state ---------------------------------------------------------------

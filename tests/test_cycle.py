@@ -93,11 +93,7 @@ def test_bad_row_stops_the_load_and_recovery_works(spark, loaded, tables):
     bad = spark.createDataFrame(
         [r.asDict() | {"order_item_id": 99, "price": -r["price"]} for r in
          items.orderBy("order_id", "order_item_id").limit(1).collect()], items.schema)
-    good = items.filter(
-        F.col("purchase_period") == bad.first()["purchase_period"]).collect()
-    period = spark.createDataFrame(good, items.schema)
-    bad.write.mode("append").partitionBy("purchase_period").parquet(
-        layers.path("staging/order_items"))
+    layers.replace(9, "staging/order_items", items.unionByName(bad))
     with pytest.raises(quality.GateFailed, match="money non-negative .got 1."):
         cycle(layers, tables, 10).run()
     for t in STATE[3:]:
@@ -106,8 +102,7 @@ def test_bad_row_stops_the_load_and_recovery_works(spark, loaded, tables):
     failed = log.filter("status = 'failed'").collect()
     assert [r["step"] for r in failed] == ["quality.staging"]
     assert "negative money" in failed[0]["message"]
-    (period.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("purchase_period").parquet(layers.path("staging/order_items")))
+    layers.replace(9, "staging/order_items", items)
     cycle(layers, tables, 11).run()
     assert contents(layers) == before
 
@@ -130,7 +125,7 @@ def test_moved_customer_is_versioned_and_old_facts_stay(spark, loaded, tables):
     changed = spark.createDataFrame(
         [r.asDict() | {"city": "elsewhere"} if r["customer_id"] == 0 else r.asDict()
          for r in customers.collect()], customers.schema)
-    changed.write.mode("overwrite").parquet(layers.path("staging/customers"))
+    layers.replace(19, "staging/customers", changed)
     cycle(layers, tables, 20, dt.date(2002, 2, 1)).run()
     dim = layers.read("warehouse/dim_customer")
     assert dim.count() == before + 1
@@ -158,12 +153,55 @@ def test_empty_source_fails_the_gate(spark, tables, tmp_path):
         cycle(Layers(spark, str(tmp_path / "e")), nothing, 1).run()
 
 
+def test_publish_that_dies_loses_nothing(spark, tables, tmp_path, monkeypatch):
+    """Whatever table the writing dies in, a later run ends as if it had not."""
+    whole = Layers(spark, str(tmp_path / "whole"))
+    cycle(whole, tables, 1).run(CUTOFF)
+    once = contents(whole)
+    cycle(whole, tables, 2).run()
+    want = contents(whole)
+    layers = Layers(spark, str(tmp_path / "broken"))
+    cycle(layers, tables, 1).run(CUTOFF)
+    for table in ("staging/order_items", "warehouse/dim_customer", "pointers"):
+        def dies(self, *args, of=table, write=Layers.write_candidate, **kw):
+            if args[1] == of:
+                raise RuntimeError("executor lost")
+            return write(self, *args, **kw)
+
+        def dies_pointing(spark, path, rows, append=state.append_state):
+            if path.endswith("meta/pointers"):
+                raise RuntimeError("driver lost")
+            append(spark, path, rows)
+
+        with monkeypatch.context() as m:
+            m.setattr(*((state, "append_state", dies_pointing) if table == "pointers"
+                        else (Layers, "write_candidate", dies)))
+            with pytest.raises(RuntimeError, match="lost"):
+                cycle(layers, tables, 2).run()
+        layers = Layers(spark, layers.root)  # a new driver
+        if table in elt.STAGING:
+            assert contents(layers) == once
+    cycle(layers, tables, 2).run()
+    assert contents(layers) == want
+    assert layers.vacuum() > 0 and contents(Layers(spark, layers.root)) == want
+
+
+def test_lost_folder_is_an_error(spark, tmp_path):
+    from ordermill.session import delete_path
+    layers = Layers(spark, str(tmp_path))
+    layers.replace(1, "t", spark.range(3))
+    delete_path(spark, layers.path("t"))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        layers.read("t").count()
+    assert layers.read("other") is None
+
+
 def test_reset_then_reload(spark, tables, tmp_path):
     layers = Layers(spark, str(tmp_path / "r"))
     cycle(layers, tables, 1).run()
     full = rows(layers.read("staging/orders"))
     elt.reset(layers, 2)
-    assert layers.read("staging/orders") is None
+    assert layers.read("staging/orders").columns and layers.read("staging/orders").isEmpty()
     assert layers.read("warehouse/dim_customer").count() == 0
     assert state.read_mark(layers, elt.MARK) == state.EPOCH
     assert cycle(layers, tables, 3).run() == tables.orders.count()
