@@ -5,10 +5,10 @@ around them; kinds that are rare in the sample keep casing and marks only. Every
 kind has a sparse ternary index vector made from its hash. A kind's vector is
 the sum of the index vectors of the kinds within two words of it, damped by
 their frequencies: random indexing. A document is pooled into the mean and the
-spread of its words' vectors, how far they agree, how often a word follows itself,
-and its length. A network
-of two layers, fitted in numpy, gives a logit; a temperature, fitted on rows
-that the network didn't see, turns it into a calibrated probability.
+spread of its words' vectors, how far they agree, how often a word follows
+itself, and its length. A network of two layers, fitted in numpy, gives a logit;
+a temperature, fitted on rows that the network didn't see, turns it into a
+calibrated probability.
 
 Everything is fitted on a sample of labelled rows of at most ``SAMPLE`` (those
 with the least hash of their key); scoring covers every whole text. Nulls count
@@ -31,13 +31,15 @@ from pyspark.sql import functions as F
 from .hotcache import HotCache
 
 #: Labelled rows that are fitted on, at most.
-SAMPLE = 8_000
+SAMPLE = 5_000
 DIMENSIONS = 64
 NONZERO = 6
 WINDOW = 2
 MIN_COUNT = 5
 HIDDEN = 32
 EPOCHS = 60
+#: At least; a small sample is gone through more often.
+STEPS = 1500
 CACHED_WORDS = 400_000
 
 
@@ -61,35 +63,38 @@ class Vectors:
     """Word vectors by random indexing over the sample's texts."""
 
     def __init__(self, texts: list[str]):
-        words = [t.split() for t in texts]
-        kinds = {w: kind(w) for w in set().union(*words)} if words else {}
-        counts = Counter(w for doc in words for w in doc)
+        counts: Counter = Counter()
+        for text in texts:
+            counts.update(text.split())
         full, shapes = Counter(), Counter()
         for w, n in counts.items():
-            full["|".join(kinds[w])] += n
-            shapes["|" + kinds[w][1]] += n
+            letters, shape = kind(w)
+            full[f"{letters}|{shape}"] += n
+            shapes["|" + shape] += n
         names = ["", *[k for k, n in shapes.items() if n >= MIN_COUNT],
                  *[k for k, n in full.items() if n >= MIN_COUNT and not k.startswith("|")]]
         self.row = {k: i for i, k in enumerate(dict.fromkeys(names))}
         size = len(self.row)
         rows = {w: self.row_of(w) for w in counts}
-        # A gap as wide as the window keeps documents apart.
-        gap = [size] * WINDOW
-        stream = np.fromiter((r for doc in words for r in (*[rows[w] for w in doc], *gap)),
-                             np.int64)
-        seen = np.bincount(stream, minlength=size + 1)[:size]
+        seen = np.zeros(size + 1)
+        for w, n in counts.items():
+            seen[rows[w]] += n
+        damped = 1 / np.sqrt(np.maximum(seen, 1))
         places, signs = (np.stack(x) for x in zip(*map(index_vector, self.row)))
         total = np.zeros(size * DIMENSIONS)
-        for step in range(1, WINDOW + 1):
-            a, b = stream[:-step], stream[step:]
-            both = (a < size) & (b < size)
-            pairs, n = np.unique(a[both] * size + b[both], return_counts=True)
-            a, b = pairs // size, pairs % size
-            for of, by in ((a, b), (b, a)):
-                weight = n / np.sqrt(seen[by])
-                for j in range(NONZERO):
-                    total += np.bincount(of * DIMENSIONS + places[by, j], weight * signs[by, j],
-                                         size * DIMENSIONS)
+        # A gap as wide as the window keeps documents apart.
+        gap = [size] * WINDOW
+        for at in range(0, len(texts), 100):
+            stream = np.fromiter((r for t in texts[at:at + 100]
+                                  for r in (*[rows[w] for w in t.split()], *gap)), np.int64)
+            for step in range(1, WINDOW + 1):
+                a, b = stream[:-step], stream[step:]
+                both = (a < size) & (b < size)
+                a, b = a[both], b[both]
+                for of, by in ((a, b), (b, a)):
+                    for j in range(NONZERO):
+                        total += np.bincount(of * DIMENSIONS + places[by, j],
+                                             damped[by] * signs[by, j], size * DIMENSIONS)
         matrix = total.reshape(size, DIMENSIONS)
         norm = np.linalg.norm(matrix, axis=1, keepdims=True)
         self.matrix = (matrix / np.where(norm > 0, norm, 1)).astype(np.float32)
@@ -124,14 +129,15 @@ class Network:
         rng = np.random.default_rng(seed)
         order = rng.permutation(len(x))
         held, used = order[:len(x) // 6], order[len(x) // 6:]
-        self.shift, self.scale = x[used].mean(axis=0), x[used].std(axis=0) + 1e-6
-        z = (x - self.shift) / self.scale
+        self.shift, self.scale = x[used].mean(axis=0), x[used].std(axis=0) + 0.02
+        z = self.standard(x)
         sizes = (x.shape[1], HIDDEN)
         self.p = [rng.normal(0, sizes[0] ** -0.5, sizes), np.zeros(HIDDEN),
                   rng.normal(0, HIDDEN ** -0.5, HIDDEN), np.zeros(1)]
         m, v, step = [0 * p for p in self.p], [0 * p for p in self.p], 0
-        for _ in range(EPOCHS):
-            for part in np.array_split(rng.permutation(used), max(1, len(used) // 128)):
+        batches = max(1, len(used) // 128)
+        for _ in range(max(EPOCHS, STEPS // batches)):
+            for part in np.array_split(rng.permutation(used), batches):
                 a, t = z[part], y[part]
                 h = np.tanh(a @ self.p[0] + self.p[1])
                 d = (1 / (1 + np.exp(-(h @ self.p[2] + self.p[3]))) - t) / len(part)
@@ -151,9 +157,12 @@ class Network:
             loss = [np.logaddexp(0, np.where(t > 0, -logits, logits) / c).mean() for c in choices]
             self.temperature = float(choices[int(np.argmin(loss))])
 
+    def standard(self, x: np.ndarray) -> np.ndarray:
+        """Features on one scale; what lies far outside the sample is brought near."""
+        return np.clip((x - self.shift) / self.scale, -6, 6)
+
     def logit(self, x: np.ndarray) -> np.ndarray:
-        z = (x - self.shift) / self.scale
-        return np.tanh(z @ self.p[0] + self.p[1]) @ self.p[2] + self.p[3][0]
+        return np.tanh(self.standard(x) @ self.p[0] + self.p[1]) @ self.p[2] + self.p[3][0]
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logit(x) / self.temperature, -60, 60)))
