@@ -116,22 +116,23 @@ class Tables(Source):
                           self.built("dim_customer"), self.built("dim_product"),
                           self.built("dim_seller"), self.built("dim_geography"))
 
-    @cached_property
-    def enriched(self) -> DataFrame:
-        return enrich(*(self.built(t) for t in ("fact", "dim_date", "dim_customer",
-                                                "dim_product", "dim_seller",
-                                                "dim_geography")))
+    def enriched(self, *wanted: str) -> DataFrame:
+        """The fact with the attributes asked for and no other dimension."""
+        return enrich(self.built("fact"), {
+            "product_key": self.built("dim_product"), "geo_key": self.built("dim_geography"),
+            "customer_key": self.built("dim_customer"),
+            "seller_key": self.built("dim_seller")}, wanted)
 
     # ---- marts -------------------------------------------------------------
 
     def make_mart_revenue(self) -> DataFrame:
-        return marts.revenue_daily(self.enriched)
+        return marts.revenue_daily(self.enriched(*marts.REVENUE_NEEDS))
 
     def make_mart_delivery(self) -> DataFrame:
-        return marts.delivery_performance(self.enriched)
+        return marts.delivery_performance(self.enriched(*marts.DELIVERY_NEEDS))
 
     def make_mart_cohorts(self) -> DataFrame:
-        return marts.customer_cohorts(self.enriched)
+        return marts.customer_cohorts(self.enriched(*marts.COHORT_NEEDS))
 
 
 # ---- oracle fragments ------------------------------------------------------

@@ -127,7 +127,7 @@ LAYER_COUNTS = {
     f"select cast(cycle as int) as cycle, '{table}' as \"table\", "
     f"cast(rows as bigint) as rows from ({sql})" for table, sql in LAYER_COUNTS.items()))
 def _(t):
-    return replayed(t).read("meta/counts")
+    return t.spark.read.parquet(replayed(t).path("meta/counts"))
 
 
 @query("replay_fact_revenue", """
@@ -273,7 +273,12 @@ def _(t):
     return run_log.snapshot(t.built("fact"), t.built("dim_customer"), t.staged_items)
 
 
-@query("plan_audit")
+@query("plan_audit", """
+    select plan, cast(s as int) as sort_merge, cast(b as int) as broadcast_join,
+           cast(h as int) as shuffles, (select count(*) from src_items
+               join src_sellers using (seller_id)) as result_rows
+    from (values ('size-checked broadcast', 0, 1, 0), ('forced sort-merge', 1, 0, 2))
+        t(plan, s, b, h)""")
 def _(t):
     """Join strategies of the source fact with and without a broadcast side; the
     plans are counted as Spark makes them, the result rows by running them."""

@@ -265,24 +265,24 @@ def _(t):
 
 @query("mart_revenue_daily", "select * exclude (revenue_x) from mart_revenue")
 def _(t):
-    return marts.revenue_daily(t.enriched)
+    return marts.revenue_daily(t.enriched(*marts.REVENUE_NEEDS))
 
 
 @query("mart_delivery_performance", "from mart_delivery")
 def _(t):
-    return marts.delivery_performance(t.enriched)
+    return marts.delivery_performance(t.enriched(*marts.DELIVERY_NEEDS))
 
 
 @query("mart_delivery_by_state", f"""
     select year, month, customer_state, {DELIVERY} from star where {DONE}
     group by 1, 2, 3""")
 def _(t):
-    return marts.delivery_performance(t.enriched, by_seller=False)
+    return marts.delivery_performance(t.enriched("customer_state"), by_seller=False)
 
 
 @query("mart_customer_cohorts", "from mart_cohorts")
 def _(t):
-    return marts.customer_cohorts(t.enriched)
+    return marts.customer_cohorts(t.enriched(*marts.COHORT_NEEDS))
 
 
 @query("rolling_sample", """

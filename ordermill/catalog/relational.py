@@ -199,8 +199,9 @@ def _(t):
            cast(sum(price) as double) as revenue
     from star group by 1, 2, 3, 4""")
 def _(t):
-    return doubles(t.enriched.groupBy("year", "category", "customer_state",
-                                      "seller_state").agg(
+    return doubles(t.enriched("category", "customer_state", "seller_state",
+                              "customer_unique_id").groupBy(
+        "year", "category", "customer_state", "seller_state").agg(
         F.count("*").alias("items"),
         F.countDistinct("customer_unique_id").alias("customers"),
         F.sum("price").alias("revenue")))
@@ -524,7 +525,7 @@ def _(t):
     group by 1, 3""")
 def _(t):
     """Distinct counts do not add up over groups: summed beside exact."""
-    exact = t.enriched.filter("order_status <> 'canceled'").groupBy("category").agg(
+    exact = t.enriched("category").filter("order_status <> 'canceled'").groupBy("category").agg(
         F.countDistinct("order_id").alias("exact_orders"))
     summed = t.built("mart_revenue").groupBy("category").agg(
         F.sum("orders").alias("summed_orders"))

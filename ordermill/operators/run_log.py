@@ -7,8 +7,7 @@ failed step is still recorded.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,39 +19,48 @@ from .dedup import first_per_key
 LOG_DDL = ("run_id long, step string, started_at timestamp_ntz, "
            "ended_at timestamp_ntz, rows_in long, rows_out long, rows_rejected long, "
            "status string, message string, seq long")
-MAX_MESSAGE = 1000
 
 
 def utc_now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
+class Step:
+    """A step while it runs: a mapping of its counts, recorded when it begins and ends."""
+
+    def __init__(self, log: RunLog, name: str):
+        self.log, self.name, self.started = log, name, log.clock()
+        self.counts: dict = dict(rows_in=None, rows_out=None, rows_rejected=0)
+
+    def __setitem__(self, count: str, value: int) -> None:
+        self.counts[count] = value
+
+    def __enter__(self) -> Step:
+        self._record("running")
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        # The whole message: a gate may have failed in many checks.
+        self._record("failed" if error else "success", self.log.clock(),
+                     str(error) if error else None)
+
+    def _record(self, status: str, ended: dt.datetime | None = None,
+                message: str | None = None) -> None:
+        self.log.seq += 1
+        append_state(self.log.spark, self.log.path, [dict(
+            self.counts, run_id=self.log.run_id, step=self.name, started_at=self.started,
+            ended_at=ended, status=status, message=message, seq=self.log.seq)])
+
+
 class RunLog:
+    """Where the steps of one run are recorded."""
+
     def __init__(self, spark: SparkSession, path: str, run_id: int,
                  clock: Callable[[], dt.datetime] = utc_now):
-        self.spark, self.path, self.run_id, self.clock = spark, path, run_id, clock
-        self._seq = 0
-
-    @contextmanager
-    def step(self, name: str) -> Iterator[dict]:
-        """Counters set inside the block end up in the step's row."""
-        started = self.clock()
-        counters: dict = {"rows_in": None, "rows_out": None, "rows_rejected": 0}
-        self._append(name, started, None, counters, "running", None)
-        try:
-            yield counters
-        except Exception as error:
-            self._append(name, started, self.clock(), counters, "failed",
-                         str(error)[:MAX_MESSAGE])
-            raise
-        self._append(name, started, self.clock(), counters, "success", None)
-
-    def _append(self, step, started, ended, counters, status, message) -> None:
-        self._seq += 1
-        append_state(self.spark, self.path, [{
-            "run_id": self.run_id, "step": step, "started_at": started,
-            "ended_at": ended, **counters, "status": status, "message": message,
-            "seq": self._seq}])
+        self.spark, self.path, self.run_id, self.clock, self.seq = spark, path, run_id, clock, 0
+
+    def step(self, name: str) -> Step:
+        return Step(self, name)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

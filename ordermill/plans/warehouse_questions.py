@@ -1,7 +1,7 @@
 """Questions answered on the star schema.
 
-``fact`` is the enriched fact (operators.fact.enrich); unused dimension
-columns are pruned by Catalyst.
+Each question joins the bare fact to just the dimensions it needs: Spark prunes
+columns, but it cannot leave out an inner join.
 """
 from __future__ import annotations
 

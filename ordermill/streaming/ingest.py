@@ -4,6 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import child_names
 from ..sources.binding import Source
 
 
@@ -15,12 +16,15 @@ class StreamSource(Source):
         self.files_per_batch = files_per_batch
 
     def table(self, name: str) -> DataFrame:
-        glob = f"{name}*.parquet"
-        schema = self.spark.read.option("pathGlobFilter", glob).parquet(self.sf_dir).schema
-        return (self.spark.readStream.schema(schema)
-                .option("pathGlobFilter", glob)
-                .option("maxFilesPerTrigger", self.files_per_batch)
-                .parquet(self.sf_dir))
+        # A table is a folder of files, or one file, which a file stream can only
+        # find in the folder around it: by its whole name, not by how it begins.
+        file = f"{name}.parquet"
+        path = f"{self.sf_dir}/{file}"
+        stream = self.spark.readStream.schema(self.spark.read.parquet(path).schema).option(
+            "maxFilesPerTrigger", self.files_per_batch)
+        if child_names(self.spark, path) == [file]:
+            return stream.option("pathGlobFilter", file).parquet(self.sf_dir)
+        return stream.parquet(path)
 
 
 def ingest_available(stream: DataFrame, landing: str, checkpoint: str) -> None:

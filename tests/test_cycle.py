@@ -214,8 +214,8 @@ def test_stream_in_small_batches_equals_batch(spark, tables, tmp_path):
     orders = spark.read.parquet(f"{SF}/orders.parquet")
     for i in range(3):
         part = orders.filter(F.pmod("o_orderkey", F.lit(3)) == i)
-        part.toPandas().to_parquet(_ensure(source) / f"orders-{i}.parquet", index=False,
-                                   coerce_timestamps="us")
+        part.toPandas().to_parquet(_ensure(source / "orders.parquet") / f"part-{i}.parquet",
+                                   index=False, coerce_timestamps="us")
     landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "ckpt")
     for _ in range(2):                      # the second start finds nothing new
         ingest_available(StreamSource(spark, str(source), 1).raw_orders, landing,
@@ -227,7 +227,7 @@ def test_stream_in_small_batches_equals_batch(spark, tables, tmp_path):
 
 
 def _ensure(path):
-    path.mkdir(exist_ok=True)
+    path.mkdir(parents=True, exist_ok=True)
     return path
 
 

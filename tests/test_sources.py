@@ -102,4 +102,5 @@ def test_join_hints_give_equal_rows(spark, tables):
     merged = tables.items.join(sellers.hint("merge"), "seller_id")
     assert plan_stats(hashed)["broadcast_join"] == 1
     assert plan_stats(merged) == {"sort_merge": 1, "broadcast_join": 0, "shuffles": 2}
+    assert merged.count() and plan_stats(merged)["shuffles"] == 2  # as before it ran
     assert hashed.exceptAll(merged).count() == 0 == merged.exceptAll(hashed).count()
