@@ -272,14 +272,18 @@ def _(t):
     listed = t.products.select(
         F.when(F.col("product_category_name") != "economy",
                F.col("product_category_name")).alias("n")).distinct()
-    trap = t.spark.sql("""
-        select count(*) as not_in_rows from {products}
-        where product_category_name not in (select n from {listed})""",
-        products=t.products, listed=listed)
+    # Two facts about the list decide what NOT IN keeps; Spark's own NOT IN would
+    # broadcast a list of any size.
+    about = listed.agg(F.coalesce(F.bool_or(F.col("n").isNull()), F.lit(False)).alias("null"),
+                       F.count(F.lit(1)).alias("size"))
     anti = t.products.join(listed, F.col("product_category_name") == F.col("n"),
                            "left_anti")
-    return trap.select("not_in_rows",
-                       anti.agg(F.count("*")).scalar().alias("anti_rows"))
+    counts = anti.agg(F.count(F.lit(1)).alias("anti_rows"),
+                      F.count("product_category_name").alias("named"))
+    kept = F.when(F.col("size") == 0, F.col("anti_rows")).when(
+        F.col("null"), F.lit(0).cast("long")).otherwise(F.col("named"))
+    return counts.join(F.broadcast(about)).select(  # one row each
+        kept.alias("not_in_rows"), "anti_rows")
 
 
 @query("semi_join_in", """

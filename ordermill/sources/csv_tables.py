@@ -12,7 +12,11 @@ from ..schemas import EXPECTED_ROWS, SOURCE_DDL
 LOAD_ORDER = ["product_category_translation", "geolocation", "customers", "sellers",
               "products", "orders", "order_items", "order_payments", "order_reviews"]
 
-CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
+#: Tables with free text; only their fields hold line breaks.
+MULTI_LINE = {"order_reviews", "documents"}
+
+# The header is compared with the declared columns.
+CSV_OPTIONS = {"header": "true", "enforceSchema": "false", "quote": '"', "escape": '"',
                "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss", "mode": "FAILFAST"}
 
 
@@ -20,14 +24,17 @@ class LoadRejected(Exception):
     """Row counts differ from what was expected; nothing was published."""
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """CSV with header, quoted line breaks and doubled quotes, typed by ``schema``.
+def read_csv(spark: SparkSession, path: str, schema: str,
+             multi_line: bool = False) -> DataFrame:
+    """CSV with header and doubled quotes, typed by ``schema``.
 
-    Types are declared, never inferred, and a malformed row fails the read. A
-    quoted empty field reads as NULL. Multi-line files do not split: at scale
-    deliver many files per table, each is then its own task.
+    Types are declared, never inferred; a malformed row or a header of other
+    columns fails the read. A quoted empty field reads as NULL. ``multi_line``
+    is for tables whose fields hold line breaks: their files do not split, so
+    deliver many; all other files do.
     """
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(path)
+    return (spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line)
+            .schema(schema).csv(path))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -37,7 +44,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def read_sources(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """The source tables found in ``paths`` (table -> CSV path)."""
-    return {t: read_csv(spark, paths[t], SOURCE_DDL[t]) for t in LOAD_ORDER if t in paths}
+    return {t: read_csv(spark, paths[t], SOURCE_DDL[t], t in MULTI_LINE)
+            for t in LOAD_ORDER if t in paths}
 
 
 def reconcile(tables: Mapping[str, DataFrame],

@@ -17,7 +17,8 @@ def test_csv_edge_cases(spark, tmp_path):
         "review_comment_message,review_creation_date,review_answer_timestamp\r\n"
         'r1,o1,5,"say ""hi""","two\nlines",2018-01-01 00:00:00,2018-01-02 03:04:05\r\n'
         'r2,o1,1,,"",2018-01-01 00:00:00,2018-01-02 00:00:00\r\n'.encode())
-    df = csv_tables.read_csv(spark, str(tmp_path / "r.csv"), SOURCE_DDL["order_reviews"])
+    df = csv_tables.read_csv(spark, str(tmp_path / "r.csv"), SOURCE_DDL["order_reviews"],
+                             multi_line=True)
     assert rows(df, "review_id", "review_score", "review_comment_title",
                 "review_comment_message", "review_answer_timestamp") == [
         ("r1", 5, 'say "hi"', "two\nlines", ts("2018-01-02 03:04:05")),
