@@ -26,10 +26,12 @@ not looked at. A text is never cut; a segment holds one document at least.
 """
 from __future__ import annotations
 
+import gc
 import re
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ SAMPLE = 64
 #: A segment is closed when it holds so many ids.
 SEGMENT_IDS = 1 << 20
 #: Pieces of text whose ids a worker keeps.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 600_000
 #: Texts that are encoded together.
 BATCH_ROWS = 500
 
@@ -134,15 +136,25 @@ _BLANKS = re.compile(r" (?:\s|$)")
 #: single line feed with a letter.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
 _INNER = re.compile(f"(?<=[{_LETTER}])(?=[!-/:-@\\[-`{{-~\\s])|(?<=\\S\n)(?=[{_LETTER}])")
-_WORD = re.compile(f" [{_LETTER}]+")
+_WORD = re.compile(f" ?[{_LETTER}]+")
 
 
-def pieces(text: str) -> list[str]:
-    """``text`` cut where the pre-tokenizer cuts in any case."""
+def pieces(text: str) -> tuple[str, list[str]]:
+    """``text`` cut where the pre-tokenizer cuts in any case: what comes first, and
+    the following pieces without the space that each begins with."""
     if _BLANKS.search(text):
-        return _CUT.split(text)
+        first, *rest = _CUT.split(text)
+        return first, [x[1:] for x in rest]
     first, *rest = text.split(" ")
-    return [first, *[" " + x for x in rest]]
+    return first, rest
+
+
+def inner_pieces(piece: str) -> list[str] | tuple[str, ...]:
+    """A piece, with the space before it, cut between its letters and its marks."""
+    core = piece.rstrip(".,;:!?")
+    if core.isalpha():
+        return (" " + core, piece[len(core):]) if len(core) < len(piece) else (" " + core,)
+    return _INNER.split(" " + piece)
 
 
 class ByteBpe:
@@ -157,6 +169,8 @@ class ByteBpe:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        # The caches hold no cycles; to look through them again and again takes time.
+        gc.set_threshold(100_000, 50, 100)
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -171,14 +185,19 @@ class ByteBpe:
         self.whole, self.words = Generations(cached), Generations(cached)
 
     def _new_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        plain = [w for w in words if _WORD.fullmatch(w)]
+        plain, other = [], []
+        for w in words:
+            (plain if _WORD.fullmatch(w) else other).append(w)
         if plain:
-            ids = np.array(self._ids(["".join(plain)])[0])
+            # A word without a space of its own gets a line feed, which is one id.
+            marked = [w if w[0] == " " else "\n" + w for w in plain]
+            ids = np.array(self._ids(["".join(marked)])[0])
             ends = np.searchsorted(np.cumsum(self.n_bytes[ids]),
-                                   np.cumsum([len(w.encode()) for w in plain])) + 1
-            for w, part in zip(plain, np.split(ids.astype(self.dtype), ends[:-1])):
-                yield w, part.tobytes()
-        other = [w for w in words if not _WORD.fullmatch(w)]
+                                   np.cumsum([len(w.encode()) for w in marked])) + 1
+            raw, start = ids.astype(self.dtype).tobytes(), 0
+            for w, end in zip(plain, (ends * self.width).tolist()):
+                yield w, raw[start + self.width * (w[0] != " "):end]
+                start = end
         for w, ids in zip(other, self._ids(other)):
             yield w, np.array(ids, self.dtype).tobytes()
 
@@ -188,20 +207,29 @@ class ByteBpe:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of each text, the end id last."""
-        cut = [pieces(t or "") for t in texts]
         # Special tokens are found before any cut, so such a text goes as a whole.
         special = [i for i, t in enumerate(texts) if t and any(x in t for x in self.special)]
+        cut = [pieces(t or "") for t in texts]
         for i in special:
-            cut[i] = []
-        fresh = self.whole.absent(set().union(*cut))
-        inner = {p: _INNER.split(p) for p in fresh}
-        new = self.words.absent(set().union(*inner.values()))
+            cut[i] = "", []
+        self.whole.turn()
+        whole = self.whole.held
+        found = [list(map(whole.get, rest)) for _, rest in cut]
+        fresh = self.whole.absent(p for (_, rest), ids in zip(cut, found) if None in ids
+                                  for p, x in zip(rest, ids) if x is None)
+        inner = {p: inner_pieces(p) for p in fresh}
+        firsts = [_INNER.split(first) for first, _ in cut]
+        self.words.turn()
+        new = self.words.absent(chain(*inner.values(), *firsts))
         self.words.held.update(self._new_words(list(new)))
-        word, whole = self.words.held, self.whole.held
+        word = self.words.held.__getitem__
         for p, parts in inner.items():
-            whole[p] = b"".join([word[x] for x in parts])
-        get = whole.__getitem__
-        packed = [b"".join(map(get, parts)) + self.end for parts in cut]
+            whole[p] = b"".join(map(word, parts))
+        packed = []
+        for first, (_, rest), ids in zip(firsts, cut, found):
+            if None in ids:
+                ids = [whole[p] if x is None else x for p, x in zip(rest, ids)]
+            packed.append(b"".join((*map(word, first), *ids, self.end)))
         for i, ids in zip(special, self._ids([texts[i] for i in special])):
             packed[i] = np.array(ids, self.dtype).tobytes() + self.end
         return packed

@@ -1,6 +1,9 @@
 """Bounded caches of computed values for one Python worker."""
 from __future__ import annotations
 
+from collections.abc import Iterable
+from itertools import filterfalse
+
 
 class HotCache(dict):
     """``cache[key]`` computes and keeps what is missing, in bounded memory.
@@ -26,17 +29,18 @@ class HotCache(dict):
 
 
 class Generations:
-    """A cache that is filled in bulk; ``held`` has what ``absent`` was asked for,
-    but for what it returned."""
+    """A cache that is filled in bulk: ``turn`` before a batch, then ``absent`` for
+    the batch's keys, which ``held`` has but for those that it returns."""
 
     def __init__(self, limit: int):
         self.limit, self.held, self.old = limit, {}, {}
 
-    def absent(self, keys: set) -> set:
-        """The keys to be computed and put into ``held``; others are in it."""
+    def turn(self) -> None:
         if len(self.held) >= self.limit:
             self.held, self.old = {}, self.held
-        wanted = keys.difference(self.held)
+
+    def absent(self, keys: Iterable) -> set:
+        wanted = set(filterfalse(self.held.__contains__, keys))
         known = {k: self.old[k] for k in wanted if k in self.old}
         self.held.update(known)
         return wanted.difference(known)
