@@ -10,15 +10,22 @@ reaches the threshold; linked texts form components.
    their minima (range partitions, so a region of any size is split). Nodes that
    agree in the first four minima of an order lie in one *region*; two texts of
    similarity 0.8 share none of 32 regions with a probability of about 1e-6.
-3. Candidates of a node are its neighbour with the longest common prefix in each
-   order, whatever depth that has (it grows where a region is dense), and the
-   region's least node. The two that agree best over all 64 minima are confirmed
-   on the full shingle sets, and components are formed.
-4. The rest exactly: where a region still holds several components, every node
-   outside its largest one is compared with all nodes of the region in other
-   components. A pair is confirmed on the full sets unless its sizes exclude the
-   threshold or it agrees in less than 36 of 64 minima (1e-5 at 0.8). No bucket
-   and no partner list is cut.
+3. A node is first compared with its neighbour of the longest common prefix in
+   each order and with the region's least node. The two that agree best over all
+   64 minima are confirmed on the full shingle sets, and components are formed.
+4. Then all that may still join components: in each order the eight neighbours
+   before a node, and in each region of up to 256 nodes every node outside the
+   region's largest component with all nodes of others. A larger region is first
+   taken deeper, to six and then to eight common minima. All these pairs, unless
+   both ends are in one component by now, are confirmed on the full sets if they
+   can reach the threshold and agree in 36 of 64 minima (1e-5 fail to at 0.8).
+   What a pair can reach is bounded exactly: shingles that only one node has are
+   in no intersection and in every union. This keeps a large group whose members
+   differ by edits of their own from being compared in pairs. No list of
+   candidates is cut.
+
+A link can be missed only where a crowded region separates its ends in each of
+the orders that they share; the README has the measured recall.
 
 Words are what stands between ASCII white space, with A-Z lower-cased. Fewer
 words than a shingle has are one shingle. A null text or one without words has
@@ -40,6 +47,9 @@ from pyspark.sql import Window
 from .tables import size_checked, stored
 
 MINIMA = 64
+#: Neighbours before a node in an order, and nodes of a region that are compared.
+NEAR = 8
+REGION = 256
 ORDERS = 32
 DEPTH = 8
 SAME_MINIMA = 36
@@ -97,8 +107,8 @@ def signatures(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
 
 
 def forest(nodes: DataFrame) -> DataFrame:
-    """Rows (order, region, node, n, near): the members of regions that may have
-    several, each with its predecessor in the order if that is in the region."""
+    """Rows (order, region, rest, node, n, near): the members of regions that may have
+    several, each with the nodes of its region just before it, the nearest first."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,45 +127,43 @@ def forest(nodes: DataFrame) -> DataFrame:
                     ["order", "region", "rest", "node", "n"])
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The first and the last row of a partition are passed on in any case:
-        # their region may go on in the next partition.
-        held, held_near, held_same, first = None, None, False, True
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = pa.Table.from_batches([batch])
-            if held is not None:
-                rows = pa.concat_tables([held, rows])
+        # ``tail``: rows that are done but still neighbours, then one that isn't
+        # done, as its successor isn't known. The first and the last row of a
+        # partition are passed on in any case: their region may go on beyond it.
+        tail, done, first = None, 0, True
+
+        def passed(rows: pa.Table, done: int, upto: int, ends: bool) -> pa.Table:
             order, region = (rows[c].to_numpy() for c in ("order", "region"))
-            same = np.concatenate(
-                ([False], (order[1:] == order[:-1]) & (region[1:] == region[:-1])))
-            if held is not None:
-                same[0] = held_same
-            wanted = same | np.append(same[1:], False)
-            if first and len(same) > 1:
-                wanted[0], first = True, False
-            near = np.arange(-1, len(same) - 1)
-            names = rows["node"].combine_chunks()
-            near_names = names.take(pa.array(near, mask=~same | (near < 0)))
-            if held is not None and held_same:
-                near_names = pa.concat_arrays([held_near, near_names[1:]])
-            rows = rows.select(["order", "region", "node", "n"]).append_column("near", near_names)
-            out = rows.slice(0, len(same) - 1).filter(pa.array(wanted[:-1]))
-            held, held_same = rows.slice(len(same) - 1).select(
-                ["order", "region", "node", "n"]), bool(same[-1])
-            held_near = near_names[-1:]
-            held = held.append_column("rest", pa.array([0], pa.int64())).select(
-                ["order", "region", "rest", "node", "n"])
-            yield from out.to_batches()
-        if held is not None:
-            yield from held.select(["order", "region", "node", "n"]).append_column(
-                "near", held_near).to_batches()
+            n = len(order)
+            same = [np.concatenate((np.zeros(min(d, n), bool), (order[d:] == order[:-d])
+                                    & (region[d:] == region[:-d]))) for d in range(1, NEAR + 1)]
+            wanted = same[0] | np.append(same[0][1:], ends)
+            wanted[0] |= first
+            pick = np.flatnonzero(wanted[done:upto]) + done
+            has = np.stack(same)[:, pick].T
+            near = (pick[:, None] - np.arange(1, NEAR + 1))[has]
+            lists = pa.ListArray.from_arrays(
+                pa.array(np.concatenate(([0], np.cumsum(has.sum(axis=1)))), pa.int32()),
+                rows["node"].combine_chunks().take(pa.array(near)))
+            return rows.take(pa.array(pick)).append_column("near", lists)
+
+        for batch in batches:
+            if batch.num_rows:
+                rows = pa.Table.from_batches([batch])
+                rows = rows if tail is None else pa.concat_tables([tail, rows])
+                yield from passed(rows, done, len(rows) - 1, False).to_batches()
+                first = first and len(rows) == 1
+                done = min(NEAR, len(rows) - 1)
+                tail = rows.slice(len(rows) - 1 - done)
+        if tail is not None:
+            yield from passed(tail, done, len(tail), True).to_batches()
 
     order = ["order", "region", "rest", "node"]
     rows = nodes.select("node", "n", "sig").mapInArrow(
         spread, "order int, region long, rest long, node binary, n long")
     return (rows.repartitionByRange(*order[:3]).sortWithinPartitions(*order)
-            .mapInArrow(neighbours, "order int, region long, node binary, n long, near binary"))
+            .mapInArrow(neighbours, "order int, region long, rest long, node binary, n long, "
+                                    "near array<binary>"))
 
 
 def may_reach(a, b, percent: int):
@@ -163,6 +171,28 @@ def may_reach(a, b, percent: int):
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def can_link(na, ua, nb, ub, percent: int):
+    """Whether sets of n shingles, u of them in no other set, can reach the similarity."""
+    common = F.least(na - ua, nb - ub)
+    return common * 100 >= (common + ua + ub) * percent
+
+
+def unshared(texts: DataFrame, k: int) -> DataFrame:
+    """(ref, u): by xxhash64 of the node, how many shingles no other node has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch["node"], batch["text"]):
+                own = shingle_set(text.as_py(), k).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own), pa.repeat(node, len(own))], ["shingle", "node"])
+
+    return (texts.select("node", "text").mapInArrow(run, "shingle long, node binary")
+            .select("shingle", F.xxhash64("node").alias("ref")).groupBy("shingle")
+            .agg(F.count(F.lit(1)).alias("_in"), F.min("ref").alias("ref")).filter("_in = 1")
+            .groupBy("ref").agg(F.count(F.lit(1)).alias("u")))
+
+
 def estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """``pairs`` (a, b) that may reach the similarity, with ``same``: equal minima."""
     sig = nodes.select("node", "n", "sig")
@@ -238,7 +268,8 @@ def linked_components(docs: DataFrame, key: str, text: str, k: int = 5,
             .agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("_m")).filter("_m > 1"))
     regions, _ = stored(members.join(hubs.drop("_m"), ["order", "region"]), "regions")
 
-    near = regions.select("node", "near").union(regions.select("node", "hub")).toDF("a", "b")
+    near = regions.select("node", F.get("near", F.lit(0))).union(
+        regions.select("node", "hub")).toDF("a", "b")
     near = estimated(near.filter("b is not null and a != b").distinct(), nodes, percent)
     best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("same"), "b"))
     near = near.withColumn("_rank", best).filter(F.col("_rank") <= CONFIRMED)
@@ -262,36 +293,59 @@ def linked_components(docs: DataFrame, key: str, text: str, k: int = 5,
              .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
     links, _ = stored(confirmed(tested, texts, k, percent), "links")
 
-    rest = sweep(regions, components(links), tested, percent)
+    known = (wanted.select("node").join(components(links), "node", "left")
+             .join(nodes.select("node", "n"), "node").withColumn("ref", F.xxhash64("node"))
+             .join(unshared(texts, k), "ref", "left")
+             .select("node", "n", F.coalesce("label", "node").alias("label"),
+                     F.coalesce("u", F.lit(0)).alias("u")))
+    known, _ = stored(known, "known")
+    rest = remaining(regions, known, percent).join(tested, ["a", "b"], "left_anti")
     rest, _ = stored(estimated(rest, nodes, percent).select("a", "b"), "rest")
-    if not rest.isEmpty():
-        more, _ = stored(confirmed(rest, texts, k, percent), "more")
-        links = links.union(more)
+    more, _ = stored(confirmed(rest, texts, k, percent), "more")
+    links = links.union(more)
     named_by = components(links).toDF("node", "component")
     return (rows.select(F.col("key").alias(key), "n", "node").join(named_by, "node", "left")
             .select(key, "n", "node", F.coalesce("component", "node").alias("component")))
 
 
-def sweep(regions: DataFrame, labels: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
-    """Untested pairs of a region in different components, one of them outside the
-    region's largest component."""
-    at = ["order", "region"]
-    members = (regions.select(*at, "node", "n").join(labels, "node", "left")
-               .withColumn("label", F.coalesce("label", "node")))
+def remaining(regions: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components, once each: neighbours in an order, and in
+    regions of up to ``REGION`` nodes those with an end outside the largest component.
+    ``known`` has each node's label, n and u."""
+    at = ["order", "region", "deep"]
+    two = F.shiftright("rest", 32)
+    count = lambda *by: F.count(F.lit(1)).over(Window.partitionBy("order", "region", *by))
+    members = (regions.select("order", "region", "rest", "node", "near").withColumn("_2", two)
+               .withColumn("_m4", count()).withColumn("_m6", count("_2"))
+               .withColumn("_m8", count("_2", "rest"))
+               .withColumn("deep", F.when(F.col("_m4") <= REGION, F.lit("")).when(
+                   F.col("_m6") <= REGION, F.concat(F.lit("6/"), two.cast("string"))).when(
+                   F.col("_m8") <= REGION, F.concat(F.lit("8/"), F.col("rest").cast("string"))))
+               .join(known, "node"))
+    one = known.select(F.col("node").alias("b"), F.col("label").alias("lb"),
+                       F.col("n").alias("nb"), F.col("u").alias("ub"))
+    linkable = (F.col("la") != F.col("lb")) & can_link(
+        F.col("na"), F.col("ua"), F.col("nb"), F.col("ub"), percent)
+    mine = [F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"),
+            F.col("u").alias("ua")]
+    close = (members.filter(F.col("u") * 100 <= F.col("n") * (100 - percent))
+             .select(*mine, F.explode("near").alias("b")).distinct()
+             .join(one, "b").filter(linkable & may_reach(F.col("na"), F.col("nb"), percent))
+             .select("a", "b"))
+    members = members.filter("deep is not null")
     sizes = members.groupBy(*at, "label").agg(F.count(F.lit(1)).alias("_m"))
     largest = (sizes.groupBy(*at).agg(F.count(F.lit(1)).alias("_labels"),
                                       F.max(F.struct("_m", "label")).alias("_top"))
                .filter("_labels > 1").select(*at, F.col("_top.label").alias("_top")))
     members = members.join(largest, at).withColumn("_in", F.col("label") == F.col("_top"))
-    outside = members.filter(~F.col("_in")).select(
-        *at, F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    every = members.select(*at, F.col("node").alias("b"), F.col("n").alias("nb"),
-                           F.col("label").alias("lb"), "_in")
+    outside = members.filter(~F.col("_in")).select(*at, *mine)
+    every = members.select(*at, F.col("node").alias("b"), F.col("label").alias("lb"),
+                           F.col("n").alias("nb"), F.col("u").alias("ub"), "_in")
     pairs = (outside.join(every, at)
-             .filter((F.col("la") != F.col("lb")) & (F.col("_in") | (F.col("a") < F.col("b")))
-                     & may_reach(F.col("na"), F.col("nb"), percent))
-             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    return pairs.join(tested, ["a", "b"], "left_anti")
+             .filter(linkable & (F.col("_in") | (F.col("a") < F.col("b")))
+                     & may_reach(F.col("na"), F.col("nb"), percent)).select("a", "b"))
+    return (pairs.union(close)
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def with_component_id(found: DataFrame, key: str) -> DataFrame:
@@ -314,11 +368,12 @@ def one_of_each(docs: DataFrame, key: str, text: str, k: int = 5, percent: int =
     rows = full.groupBy(F.col(key).alias("_key"), "node").agg(F.count(F.lit(1)).alias("_copies"))
     stay = (rows.join(stay.toDF("_k", "_n"), F.col("_key").eqNullSafe(F.col("_k"))
                       & (F.col("node") == F.col("_n")))
-            .select("_key", "node", "_copies"))
+            .select("_key", F.col("node").alias("_set"), "_copies"))
     bare = found.filter("component is null").select(
-        F.col(key).alias("_key"), F.lit(None).cast("binary").alias("node"),
+        F.col(key).alias("_key"), F.lit(None).cast("binary").alias("_set"),
         F.lit(1).cast("long").alias("_copies")).distinct()
     stay, path = stored(stay.union(bare), "stay")
+    stay = size_checked(stay, path)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,7 +383,7 @@ def one_of_each(docs: DataFrame, key: str, text: str, k: int = 5, percent: int =
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
     kept = docs.mapInArrow(named, f"{schema}, _node binary").join(
-        stay, F.col(key).eqNullSafe(F.col("_key")) & F.col("_node").eqNullSafe(F.col("node")))
+        stay, F.col(key).eqNullSafe(F.col("_key")) & F.col("_node").eqNullSafe(F.col("_set")))
     single = kept.filter("_copies = 1")
     copies = kept.filter("_copies > 1").dropDuplicates([key, "_node"])
     return single.unionByName(copies).select(*docs.columns)
