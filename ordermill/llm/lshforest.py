@@ -13,19 +13,19 @@ reaches the threshold; linked texts form components.
 3. A node is first compared with its neighbour of the longest common prefix in
    each order and with the region's least node. The two that agree best over all
    64 minima are confirmed on the full shingle sets, and components are formed.
-4. Then all that may still join components: in each order the eight neighbours
-   before a node, and in each region of up to 256 nodes every node outside the
-   region's largest component with all nodes of others. A larger region is first
-   taken deeper, to six and then to eight common minima. All these pairs, unless
-   both ends are in one component by now, are confirmed on the full sets if they
-   can reach the threshold and agree in 36 of 64 minima (1e-5 fail to at 0.8).
-   What a pair can reach is bounded exactly: shingles that only one node has are
-   in no intersection and in every union. This keeps a large group whose members
-   differ by edits of their own from being compared in pairs. No list of
-   candidates is cut.
-
-A link can be missed only where a crowded region separates its ends in each of
-the orders that they share; the README has the measured recall.
+4. Then, in each order, the eight neighbours before a node, and in each region of
+   up to 256 nodes every node outside the region's largest component with all
+   nodes of others. All these pairs, unless both ends are in one component by now,
+   are confirmed on the full sets if they can reach the threshold and agree in 36
+   of 64 minima (1e-5 fail to at 0.8). What a pair can reach is bounded exactly:
+   shingles that only one node has are in no intersection and in every union.
+5. Last, the nodes of larger regions: all pairs of them that are still in different
+   components and that a prefix filter over their shingles, rare ones first, can't
+   exclude. The filter is exact, so a region's size costs work but no link: two
+   nodes share a region of up to 256 nodes, or both are in this join.
+
+No list of candidates is cut. The number of pairs in step 5 is not bounded: it can
+grow with the square of a group of near copies that fall just short of the threshold.
 
 Words are what stands between ASCII white space, with A-Z lower-cased. Fewer
 words than a shingle has are one shingle. A null text or one without words has
@@ -47,7 +47,8 @@ from pyspark.sql import Window
 from .tables import size_checked, stored
 
 MINIMA = 64
-#: Neighbours before a node in an order, and nodes of a region that are compared.
+#: Neighbours before a node in an order, and nodes of a region that are compared as
+#: they are; the nodes of larger ones are joined on their rare shingles.
 NEAR = 8
 REGION = 256
 ORDERS = 32
@@ -177,8 +178,8 @@ def can_link(na, ua, nb, ub, percent: int):
     return common * 100 >= (common + ua + ub) * percent
 
 
-def unshared(texts: DataFrame, k: int) -> DataFrame:
-    """(ref, u): by xxhash64 of the node, how many shingles no other node has."""
+def shingles(texts: DataFrame, k: int) -> DataFrame:
+    """(shingle, ref): each node's set, with xxhash64 of the node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +189,12 @@ def unshared(texts: DataFrame, k: int) -> DataFrame:
                     [pa.array(own), pa.repeat(node, len(own))], ["shingle", "node"])
 
     return (texts.select("node", "text").mapInArrow(run, "shingle long, node binary")
-            .select("shingle", F.xxhash64("node").alias("ref")).groupBy("shingle")
+            .select("shingle", F.xxhash64("node").alias("ref")))
+
+
+def unshared(texts: DataFrame, k: int) -> DataFrame:
+    """(ref, u): by xxhash64 of the node, how many shingles no other node has."""
+    return (shingles(texts, k).groupBy("shingle")
             .agg(F.count(F.lit(1)).alias("_in"), F.min("ref").alias("ref")).filter("_in = 1")
             .groupBy("ref").agg(F.count(F.lit(1)).alias("u")))
 
@@ -265,8 +271,8 @@ def linked_components(docs: DataFrame, key: str, text: str, k: int = 5,
         F.min("key").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
     members, _ = stored(forest(nodes), "forest")
     hubs = (members.groupBy("order", "region")
-            .agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("_m")).filter("_m > 1"))
-    regions, _ = stored(members.join(hubs.drop("_m"), ["order", "region"]), "regions")
+            .agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1"))
+    regions, _ = stored(members.join(hubs, ["order", "region"]), "regions")
 
     near = regions.select("node", F.get("near", F.lit(0))).union(
         regions.select("node", "hub")).toDF("a", "b")
@@ -303,6 +309,16 @@ def linked_components(docs: DataFrame, key: str, text: str, k: int = 5,
     rest, _ = stored(estimated(rest, nodes, percent).select("a", "b"), "rest")
     more, _ = stored(confirmed(rest, texts, k, percent), "more")
     links = links.union(more)
+    crowded, _ = stored(regions.filter(F.col("size") > REGION).select("node").distinct(), "crowded")
+    if not crowded.isEmpty():
+        known = (crowded.join(components(links), "node", "left").join(nodes.select("node", "n"), "node")
+                 .select("node", "n", F.coalesce("label", "node").alias("label")))
+        known, _ = stored(known, "known")
+        apart = sharing_rare(texts.join(crowded, "node", "left_semi"), known, k, percent)
+        apart = apart.join(tested.union(rest), ["a", "b"], "left_anti")
+        apart, _ = stored(estimated(apart, nodes, percent).select("a", "b"), "apart")
+        last, _ = stored(confirmed(apart, texts, k, percent), "last")
+        links = links.union(last)
     named_by = components(links).toDF("node", "component")
     return (rows.select(F.col("key").alias(key), "n", "node").join(named_by, "node", "left")
             .select(key, "n", "node", F.coalesce("component", "node").alias("component")))
@@ -312,16 +328,8 @@ def remaining(regions: DataFrame, known: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of different components, once each: neighbours in an order, and in
     regions of up to ``REGION`` nodes those with an end outside the largest component.
     ``known`` has each node's label, n and u."""
-    at = ["order", "region", "deep"]
-    two = F.shiftright("rest", 32)
-    count = lambda *by: F.count(F.lit(1)).over(Window.partitionBy("order", "region", *by))
-    members = (regions.select("order", "region", "rest", "node", "near").withColumn("_2", two)
-               .withColumn("_m4", count()).withColumn("_m6", count("_2"))
-               .withColumn("_m8", count("_2", "rest"))
-               .withColumn("deep", F.when(F.col("_m4") <= REGION, F.lit("")).when(
-                   F.col("_m6") <= REGION, F.concat(F.lit("6/"), two.cast("string"))).when(
-                   F.col("_m8") <= REGION, F.concat(F.lit("8/"), F.col("rest").cast("string"))))
-               .join(known, "node"))
+    at = ["order", "region"]
+    members = regions.select(*at, "node", "near", "size").join(known, "node")
     one = known.select(F.col("node").alias("b"), F.col("label").alias("lb"),
                        F.col("n").alias("nb"), F.col("u").alias("ub"))
     linkable = (F.col("la") != F.col("lb")) & can_link(
@@ -332,7 +340,7 @@ def remaining(regions: DataFrame, known: DataFrame, percent: int) -> DataFrame:
              .select(*mine, F.explode("near").alias("b")).distinct()
              .join(one, "b").filter(linkable & may_reach(F.col("na"), F.col("nb"), percent))
              .select("a", "b"))
-    members = members.filter("deep is not null")
+    members = members.filter(F.col("size") <= REGION)
     sizes = members.groupBy(*at, "label").agg(F.count(F.lit(1)).alias("_m"))
     largest = (sizes.groupBy(*at).agg(F.count(F.lit(1)).alias("_labels"),
                                       F.max(F.struct("_m", "label")).alias("_top"))
@@ -348,6 +356,47 @@ def remaining(regions: DataFrame, known: DataFrame, percent: int) -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
+def sharing_rare(texts: DataFrame, known: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b), once each, of the nodes ``known`` (with n and label) that are in
+    different components and that a prefix filter with places can't exclude.
+
+    A node's shingles are in one order for all, rare ones first. Of a pair that
+    reaches the similarity the first common shingle stands so far in front in both
+    that enough of each are left: at least the similarity's share of the larger
+    one's, and of the smaller one's that share of two sets of its size (``light``).
+    """
+    each = shingles(texts, k)
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("_in")).filter("_in > 1")
+    lists = (each.join(often, "shingle").groupBy("ref")
+             .agg(F.sort_array(F.collect_list(F.struct("_in", "shingle"))).alias("own"))
+             .join(known.withColumn("ref", F.xxhash64("node")), "ref")
+             # Those in no other set come first and are in no pair.
+             .withColumn("lone", F.col("n") - F.size("own")))
+    front = F.floor(F.col("n") * (100 - percent) / 100) + 1 - F.col("lone")
+    left = F.col("n") - F.col("lone") - F.col("_place")
+    posts = (lists.filter(front > 0).select(
+        "node", "label", "n", "lone",
+        F.posexplode(F.slice("own", 1, front.cast("int"))).alias("_place", "_shingle"))
+        .select(F.col("_shingle.shingle").alias("shingle"), "node", "label", "n",
+                left.alias("left"),
+                (left * (100 + percent) >= 2 * percent * F.col("n")).alias("light")))
+    posts, _ = stored(posts, "posts")
+    sizes = posts.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("_m"))
+    largest = (sizes.groupBy("shingle").agg(F.count(F.lit(1)).alias("_labels"),
+                                            F.max(F.struct("_m", "label")).alias("_top"))
+               .filter("_labels > 1").select("shingle", F.col("_top.label").alias("_top")))
+    posts = posts.join(largest, "shingle").withColumn("_in", F.col("label") == F.col("_top"))
+    small = posts.filter("light").select(
+        "shingle", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"),
+        F.col("left").alias("leftb"), F.col("_in").alias("inb"))
+    enough = (F.least("left", "leftb") * (100 + percent) >= (F.col("n") + F.col("nb")) * percent)
+    passing = (F.col("label") != F.col("lb")) & (F.col("n") >= F.col("nb")) & enough
+    pairs = lambda a, b: a.join(b, "shingle").filter(passing).select("node", "b")
+    return (pairs(posts, small.filter("not inb"))
+            .union(pairs(posts.filter("not _in"), small.filter("inb")))
+            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
+
+
 def with_component_id(found: DataFrame, key: str) -> DataFrame:
     """Adds ``component_id``: the least ``key`` of the row's component, or its own."""
     least = found.groupBy("component").agg(F.min(key).alias("component_id"))

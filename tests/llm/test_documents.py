@@ -233,6 +233,35 @@ def test_components_equal_brute_force(spark, k):
     assert rows(got, "doc_id", "n", "component_id") == sorted(brute_components(pairs, k, 80), key=repr)
 
 
+def crowd(k, size=2000, few=40):
+    """A base, ``size`` copies with a word of their own each, and ``few`` texts of which
+    each is linked with one of the copies and with nothing else."""
+    rnd = random.Random(12)
+    base, changed = [f"w{i}" for i in range(300)], {2: 32, 5: 28}[k]
+    out = [(0, " ".join(base))]
+    for i in range(1, size + 1):
+        own, at = list(base), rnd.randrange(10, 290)
+        own[at] = f"own{i}"
+        out.append((i, " ".join(own)))
+        if i <= few:
+            start = at + 10 if at < 150 else at - 10 - changed
+            own[start:start + changed] = [f"far{i}x{j}" for j in range(changed)]
+            out.append((100_000 + i, " ".join(own)))
+    return out
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_sparse_links_into_a_crowd(spark, k):
+    pairs = crowd(k)
+    alone = [p for p in pairs if p[0] == 0 or p[0] in (1, 2, 100_001)]
+    assert brute_components(alone, k, 80)[-1][2] == 0
+    assert {c for i, _, c in brute_components([p for p in alone if p[0] != 1], k, 80)} == {0, 100_001}
+    docs = spark.createDataFrame(pairs, "doc_id long, text string").repartition(5)
+    got = lshforest.with_component_id(
+        lshforest.linked_components(docs, "doc_id", "text", k, 80), "doc_id")
+    assert [r["doc_id"] for r in got.filter("component_id != 0").collect()] == []
+
+
 def test_one_of_each_stays(spark, awkward, empty):
     pairs = near_copies() + AWKWARD
     docs = spark.createDataFrame([(i, t, i) for i, t in pairs], "doc_id long, text string, node long")
