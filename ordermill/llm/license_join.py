@@ -1,8 +1,10 @@
 """License scan: an exact set-similarity join of text blocks with templates.
 
 A block is a line, or of a line of more than ``BLOCK`` words every run of
-``BLOCK`` words that starts at a multiple of half of it. A block meets a template
-if it has at least ``THRESHOLD`` of the template's distinct words.
+``BLOCK`` words that starts at a multiple of half of it. The whole text's words are
+cut like one line too, so wording of up to half a block and one word is found
+wherever its lines are broken. A block meets a template if it has at least
+``THRESHOLD`` of the template's distinct words.
 
 Words are ordered by how often they occur in the whole corpus, rare ones first.
 A block that lacks a template's first words - as many as may be missing, and one
@@ -75,8 +77,8 @@ class Join:
     def blocks(self, text: str, words: list[bytes]) -> Iterator[list[bytes]]:
         """Blocks with a template's first word."""
         wanted = self.first_words
-        for line in text.split("\n"):
-            line = words if line is text else words_of(line)
+        lines = text.split("\n")
+        for line in [words, *(map(words_of, lines) if len(lines) > 1 else ())]:
             if wanted.isdisjoint(line):
                 continue
             if len(line) <= self.block:

@@ -5,6 +5,7 @@ import base64
 import hashlib
 import random
 import re
+import textwrap
 from collections import Counter
 from zlib import crc32
 
@@ -331,6 +332,27 @@ def test_license_scan_equals_brute_force(spark, empty):
     assert license_join.scan(empty, "doc_id", "text").count() == 0
 
 
+def test_wrapped_licenses_are_found(spark):
+    whole = {
+        "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+               "this software and associated documentation files (the \"Software\"), to deal in it.",
+        "bsd": "Redistribution and use in source and binary forms, with or without modification, "
+               "are permitted provided that the following conditions are met:",
+        "apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\");"}
+    pairs, want = [], {}
+    for label, text in whole.items():
+        for width in (30, 70, 80):
+            for before in range(0, 45, 4):
+                lines = textwrap.wrap(" ".join(["x"] * before + [text]), width)
+                want[len(pairs)] = label
+                pairs.append((len(pairs), "\n".join(f" * {x}" for x in lines)))
+    pairs += [(-1, "licensed under the apache\nlicense, version 2.0"), (-2, "licensed under the\napache")]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_join.scan(docs, "doc_id", "text").collect()}
+    assert {i: r["labels"] for i, r in got.items()} == want | {-1: "apache-2.0", -2: ""}
+    assert all((r["score"] >= 0.9) == (i != -2) for i, r in got.items())
+
+
 def test_op10_brute_force(spark, texts):
     got = rows(queries.op10_license_join(spark, SF))
     assert got == sorted(((i, *brute_license(t)) for i, t in texts.items()), key=repr)
