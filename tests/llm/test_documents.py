@@ -386,6 +386,11 @@ def test_pipeline_stage_by_stage(spark, documents):
     assert last.count() == sizes[3] and last.columns == ["doc_id", "ids", "n_tokens", "decoded"]
 
 
+def test_pipeline_stage_on_a_crowd(spark):
+    docs = spark.createDataFrame(crowd(5), "doc_id long, text string").repartition(5)
+    assert [r["doc_id"] for r in corpus_pipeline.minhash_near_dedup(spark, docs, SF).collect()] == [0]
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
