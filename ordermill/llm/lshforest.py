@@ -7,7 +7,7 @@ reaches the threshold; linked texts form components.
    the set. Texts with equal sets are one *node* from here on, so copies cost
    nothing however many there are.
 2. The forest: 32 orders of the minima. In each order all nodes are sorted by
-   their minima (range partitions, so a region of any size is split). Nodes that
+   their minima, then by name (range partitions, so a region of any size is split). Nodes that
    agree in the first four minima of an order lie in one *region*; two texts of
    similarity 0.8 share none of 32 regions with a probability of about 1e-6.
 3. A node is first compared with its neighbour of the longest common prefix in
@@ -162,7 +162,7 @@ def forest(nodes: DataFrame) -> DataFrame:
     order = ["order", "region", "rest", "node"]
     rows = nodes.select("node", "n", "sig").mapInArrow(
         spread, "order int, region long, rest long, node binary, n long")
-    return (rows.repartitionByRange(*order[:3]).sortWithinPartitions(*order)
+    return (rows.repartitionByRange(*order).sortWithinPartitions(*order)
             .mapInArrow(neighbours, "order int, region long, rest long, node binary, n long, "
                                     "near array<binary>"))
 
