@@ -7,13 +7,15 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ..session import scratch_root
-from . import (decontaminate, eliasfano, license_join, linefreq, lshforest, quality,
-               rendezvous, sketch, spbpe, warc)
+from . import (collocations, decontaminate, eliasfano, license_join, linefreq, lshforest,
+               mixing, quality, rendezvous, sketch, spbpe, warc, whitening)
 from .tables import stored, table
 
 SHARDS = 8
 #: Of a document by the quality classifier.
 ACCEPTED = 0.3
+#: Of the sources in their order, repeated.
+MIX_WEIGHTS = (5, 2, 1)
 CRAWL_DATE = "2024-01-01T00:00:00Z"
 
 
@@ -108,6 +110,26 @@ def op9_sentencepiece(spark, sf_dir):
                         public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_whitening(spark, sf_dir):
+    """All usable embeddings whitened, with the figures of the fit."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def op12_mixing(spark, sf_dir):
+    """All documents with what the mix takes of each, by sources of weight 5, 2 and 1."""
+    docs, _ = stored(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", mixing.words(F.col("text")).alias("size")), "sizes")
+    mix = mixing.mixed(docs, "doc_id", "source", "size", lambda rank: F.element_at(
+        F.array(*map(F.lit, MIX_WEIGHTS)), (rank % len(MIX_WEIGHTS) + 1).cast("int")))
+    return mix.select("doc_id", "size", "source_size", "target",
+                      (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op13_collocations(spark, sf_dir):
+    """The best phrases of each language of all documents."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), "lang", "text")
+
+
 def pipeline(spark, sf_dir):
     """All stages of corpus_pipeline.py."""
     import corpus_pipeline
@@ -118,7 +140,7 @@ def pipeline(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_rendezvous, op3_decontamination, op4_elias_fano, op5_threshold_sketch,
     op6_quality, op7_lsh_forest, op8_line_frequency, op9_sentencepiece, op10_license_join,
-    pipeline)}
+    op11_whitening, op12_mixing, op13_collocations, pipeline)}
 
 _HASH = "cast('0x' || left(md5({}), 13) as bigint)"
 _UNIT = f"({_HASH.format("'shards/' || doc_id || '/' || s")} + 0.5) / pow(2, 52)"
@@ -191,5 +213,62 @@ _OP8_SQL = f"""
     select doc_id, source, case when len(k) < len(w) then array_to_string(k, chr(10))
            else text end as text, coalesce(cast(len(w) - len(k) as int), 0) as n_dropped from kept"""
 
+_OP12_SQL = f"""
+    with d as (select doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''),
+                      '[ \\x09-\\x0D]+'), lambda w: w <> '')) as size from documents),
+    s as (select *, 2.0 * source_size as cap,
+                 [5, 2, 1][1 + (row_number() over (order by source nulls last) - 1) % 3] as w
+          from (select source, cast(sum(size) as bigint) as source_size from d group by source)),
+    -- The sources that are full first come first.
+    q as (select *, row_number() over (order by cap / w, source nulls last) as k from s),
+    levels as (
+        select k, cap, w, (1.5 * (select sum(source_size) from s)
+                           - coalesce(sum(cap) over before, 0)) / sum(w) over after as level
+        from q window before as (order by k rows between unbounded preceding and 1 preceding),
+                      after as (order by k rows between current row and unbounded following)),
+    l as (select greatest(0.0, coalesce(arg_min(level, k) filter (cap > level * w), 0)) as level
+          from levels),
+    t as (select source, source_size, least(cap, level * w) as target from s, l),
+    r as (select *, case when source_size > 0 then target / source_size else 0 end as rate from t)
+    select doc_id, cast(size as bigint) as size, source_size, target,
+           cast(size * (floor(rate) + case when ({_HASH.format("'mix/' || doc_id")} + 0.5)
+               / pow(2, 52) < rate - floor(rate) then 1 else 0 end) as bigint) as taken
+    from d join r on d.source is not distinct from r.source"""
+
+_OP13_SQL = """
+    with pieces as (
+        select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) as piece
+        from documents),
+    w as (select lang, list_filter(string_split_regex(piece, '[ \\x09]+'), lambda x: x <> '') as w
+          from pieces),
+    runs as (
+        select lang, g, unnest(list_transform(range(1, len(w) - g + 2),
+                                              lambda i: array_to_string(w[i:i + g - 1], ' '))) as p
+        from w, range(1, 4) as r(g)),
+    f as (select lang, g, p, count(*) as f from runs group by all),
+    c as (select lang, g, p, f as a, string_split(p, ' ') as w from f where g > 1 and f >= 10),
+    parts as materialized (
+        select lang, p, a, k, array_to_string(w[1:k], ' ') as head,
+               array_to_string(w[k + 1:], ' ') as tail
+        from c, range(1, 3) as s(k) where k < g),
+    cuts as (
+        select parts.lang, parts.p, a, k, h.f as l, t.f as r,
+               cast(1000000::hugeint * a * a // (h.f::hugeint * t.f) as bigint) as score
+        from parts join f h on h.lang = parts.lang and h.p = head
+                   join f t on t.lang = parts.lang and t.p = tail),
+    scored as (select * from cuts qualify row_number() over (
+        partition by lang, p order by score, k) = 1),
+    longer as (select lang, array_to_string(w[i:i + 1], ' ') as p, max(a) as m
+               from c, range(1, 3) as s(i) where g = 3 group by all),
+    n as (select lang, cast(sum(f) as bigint) as n from f where g = 1 group by lang)
+    select lang, row_number() over (partition by lang order by score desc, a desc, p) as rank,
+           p as phrase, a, l, r, n, score
+    from scored left join longer using (lang, p) join n using (lang)
+    where coalesce(100 * m < 50 * a, true)
+    qualify rank <= 2000"""
+
 ORACLES: dict[str, str] = {"op2_rendezvous": _op2_sql(), "op7_lsh_forest": _OP7_SQL,
-                           "op8_line_frequency": _OP8_SQL}
+                           "op8_line_frequency": _OP8_SQL, "op12_mixing": _OP12_SQL,
+                           "op13_collocations": _OP13_SQL}

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +22,14 @@ def importable(spark: SparkSession) -> SparkSession:
     return handle_skew(spark)
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name`` with as many underscores before it as it takes to be none of ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
