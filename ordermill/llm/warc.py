@@ -32,15 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _SPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivatives")
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?"
-                     r"(?:</\1\s*>|\Z)", re.S | re.I)
-_BREAK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|footer|form|h[1-6]|"
-                    r"header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)\b[^>]*>", re.I)
-_TAG = re.compile(r"<!?/?[a-zA-Z][^>]*>")
+_OPENS = re.compile(r"<(?:!--|([!?]?/?)([a-zA-Z][a-zA-Z0-9]*))")
+#: Elements whose content isn't shown.
+HIDDEN = frozenset(("script", "style", "noscript", "template", "head"))
+#: Elements that end a line of text.
+BLOCKS = frozenset(
+    "address article aside blockquote br dd div dl dt footer form h1 h2 h3 h4 h5 h6 header hr "
+    "li main nav ol p pre section table td th tr ul".split())
 _BLANKS = re.compile(r"[^\S\n]+")
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([\w-]+)", re.I)
+_HREF = re.compile(r"\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_LANG = re.compile(r"\blang\s*=\s*[\"']?([\w-]+)", re.I)
 
 
 def record_id(source: str, what: str) -> str:
@@ -51,13 +52,75 @@ def sha1(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
 
 
+def pieces(html: str) -> Iterator[tuple[str, str, int, int]]:
+    """Kind, name, start and end of the page's pieces, in one pass.
+
+    Kinds are ``text``, ``tag`` (with the element's name, led by / if it closes) and
+    ``hidden`` (a comment, or an element that isn't shown, as a whole). A tag ends at
+    the next >; without one, what follows is text. A hidden element or a comment that
+    isn't closed goes on to the end of the page.
+    """
+    at = done = 0
+    while m := _OPENS.search(html, at):
+        at = m.start()
+        if m[2] is None:
+            stop = html.find("-->", m.end())
+            kind, name, end = "hidden", "!--", len(html) if stop < 0 else stop + 3
+        else:
+            stop = html.find(">", m.end())
+            if stop < 0:
+                break
+            kind, name, end = "tag", m[1] + m[2].lower(), stop + 1
+            if name in HIDDEN:
+                close = re.compile(rf"</{name}\s*>", re.I).search(html, end)
+                kind, end = "hidden", close.end() if close else len(html)
+        if at > done:
+            yield "text", "", done, at
+        yield kind, name, at, end
+        at = done = end
+    if done < len(html):
+        yield "text", "", done, len(html)
+
+
 def page_text(html: str) -> str:
     """Visible text: a line per block element, blanks made single, no empty lines."""
-    text = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", html)))
-    lines = [x.strip() for x in _BLANKS.sub(" ", unescape(text)).split("\n")]
+    out = []
+    for kind, name, start, end in pieces(html):
+        if kind == "text":
+            out.append(html[start:end])
+        elif kind == "hidden":
+            out.append(" ")
+        elif name.lstrip("/") in BLOCKS:
+            out.append("\n")
+    lines = [x.strip() for x in _BLANKS.sub(" ", unescape("".join(out))).split("\n")]
     return "\n".join([x for x in lines if x])
 
 
+def opening(html: str, name: str) -> Iterator[tuple[int, int]]:
+    """Start and end of the opening tags of an element, wherever they stand."""
+    for m in re.finditer(rf"<{name}\b", html, re.I):
+        stop = html.find(">", m.end())
+        if stop < 0:
+            return
+        yield m.start(), stop + 1
+
+
+def title_of(html: str) -> str | None:
+    for _, end in opening(html, "title"):
+        close = re.compile(r"</title\s*>", re.I).search(html, end)
+        return _line(html[end:close.start()]) if close else None
+    return None
+
+
+def language_of(html: str) -> str | None:
+    upto = 0
+    for start, end in opening(html, "html"):
+        if start >= upto and (m := _LANG.search(html, start, end)):
+            return m[1]
+        upto = max(upto, end)
+    return None
+
+
 def _line(text: str) -> str:
     return " ".join(unescape(text).split())
 
@@ -65,8 +128,11 @@ def _line(text: str) -> str:
 def links(html: str, target: str | None) -> list[str]:
     """Targets of the page's links, resolved, in order, each once."""
     found = []
-    for groups in _LINK.findall(_HIDDEN.sub(" ", html)):
-        href = _line("".join(groups)).partition("#")[0]
+    for kind, name, start, end in pieces(html):
+        m = _HREF.search(html, start, end - 1) if kind == "tag" and name == "a" else None
+        if m is None:
+            continue
+        href = _line(m[1] or m[2] or m[3] or "").partition("#")[0]
         if href and not href.lower().startswith(("javascript:", "mailto:", "data:")):
             try:
                 found.append(urljoin(target, href) if target else href)
@@ -76,7 +142,11 @@ def links(html: str, target: str | None) -> list[str]:
 
 
 def responses(pages: DataFrame, key: str, url: str, html: str, date: str) -> DataFrame:
-    """Crawled pages as response records: warc_id, target, date, http_headers, payload."""
+    """Crawled pages as response records: warc_id, target, date, http_headers, payload.
+
+    A table of pages has no responses, so ids come from the key, the date is the
+    crawl's and the headers tell type and length only. Records read from an archive
+    go to ``derivatives`` as they are."""
     return pages.select(
         F.col(key).alias("source_key"), F.col(url).alias("target"), F.lit(date).alias("date"),
         F.concat_ws("", F.lit("<urn:response:"), F.coalesce(F.col(key).cast("string"),
@@ -88,6 +158,20 @@ def responses(pages: DataFrame, key: str, url: str, html: str, date: str) -> Dat
         F.col(html).alias("payload"))
 
 
+def header_fields(headers: str | None) -> tuple[str | None, list[tuple[str, str]]]:
+    """Status line and fields of an HTTP header in their order, repeated ones each; a
+    line that begins with a blank goes on with the one before."""
+    lines: list[str] = []
+    for line in (headers or "").replace("\r\n", "\n").split("\n"):
+        if line[:1] in " \t" and line.strip() and lines:
+            lines[-1] += " " + line.strip()
+        elif line:
+            lines.append(line)
+    status = lines.pop(0).strip() if lines and lines[0].startswith("HTTP/") else None
+    split = [x.partition(":") for x in lines]
+    return status, [(n.strip().lower(), v.strip()) for n, colon, v in split if colon]
+
+
 def derive(source: str, target: str | None, date: str | None, headers: str | None,
            payload: str | None) -> list[tuple]:
     """The two records of a response, as rows of ``RECORDS`` without the key."""
@@ -95,20 +179,16 @@ def derive(source: str, target: str | None, date: str | None, headers: str | Non
     digest = sha1(html.encode())
     text = page_text(html).encode()
     meta_id, text_id = record_id(source, "metadata"), record_id(source, "conversion")
-    title, lang = _TITLE.search(html), _LANG.search(html)
-    fields = [("title", _line(title[1]) if title else None), ("language", lang and lang[1]),
-              ("conversion", text_id), ("payload-digest", digest)]
-    fields += [("http-" + n.strip().lower(), v.strip()) for n, s, v in
-               (x.partition(":") for x in (headers or "").split("\r\n")) if s]
-    status = (headers or "").split("\r\n")[0]
-    fields += [("http-status", status)] if status.startswith("HTTP/") else []
+    status, http = header_fields(headers)
+    fields = [("title", title_of(html)), ("language", language_of(html)),
+              ("conversion", text_id), ("payload-digest", digest),
+              *[("http-" + n, v) for n, v in http], ("http-status", status)]
     fields += [("outlink", x) for x in links(html, target)]
     meta = "".join(f"{n}: {v}\r\n" for n, v in fields if v).encode()
     rows = []
     for kind, own, mime, block in (("metadata", meta_id, "application/warc-fields", meta),
                                    ("conversion", text_id, "text/plain; charset=utf-8", text)):
         head = [("WARC-Type", kind), ("WARC-Record-ID", own), ("WARC-Refers-To", source),
-                ("WARC-Concurrent-To", text_id if kind == "metadata" else meta_id),
                 ("WARC-Target-URI", target), ("WARC-Date", date),
                 ("WARC-Block-Digest", sha1(block)), ("WARC-Source-Payload-Digest", digest),
                 ("Content-Type", mime), ("Content-Length", str(len(block)))]

@@ -3,10 +3,14 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import pickle
 import random
 import re
 import textwrap
+import time
 from collections import Counter
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 from zlib import crc32
 
 import numpy as np
@@ -70,6 +74,78 @@ def test_op1_covers_all_pages(spark):
         assert "<" not in r["block"] or r["warc_type"] == "metadata" or "&lt;" in page["html"]
 
 
+class Parsed(HTMLParser):
+    """A page's lines of text and links, by the standard library's parser."""
+
+    def __init__(self, html, target):
+        super().__init__(convert_charrefs=True)
+        self.target, self.hidden, self.out, self.found = target, 0, [], []
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        if tag in warc.HIDDEN:
+            self.hidden += 1
+        if tag in warc.BLOCKS and not self.hidden:
+            self.out.append("\n")
+        href = dict(attrs).get("href") if tag == "a" and not self.hidden else None
+        if href:
+            self.found.append(urljoin(self.target, " ".join(href.split()).partition("#")[0]))
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in warc.HIDDEN
+        if tag in warc.BLOCKS and not self.hidden:
+            self.out.append("\n")
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.out.append(data)
+
+    def lines(self):
+        text = "".join(self.out)
+        return [x for x in (" ".join(line.split()) for line in text.split("\n")) if x]
+
+
+def test_op1_equals_a_parser(spark):
+    """Text and links of all pages against the library's parser."""
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    checked = 0
+    for r in queries.op1_warc(spark, SF).collect():
+        page = pages[r["source_key"]]
+        want = Parsed(page["html"], page["url"])
+        if r["warc_type"] == "conversion":
+            assert [" ".join(x.split()) for x in r["block"].split("\n") if x.strip()] == want.lines()
+            assert "WARC-Concurrent-To" not in r["header"]
+        else:
+            got = [x[9:] for x in r["block"].split("\r\n") if x.startswith("outlink: ")]
+            assert got == [x for x in dict.fromkeys(want.found) if not x.startswith(
+                ("mailto:", "javascript:", "data:"))]
+        checked += 1
+    assert checked == 2 * len(pages)
+
+
+def test_pages_of_unclosed_tags_take_time_in_proportion():
+    for part in ("<a href ", "<script ", "<!-- ", "<title>", "<title ", "<html ", "<a x=1 ", "<",
+                 "</script ", "<style>", "<a href='"):
+        html = part * (1_000_000 // len(part))
+        t = time.time()
+        warc.derive("<urn:a>", "http://h.org/", "d", None, html + "<p>end</p>")
+        warc.derive("<urn:a>", "http://h.org/", "d", None, html)
+        assert time.time() - t < 3, (part, time.time() - t)
+
+
+def test_headers_of_a_real_response():
+    headers = ("HTTP/1.1 301 Moved\r\nDate: Mon, 01 Jan 2024 00:00:00 GMT\r\nSet-Cookie: a=1\r\n"
+               "Set-Cookie: b=2; path=/\r\nX-Folded: one\r\n\ttwo\r\n   three\r\nno colon here\r\n")
+    meta, text = warc.derive("<urn:uuid:1>", "http://h.org/", "2024-01-01T00:00:00Z", headers, "<p>x")
+    fields = dict(zip(warc.NAMES, meta))["block"].split("\r\n")
+    assert [x for x in fields if x.startswith("http-")] == [
+        "http-date: Mon, 01 Jan 2024 00:00:00 GMT", "http-set-cookie: a=1",
+        "http-set-cookie: b=2; path=/", "http-x-folded: one two three",
+        "http-status: HTTP/1.1 301 Moved"]
+    assert dict(zip(warc.NAMES, text))["block"] == "x"
+
+
 # ---- decontamination -----------------------------------------------------------
 
 def edit(text, n, rnd):
@@ -92,7 +168,7 @@ def words(rnd, n):
 
 def test_edited_passages_are_found():
     rnd = random.Random(8)
-    items = [(i, words(rnd, 40)) for i in range(30)] + [(90, words(rnd, 9)[:50]), (91, "too short")]
+    items = [(i, words(rnd, 40)) for i in range(30)] + [(90, words(rnd, 9)[:50]), (91, "not so short")]
     index = decontaminate.Index(items)
     for i, text in items[:31]:
         p = decontaminate.plain(text)
@@ -123,8 +199,89 @@ def test_alignment_equals_the_full_table():
         t = edit(p, rnd.randint(0, 3), rnd)
         t, at = ("x" * (n := rnd.randint(0, 4))) + t + "yy", n
         best = edit_distance_inside(p, t)
-        got = decontaminate.align(p, t, at, 3)
-        assert got == best if best <= 3 and got is not None else best > 0
+        windows = decontaminate.windows_of(decontaminate.codes(t), np.array([at - 3]), 12 + 6)
+        got = decontaminate.align(decontaminate.codes(p)[None], windows, 3)[0]
+        assert got == min(best, 4) or best == 0 == got
+
+
+def stretches_inside(index, i, text):
+    """By the full table: whether any stretch of an item is in the text."""
+    p, w, k = index.texts[i], int(index.window[i]), int(index.edits[i])
+    return any(edit_distance_inside(p[a:a + w], text) <= k
+               for a in range(len(p) - w + 1))
+
+
+@pytest.mark.parametrize("kind", ["words", "periodic", "two letters"])
+def test_items_found_equal_brute_force(kind):
+    """Complete and exact with edits, also where q-grams repeat."""
+    rnd = random.Random(len(kind))
+    found = missed = 0
+    for _ in range(40):
+        if kind == "words":
+            item = words(rnd, 14)
+        elif kind == "periodic":
+            item = (rnd.choice(["-", "+--", "| a ", "=-=_"]) * 40)[:rnd.randint(40, 70)] + words(
+                rnd, rnd.randint(0, 4))
+        else:
+            item = "".join(rnd.choice("ab") for _ in range(60))
+        index = decontaminate.Index([(1, item)], length=40, per_edit=20)
+        p = index.texts[0]
+        w = int(index.window[0])
+        a = rnd.randrange(len(p) - w + 1)
+        part = edit(p[a:a + w], rnd.randint(0, 4), rnd)
+        text = decontaminate.plain(f"{words(rnd, 6)} {part} {words(rnd, 6)}" if rnd.random() < 0.8
+                                   else item[:30] + " " + words(rnd, 5) + " " + item[-30:])
+        want = stretches_inside(index, 0, text)
+        got = index.matches([text])[0]
+        assert bool(got) == want, (item, text)
+        for _, start, edits in got:
+            assert edit_distance_inside(p[start:start + w], text) <= edits <= int(index.edits[0])
+        found, missed = found + want, missed + (not want)
+    assert found > 5 and missed > 5
+
+
+def test_short_items_are_found_exactly():
+    items = [(1, "Yes!"), (2, "a b"), (3, "fourteen chars"), (4, "exactly 23 chars long .."[:23]),
+             (5, "a"), (6, " "), (7, "a b c")]
+    index = decontaminate.Index(items)
+    found = lambda t: sorted(m[0] for m in index.matches([t])[0])
+    assert found("say YES! now") == [1] and found("yes !") == [] and found("ya b") == []
+    assert found("x a  b c") == [2, 5, 7] and found("(a b)") == [2, 5]
+    assert found("xfourteen charsx") == [3] and found("fourteen char") == []
+    assert found("exactly 23 chars long .") == [4] and found("exactly 23 charz long .") == []
+
+
+def test_repeats_take_time_in_proportion():
+    """Rules of dashes, table borders and blank forms in items and texts."""
+    border = "+----------" * 60
+    items = [(1, "-" * 50), (2, "-" * 500), (3, border), (4, "-" * 60 + words(random.Random(1), 20)),
+             (5, "name: ______ " * 40)]
+    index = decontaminate.Index(items)
+    for text, want in (("-" * 100_000, [1, 2]), ("+----------" * 20_000, [3]),
+                       ("name: ______ " * 10_000, [5]), ("- " * 50_000, [])):
+        t = time.time()
+        got = sorted(m[0] for m in index.matches([text])[0])
+        assert got == want and time.time() - t < 3, (text[:20], got, time.time() - t)
+
+
+def test_text_ids_and_names(spark):
+    bench = spark.createDataFrame([("q1", "the quick brown fox jumps over the lazy dog again")],
+                                  "item_id string, text string")
+    docs = spark.createDataFrame([("d", "The quick brown fox jumps over the lazy dog again", "c")],
+                                 "doc string, text string, item_id string")
+    assert rows(decontaminate.contaminations(docs, "doc", "text", bench, "item_id", "text")) == [
+        ("d", "q1", 0, 0)]
+    with pytest.raises(ValueError):
+        decontaminate.contaminations(docs, "item_id", "text", bench, "item_id", "text")
+    assert decontaminate.clean(docs, "text", bench, "item_id", "text").count() == 0
+
+
+def test_index_is_bounded_in_bytes():
+    rnd = random.Random(9)
+    index = decontaminate.Index([(i, words(rnd, 400)) for i in range(100)])
+    chars = sum(map(len, index.texts))
+    size = len(pickle.dumps(index))
+    assert size < 60 * chars, size / chars
 
 
 def test_op3_finds_whole_items(spark, texts):
