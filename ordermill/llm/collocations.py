@@ -12,16 +12,20 @@ three passes over the texts:
 3. The union of what is frequent in a shard is counted over all texts, exactly and
    by the words themselves, and what meets the support stays.
 
-Passes 1 and 2 count 64-bit hashes: phrases that share one only add a candidate.
+Passes 1 and 2 count 48-bit hashes: phrases that share one only add a candidate, as
+their counts are added up. Tasks combine their own counts and send them packed, a row
+for each of the buckets that the hashes are dealt into; the number of buckets follows
+from the size of all texts, so that a bucket's counts stay some ten megabytes. A
+candidate whose counts in all shards miss the support together is dropped at once.
 Candidates go to the tasks as a bit map of a fixed 2^27 positions (16 MB),
 whatever their number; what shares a position with one is counted in vain and
-dropped by the exact count. A shard is mined by many tasks, which combine their
-own counts and shuffle a row a phrase, so the number of shards doesn't grow with
-the input: a shard of less than a tenth of it would have a support of 1 and
-exclude nothing. A task's partition tells its shard; the documents must be read
-from stored files, so that a task that is run again has the same rows.
+dropped by the exact count. A shard is mined by many tasks, so the number of shards
+doesn't grow with the input: a shard of less than a tenth of it would have a support
+of 1 and exclude nothing. A task's partition tells its shard; the documents must be
+read from stored files, so that a task that is run again has the same rows.
 
-Texts are taken in blocks of some megabytes, a longer text is a block of its own.
+Texts are taken in blocks of some 2 MB, a longer text ends its block, so a worker
+holds some 100 MB whatever the texts are in all.
 Null texts are empty, a null language is ``und``, and repeated rows count as often
 as they occur. An empty table gives no phrases. Columns beside these are ignored.
 """
@@ -48,7 +52,12 @@ BEST = 2000
 COVERED = 50
 NO_LANG = "und"
 BITS = 27
-BLOCK = 1 << 23
+#: Bits of a phrase's hash; bytes that hold them below those of the bucket.
+KEY_BITS, PACKED = 48, 5
+#: Characters of a block of texts, texts' bytes to a bucket, counts held by a task.
+BLOCK = 1 << 21
+BUCKET_BYTES = 1 << 23
+HELD = 1 << 21
 
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b" \t"
@@ -69,32 +78,34 @@ class Words:
         data = [t.encode() for t in texts]
         ends = np.cumsum([len(d) + 1 for d in data])
         raw = _LOWER[np.frombuffer(b"\n".join(data) + b"\n", dtype=np.uint8)]
+        del data
         kind = _CLASS[raw]
         inside = kind == 0
         edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
         if inside[0]:
             edge = np.concatenate([[0], edge])
-        start, stop = edge[::2], edge[1::2]  # the last byte is never inside a word
-        size = stop - start
-        packed = pa.py_buffer(raw[inside].tobytes())
+        start, size = edge[::2], np.diff(edge)[::2]  # the last byte is never in a word
         offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
         text = pa.Array.from_buffers(pa.large_string(), len(size), [
-            None, pa.py_buffer(offsets.tobytes()), packed]).dictionary_encode()
-        word = text.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            None, pa.py_buffer(offsets), pa.py_buffer(raw[inside])]).dictionary_encode()
+        # Pieces end where one of their ends stands between two words.
+        piece = np.cumsum(kind == 2, dtype=np.int32)[start]
+        del raw, kind, inside, offsets, size, edge
         self.langs = sorted(set(langs))
         code = {v: i for i, v in enumerate(self.langs)}
         lang = np.array([code[v] for v in langs], dtype=np.int64)[
             np.searchsorted(ends, start, side="right")]
         self.count = np.bincount(lang, minlength=len(self.langs))
-        seen, self.id = np.unique(lang * max(1, len(text.dictionary)) + word,
-                                  return_inverse=True)
-        self.lang, at = np.divmod(seen, max(1, len(text.dictionary)))
+        distinct = max(1, len(text.dictionary))
+        seen, inverse = np.unique(lang * distinct + text.indices.to_numpy(
+            zero_copy_only=False), return_inverse=True)
+        self.id = inverse.astype(np.int32)
+        self.lang, at = np.divmod(seen, distinct)
         self.word = text.dictionary.take(pa.array(at))
-        # Pieces end where one of their ends stands between two words.
-        piece = np.cumsum(kind == 2, dtype=np.int32)[start]
         same = piece[1:] == piece[:-1]
-        self.at = {1: np.arange(len(start)), 2: np.flatnonzero(same),
-                   3: np.flatnonzero(same[1:] & same[:-1])}
+        self.at = {1: np.arange(len(start), dtype=np.int32),
+                   2: np.flatnonzero(same).astype(np.int32),
+                   3: np.flatnonzero(same[1:] & same[:-1]).astype(np.int32)}
         self.hashed = np.array(
             [xxhash.xxh3_64_intdigest(w.encode(), seed=g) for w, g in zip(
                 self.word.to_pylist(), self.seeds())], dtype=np.uint64)
@@ -104,16 +115,16 @@ class Words:
         return [of[i] for i in self.lang.tolist()]
 
     def keys(self, length: int, at: np.ndarray) -> np.ndarray:
-        """64-bit hashes of the runs of ``length`` words at these places."""
+        """48-bit hashes of the runs of ``length`` words at these places."""
         key = np.full(len(at), 0x9E3779B97F4A7C15 * length % 2 ** 64, dtype=np.uint64)
         for k in range(length):
             key = (key ^ self.hashed[self.id[at + k]]) * np.uint64(0xFF51AFD7ED558CCD)
             key ^= key >> np.uint64(32)
-        return key.view(np.int64)
+        return (key >> np.uint64(64 - KEY_BITS)).view(np.int64)
 
 
 def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Words]:
-    """Words of some 8 MB of texts at a time; columns are language and text."""
+    """Words of some 2 MB of texts at a time; columns are language and text."""
     langs, texts, held = [], [], 0
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -150,26 +161,101 @@ def triples(w: Words, bits: np.ndarray) -> np.ndarray:
     return at[pair[at] & pair[at + 1]]
 
 
-def _local(batches, shards: int, lengths: tuple[int, ...], shared) -> Iterator[pa.RecordBatch]:
+def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and their counts added up."""
+    key, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return key, np.bincount(back, np.concatenate(counts), len(key)).astype(np.int64)
+
+
+def packed(key: np.ndarray, n: np.ndarray, shard: int, bits: int) -> pa.RecordBatch:
+    """A row for each bucket (the upper ``bits`` of a key) with its keys and counts."""
+    low = KEY_BITS - bits
+    bucket, first = np.unique(key >> low, return_index=True)
+    ends = np.r_[first[1:], len(key)]
+    rest = (key & ((1 << low) - 1)).astype("<i8").view(np.uint8).reshape(-1, 8)[:, :PACKED]
+    rest, counts = rest.tobytes(), n.astype("<i4").tobytes()
+    return pa.record_batch({
+        "bucket": pa.array(bucket.astype(np.int32)),
+        "shard": pa.array(np.full(len(bucket), shard, np.int32)),
+        "keys": pa.array([rest[PACKED * a:PACKED * b] for a, b in zip(first, ends)], pa.binary()),
+        "counts": pa.array([counts[4 * a:4 * b] for a, b in zip(first, ends)], pa.binary())})
+
+
+def unpacked(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Keys below their bucket's bits, and counts."""
+    key = np.zeros((len(counts) // 4, 8), np.uint8)
+    key[:, :PACKED] = np.frombuffer(keys, np.uint8).reshape(-1, PACKED)
+    return key.view("<i8").ravel(), np.frombuffer(counts, "<i4").astype(np.int64)
+
+
+PACKED_DDL = "bucket int, shard int, keys binary, counts binary"
+
+
+def _local(batches, shards: int, lengths: tuple[int, ...], bits: int, shared
+           ) -> Iterator[pa.RecordBatch]:
     """Counts of the hashes of this task's phrases."""
     shard = TaskContext.get().partitionId() % shards
-    bits = None if shared is None else np.frombuffer(shared.value, dtype=np.uint8)
+    known = None if shared is None else np.frombuffer(shared.value, dtype=np.uint8)
+    keys, counts, held = [], [], 0
     for w in blocks(batches):
         for length in lengths:
-            at = w.at[length] if bits is None else triples(w, bits)
+            at = w.at[length] if known is None else triples(w, known)
             key, n = np.unique(w.keys(length, at), return_counts=True)
-            yield pa.record_batch({"shard": pa.array(np.full(len(key), shard, np.int32)),
-                                   "key": pa.array(key), "n": pa.array(n)})
-
+            keys.append(key)
+            counts.append(n)
+            held += len(key)
+        if held >= HELD:
+            yield packed(*summed(keys, counts), shard, bits)
+            keys, counts, held = [], [], 0
+    if held:
+        yield packed(*summed(keys, counts), shard, bits)
+
+
+def _frequent(batches, support: int, shards: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Keys that reach their share of the support in a shard, bucket by bucket; rows
+    come in the order of buckets."""
+    at, shards_of = None, {}
+
+    def found() -> pa.RecordBatch:
+        by = [summed(*parts) for parts in shards_of.values()]
+        local = np.unique(np.concatenate([k[n >= -(-support // shards)] for k, n in by]))
+        total = np.zeros(len(local), np.int64)
+        for k, n in by:
+            place = np.minimum(np.searchsorted(k, local), len(k) - 1)
+            total += np.where(k[place] == local, n[place], 0)
+        keys = local[total >= support] | (at << KEY_BITS - bits)
+        return pa.record_batch({"key": pa.array(keys)})
 
-def frequent_in_a_shard(docs: DataFrame, support: int, shards: int,
-                        lengths: tuple[int, ...], shared=None) -> DataFrame:
+    for batch in batches:
+        for bucket, shard, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            if at is not None and bucket != at:
+                yield found()
+                shards_of = {}
+            at = bucket
+            own = shards_of.setdefault(shard, ([], []))
+            key, n = unpacked(keys, counts)
+            own[0].append(key)
+            own[1].append(n)
+            if len(own[0]) > 1 and sum(map(len, own[0][1:])) > HELD:
+                merged = summed(*own)       # a bucket of more parts than are held
+                shards_of[shard] = ([merged[0]], [merged[1]])
+    if at is not None:
+        yield found()
+
+
+def bucket_bits(docs: DataFrame, text: str) -> int:
+    """Bits of the buckets, from the bytes of all texts: 2^8 to 2^20 buckets."""
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return min(20, max(8, int(size // BUCKET_BYTES).bit_length()))
+
+
+def frequent_in_a_shard(docs: DataFrame, support: int, shards: int, lengths: tuple[int, ...],
+                        bits: int, shared=None) -> DataFrame:
     """Distinct hashes ``key`` of the phrases that reach their share of the support
     in a shard; shares are rounded up, and 1 less in each is less than the support."""
-    local = docs.mapInArrow(lambda b: _local(b, shards, lengths, shared),
-                            "shard int, key long, n long")
-    return (local.groupBy("shard", "key").agg(F.sum("n").alias("n"))
-            .filter(F.col("n") >= -(-support // shards)).select("key").distinct())
+    local = docs.mapInArrow(lambda b: _local(b, shards, lengths, bits, shared), PACKED_DDL)
+    return (local.repartition("bucket").sortWithinPartitions("bucket")
+            .mapInArrow(lambda b: _frequent(b, support, shards, bits), "key long"))
 
 
 def bit_map(spark: SparkSession, keys: DataFrame, start: bytes | None = None) -> bytes:
@@ -199,7 +285,7 @@ def _exact(batches, shared) -> Iterator[pa.RecordBatch]:
               3: candidates_at(w, 3, bits, triples(w, bits))}
         for length, at in of.items():
             # Ids of a run by those of its start: exact whatever their number.
-            run = w.id[at]
+            run = w.id[at].astype(np.int64)
             for k in range(1, length):
                 run = np.unique(run, return_inverse=True)[1] * len(w.word) + w.id[at + k]
             _, first, n = np.unique(run, return_index=True, return_counts=True)
@@ -224,10 +310,11 @@ def frequent_phrases(docs: DataFrame, lang: str, text: str, support: int = SUPPO
     phrase the number of all words of a language."""
     spark = docs.sparkSession
     docs = docs.select(F.col(lang).cast("string"), F.col(text).cast("string"))
-    bits = bit_map(spark, frequent_in_a_shard(docs, support, shards, (1, 2)))
-    shared = spark.sparkContext.broadcast(bits)
-    bits = bit_map(spark, frequent_in_a_shard(docs, support, shards, (3,), shared), bits)
-    shared = spark.sparkContext.broadcast(bits)
+    deal = bucket_bits(docs, text)
+    known = bit_map(spark, frequent_in_a_shard(docs, support, shards, (1, 2), deal))
+    shared = spark.sparkContext.broadcast(known)
+    known = bit_map(spark, frequent_in_a_shard(docs, support, shards, (3,), deal, shared), known)
+    shared = spark.sparkContext.broadcast(known)
     counted = docs.mapInArrow(lambda b: _exact(b, shared),
                               "lang string, phrase string, length int, f long")
     return (counted.groupBy("lang", "phrase", "length").agg(F.sum("f").alias("f"))
