@@ -12,7 +12,7 @@ three passes over the texts:
 3. The union of what is frequent in a shard is counted over all texts, exactly and
    by the words themselves, and what meets the support stays.
 
-Passes 1 and 2 count 48-bit hashes: phrases that share one only add a candidate, as
+Passes 1 and 2 count hashes: phrases that share one only add a candidate, as
 their counts are added up. Tasks combine their own counts and send them packed, a row
 for each of the buckets that the hashes are dealt into; the number of buckets follows
 from the size of all texts, so that a bucket's counts stay some ten megabytes. A
@@ -52,8 +52,8 @@ BEST = 2000
 COVERED = 50
 NO_LANG = "und"
 BITS = 27
-#: Bits of a phrase's hash; bytes that hold them below those of the bucket.
-KEY_BITS, PACKED = 48, 5
+#: Bits of a phrase's hash below those of its bucket.
+LOW = 32
 #: Characters of a block of texts, texts' bytes to a bucket, counts held by a task.
 BLOCK = 1 << 21
 BUCKET_BYTES = 1 << 23
@@ -115,12 +115,12 @@ class Words:
         return [of[i] for i in self.lang.tolist()]
 
     def keys(self, length: int, at: np.ndarray) -> np.ndarray:
-        """48-bit hashes of the runs of ``length`` words at these places."""
+        """63-bit hashes of the runs of ``length`` words at these places."""
         key = np.full(len(at), 0x9E3779B97F4A7C15 * length % 2 ** 64, dtype=np.uint64)
         for k in range(length):
             key = (key ^ self.hashed[self.id[at + k]]) * np.uint64(0xFF51AFD7ED558CCD)
             key ^= key >> np.uint64(32)
-        return (key >> np.uint64(64 - KEY_BITS)).view(np.int64)
+        return (key >> np.uint64(1)).view(np.int64)
 
 
 def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Words]:
@@ -141,7 +141,8 @@ def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[Words]:
 
 
 def positions(keys: np.ndarray) -> np.ndarray:
-    return keys & ((1 << BITS) - 1)
+    """Places in the bit map: the last of the bits that every hash keeps."""
+    return (keys >> 63 - LOW - 8) & ((1 << BITS) - 1)
 
 
 def marked(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -168,24 +169,21 @@ def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 
 
 def packed(key: np.ndarray, n: np.ndarray, shard: int, bits: int) -> pa.RecordBatch:
-    """A row for each bucket (the upper ``bits`` of a key) with its keys and counts."""
-    low = KEY_BITS - bits
-    bucket, first = np.unique(key >> low, return_index=True)
+    """A row for each bucket (the upper ``bits`` of a key) with the next 32 bits of its
+    keys, and counts of a byte; what is counted more often is there several times."""
+    times = -(-n // 255)
+    last = np.cumsum(times) - 1
+    counts = np.full(times.sum(), 255, np.uint8)
+    counts[last] = n - 255 * (times - 1)
+    key = np.repeat(key, times) >> 63 - LOW - bits
+    bucket, first = np.unique(key >> LOW, return_index=True)
     ends = np.r_[first[1:], len(key)]
-    rest = (key & ((1 << low) - 1)).astype("<i8").view(np.uint8).reshape(-1, 8)[:, :PACKED]
-    rest, counts = rest.tobytes(), n.astype("<i4").tobytes()
+    rest, counts = key.astype("<u4").tobytes(), counts.tobytes()
     return pa.record_batch({
         "bucket": pa.array(bucket.astype(np.int32)),
         "shard": pa.array(np.full(len(bucket), shard, np.int32)),
-        "keys": pa.array([rest[PACKED * a:PACKED * b] for a, b in zip(first, ends)], pa.binary()),
-        "counts": pa.array([counts[4 * a:4 * b] for a, b in zip(first, ends)], pa.binary())})
-
-
-def unpacked(keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Keys below their bucket's bits, and counts."""
-    key = np.zeros((len(counts) // 4, 8), np.uint8)
-    key[:, :PACKED] = np.frombuffer(keys, np.uint8).reshape(-1, PACKED)
-    return key.view("<i8").ravel(), np.frombuffer(counts, "<i4").astype(np.int64)
+        "keys": pa.array([rest[4 * a:4 * b] for a, b in zip(first, ends)], pa.binary()),
+        "counts": pa.array([counts[a:b] for a, b in zip(first, ends)], pa.binary())})
 
 
 PACKED_DDL = "bucket int, shard int, keys binary, counts binary"
@@ -223,8 +221,8 @@ def _frequent(batches, support: int, shards: int, bits: int) -> Iterator[pa.Reco
         for k, n in by:
             place = np.minimum(np.searchsorted(k, local), len(k) - 1)
             total += np.where(k[place] == local, n[place], 0)
-        keys = local[total >= support] | (at << KEY_BITS - bits)
-        return pa.record_batch({"key": pa.array(keys)})
+        key = (at << LOW) | local[total >= support].astype(np.int64)
+        return pa.record_batch({"position": pa.array(positions(key << 63 - LOW - bits))})
 
     for batch in batches:
         for bucket, shard, keys, counts in zip(*(c.to_pylist() for c in batch.columns)):
@@ -233,9 +231,8 @@ def _frequent(batches, support: int, shards: int, bits: int) -> Iterator[pa.Reco
                 shards_of = {}
             at = bucket
             own = shards_of.setdefault(shard, ([], []))
-            key, n = unpacked(keys, counts)
-            own[0].append(key)
-            own[1].append(n)
+            own[0].append(np.frombuffer(keys, "<u4"))
+            own[1].append(np.frombuffer(counts, np.uint8))
             if len(own[0]) > 1 and sum(map(len, own[0][1:])) > HELD:
                 merged = summed(*own)       # a bucket of more parts than are held
                 shards_of[shard] = ([merged[0]], [merged[1]])
@@ -251,18 +248,17 @@ def bucket_bits(docs: DataFrame, text: str) -> int:
 
 def frequent_in_a_shard(docs: DataFrame, support: int, shards: int, lengths: tuple[int, ...],
                         bits: int, shared=None) -> DataFrame:
-    """Distinct hashes ``key`` of the phrases that reach their share of the support
-    in a shard; shares are rounded up, and 1 less in each is less than the support."""
+    """Places in the bit map of the phrases that reach their share of the support in a
+    shard; shares are rounded up, and 1 less in each is less than the support."""
     local = docs.mapInArrow(lambda b: _local(b, shards, lengths, bits, shared), PACKED_DDL)
     return (local.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(lambda b: _frequent(b, support, shards, bits), "key long"))
+            .mapInArrow(lambda b: _frequent(b, support, shards, bits), "position long"))
 
 
-def bit_map(spark: SparkSession, keys: DataFrame, start: bytes | None = None) -> bytes:
-    """A bit for each position of the keys: 2^27 bits, in pieces of 32,768, however
-    many keys there are."""
-    at = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)) + 1  # Spark counts from 1
-    rows = (keys.groupBy(F.bitmap_bucket_number(at).alias("bucket"))
+def bit_map(spark: SparkSession, places: DataFrame, start: bytes | None = None) -> bytes:
+    """A bit for each position: 2^27 bits, in pieces of 32,768, however many there are."""
+    at = F.col("position") + 1  # Spark counts from 1
+    rows = (places.groupBy(F.bitmap_bucket_number(at).alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits")).collect())
     out = np.zeros(1 << BITS - 3, dtype=np.uint8) if start is None else np.frombuffer(
         start, dtype=np.uint8).copy()
@@ -332,16 +328,22 @@ def collocations(docs: DataFrame, lang: str, text: str, support: int = SUPPORT,
     f, _ = stored(frequent_phrases(docs, lang, text, support, shards), "phrases")
     phrases = f.filter("length > 1").select("lang", "phrase", "length", F.col("f").alias("a"))
     words = F.split("phrase", " ")
-    cuts = phrases.select("*", F.explode(F.expr("sequence(1, length - 1)")).alias("k")).select(
-        "lang", "phrase", "a", "k",
-        F.array_join(F.slice(words, F.lit(1), F.col("k")), " ").alias("head"),
-        F.array_join(F.slice(words, F.col("k") + 1, F.col("length")), " ").alias("tail"))
-    heads = f.filter("length > 0").select("lang", F.col("phrase").alias("head"),
-                                          F.col("f").alias("l"))
-    tails = heads.select("lang", F.col("head").alias("tail"), F.col("l").alias("r"))
-    scored = (cuts.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"])
-              .groupBy("lang", "phrase").agg(F.min(F.struct(
-                  F.expr(_SCORE).alias("score"), "k", "a", "l", "r")).alias("cut")).select("lang", "phrase", "cut.*"))
+
+    def run(first, length):
+        return F.array_join(F.slice(words, first, length), " ")
+
+    # Heads and tails are made where they are looked up, and not carried along.
+    known = f.filter("length > 0").select(F.col("lang").alias("_lang"),
+                                          F.col("phrase").alias("_part"), "f")
+    k = F.col("k")
+    cuts = phrases.select("*", F.explode(F.expr("sequence(1, length - 1)")).alias("k"))
+    for name, part in (("l", run(F.lit(1), k)), ("r", run(k + 1, F.col("length")))):
+        cuts = cuts.join(known, (F.col("lang") == F.col("_lang")) & (part == F.col("_part"))
+                         ).select("lang", "phrase", "length", "a", "k",
+                                  *(["l"] if name == "r" else []), F.col("f").alias(name))
+    scored = (cuts.groupBy("lang", "phrase").agg(F.min(F.struct(
+        F.expr(_SCORE).alias("score"), "k", "a", "l", "r")).alias("cut"))
+        .select("lang", "phrase", "cut.*"))
     pair = F.array(*[F.array_join(F.slice(words, i, 2), " ") for i in (1, 2)])
     longer = (phrases.filter("length = 3")
               .select("lang", F.explode(F.array_distinct(pair)).alias("phrase"), "a")
