@@ -358,6 +358,21 @@ CTES: dict[str, str] = {
         from fact f join dim_date d using (date_key) join dim_product p
         using (product_key) join dim_geography g using (geo_key)
         join dim_seller s using (seller_key) join dim_customer c using (customer_key)""",
+    "replay_items": """
+        select * exclude (rn) from (
+            select *, row_number() over (partition by order_id, order_item_id
+                order by product_id desc, seller_id desc, shipping_limit_date desc,
+                         price desc, freight_value desc) as rn
+            from src_items) where rn = 1""",
+    "replay_star": """
+        select i.*, o.order_status, o.delivery_days, o.days_vs_estimate, o.is_late,
+               cast(o.order_purchase_timestamp as date) as order_date,
+               cast(year(o.order_purchase_timestamp) as int) as year,
+               cast(month(o.order_purchase_timestamp) as int) as month,
+               category, customer_state, seller_state, customer_unique_id
+        from replay_items i join stg_orders o using (order_id)
+        join src_customers c on c.customer_id = o.customer_id
+        join categories using (product_id) join src_sellers using (seller_id)""",
     "mart_revenue": f"""
         select *, {rounded("cast(sum(revenue_x * 100) over w as hugeint)",
                            "100 * count(*) over w", 2)} as revenue_7d_avg,

@@ -2,15 +2,20 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
+from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import incremental as inc
-from ..operators import joins, plan_audit, run_log, staging
+from ..operators import joins, plan_audit, run_log
 from ..plans import elt
 from ..sources.layers import Layers
-from ..streaming.ingest import StreamSource, ingest_available
-from .base import CUTOFF, FIRST_DAY, query
+from ..streaming.ingest import StagingStream, StreamSource
+from .base import CTES, CUTOFF, FIRST_DAY, doubles, query
+from .modelling import STAGED_CUSTOMERS, STAGED_ITEMS
 
 MARK = dt.datetime.fromisoformat(CUTOFF)
 AS_OF = dt.date(2002, 1, 1)
@@ -149,6 +154,20 @@ def _expected_step(cycle: int, step: str, rows_in: str, rows_out: str,
             f"'success' as status")
 
 
+def _mart_rows(cycle: int) -> dict[str, str]:
+    """Rows of the mart periods that a cycle writes, and of all cohorts by then."""
+    own = f"order_date {'<' if cycle == 1 else '>='} date '{CUTOFF}'"
+    upto = re.sub(r"\bstar\b", "(select * from replay_star where "
+                  + (own if cycle == 1 else "true") + ")", CTES["cohort_rows"])
+    return {
+        "revenue_daily": "count(distinct (order_date, category, customer_state)) "
+                         f"from replay_star where order_status <> 'canceled' and {own}",
+        "delivery_performance":
+            "count(distinct (year, month, customer_state, seller_id)) from replay_star "
+            f"where order_status = 'delivered' and delivery_days is not null and {own}",
+        "customer_cohorts": f"count(*) from ({upto}) where month_offset between 0 and 3"}
+
+
 def _step_sql() -> str:
     def n(source: str, cycle: int, what: str = "count(*)") -> str:
         return f"(select {what} from {source} where cycle = {cycle})"
@@ -167,8 +186,8 @@ def _step_sql() -> str:
             _expected_step(cycle, "extract.orders", fresh("o"), fresh("o")),
             _expected_step(cycle, "extract.children", "null",
                            f"{fresh('i')} + {customers}"),
-            _expected_step(cycle, "quality.staging", "8", "8"),
-            _expected_step(cycle, "quality.warehouse", "7", "7"),
+            _expected_step(cycle, "quality.staging", "10", "10"),
+            _expected_step(cycle, "quality.warehouse", "9", "9"),
             _expected_step(cycle, "load.dim_date", "null", "2557"),
             _expected_step(cycle, "load.dim_product", "null",
                            "(select count(*) from src_products)"),
@@ -181,13 +200,16 @@ def _step_sql() -> str:
                 "(select n from moves)" if cycle == 2 else "0"),
             _expected_step(cycle, "load.fact",
                            fresh("i", key) if cycle < 3 else "null",
-                           fresh("i", key) if cycle < 3 else "null")]
+                           fresh("i", key) if cycle < 3 else "null"),
+            _expected_step(cycle, "quality.marts", "5", "5")]
         if cycle < 3:
             steps += [
                 _expected_step(cycle, "transform.customers", customers, n("c", cycle)),
                 _expected_step(cycle, "transform.orders", fresh("o"), fresh("o")),
                 _expected_step(cycle, "transform.order_items", fresh("i"),
-                               fresh("i", key))]
+                               fresh("i", key)),
+                *[_expected_step(cycle, f"marts.{mart}", "null", f"(select {what})")
+                  for mart, what in _mart_rows(cycle).items()]]
     return ARRIVED + """ select cast(run_id as bigint) as run_id, step,
         cast(rows_in as bigint) as rows_in, cast(rows_out as bigint) as rows_out,
         cast(rows_rejected as bigint) as rows_rejected, status from (""" + (
@@ -201,40 +223,106 @@ def _(t):
         "run_id", "step", "rows_in", "rows_out", "rows_rejected", "status")
 
 
+def _over_replay(sql: str) -> str:
+    return re.sub(r"\bstar\b", "replay_star", sql)
+
+
+@query("layer_mart_revenue", "select * exclude (revenue_x) from ("
+       + _over_replay(CTES["mart_revenue"]) + ")")
+def _(t):
+    """The revenue mart that the cycles kept up to date, as a full build would be."""
+    return replayed(t).read("marts/revenue_daily").drop("purchase_period")
+
+
+@query("layer_mart_delivery", _over_replay(CTES["mart_delivery"]))
+def _(t):
+    return replayed(t).read("marts/delivery_performance").drop("purchase_period")
+
+
+@query("layer_mart_cohorts", "with replay_cohort_rows as ("
+       + _over_replay(CTES["cohort_rows"]) + ") "
+       + CTES["mart_cohorts"].replace("cohort_rows", "replay_cohort_rows"))
+def _(t):
+    return replayed(t).read("marts/customer_cohorts")
+
+
+RESET_COUNTS = {
+    "staging/customers": "(select count(distinct customer_id) from src_customers "
+                         "where customer_id in (select customer_id from src_orders))",
+    "staging/orders": "(select count(*) from src_orders)",
+    "staging/order_items": "(select count(*) from replay_items)",
+    "warehouse/dim_date": "2557",
+    "warehouse/dim_product": "(select count(*) from src_products)",
+    "warehouse/dim_seller": "(select count(*) from src_sellers)",
+    "warehouse/dim_geography":
+        "(select count(distinct zip) + 1 from (select customer_zip_code_prefix as zip "
+        "from src_customers where customer_id in (select customer_id from src_orders) "
+        "union all select seller_zip_code_prefix from src_sellers))",
+    "warehouse/dim_customer":
+        "(select count(distinct customer_unique_id) from src_customers "
+        "where customer_id in (select customer_id from src_orders))",
+    "warehouse/fact_order_items": "(select count(*) from replay_items)",
+    "marts/revenue_daily":
+        "(select count(distinct (order_date, category, customer_state)) from replay_star "
+        "where order_status <> 'canceled')",
+    "marts/delivery_performance":
+        "(select count(distinct (year, month, customer_state, seller_id)) from replay_star "
+        "where order_status = 'delivered' and delivery_days is not null)",
+    "marts/customer_cohorts":
+        "(select count(*) from (" + _over_replay(CTES["cohort_rows"])
+        + ") where month_offset between 0 and 3)",
+}
+
+
 @query("reset_layers", " union all ".join(
-    f"select '{n}' as \"table\", cast(0 as bigint) as rows, "
-    f"cast({was} as bigint) as rows_before"
-    for n, was in (("staging/orders", "(select count(*) from src_orders)"),
-                   ("staging/order_items", "(select count(distinct (order_id, "
-                                           "order_item_id)) from src_items)"))))
+    f"select '{n}' as \"table\", cast({int(n.endswith('geography'))} as bigint) as rows, "
+    f"cast({was} as bigint) as rows_before" for n, was in RESET_COUNTS.items()))
 def _(t):
-    """Extract and stage everything, then clear the layers and the mark."""
+    """Load everything, then clear all layers and the mark; the unknown geography stays."""
     layers = Layers(t.spark, t.fresh_dir("reset"))
-    cycle = elt.Cycle(layers, t, 1, AS_OF, SETTINGS)
-    cycle.extract()
-    cycle.transform()
-    tables = ("staging/orders", "staging/order_items")
-    like = {n: layers.read(n) for n in tables}
-    before = {n: df.count() for n, df in like.items()}
+    elt.Cycle(layers, t, 1, AS_OF, replace(SETTINGS, unknown_geography=True)).run()
+    before = {n: layers.rows(0, n) for n in RESET_COUNTS}
     elt.reset(layers, 2)
-    out = None
-    for n in tables:
-        after = layers.read(n, t.spark.createDataFrame([], like[n].schema))
-        row = after.agg(F.count("*").alias("rows")).select(
-            F.lit(n).alias("table"), "rows",
-            F.lit(before[n]).cast("long").alias("rows_before"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    return reduce(DataFrame.unionByName, [
+        layers.read(n).agg(F.count("*").alias("rows")).select(
+            F.lit(n).alias("table"), "rows", F.lit(was).cast("long").alias("rows_before"))
+        for n, was in before.items()])
+
+
+_STREAMS: dict[tuple[str, str], str] = {}
+
+
+def streamed(t) -> Layers:
+    """Raw items, customers and orders arriving as file streams, in this order, merged
+    into staging; once per session."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    root = _STREAMS.get(key) or t.fresh_dir("stream")
+    layers = Layers(t.spark, f"{root}/layers")
+    if key not in _STREAMS:
+        source = StreamSource(t.spark, t.sf_dir)
+        merge = StagingStream(layers, months=SETTINGS.months_per_partition)
+        for name, stream in (("order_items", source.raw_items),
+                             ("customers", source.raw_customers),
+                             ("orders", source.raw_orders)):
+            merge.run_available(name, stream, f"{root}/checkpoint/{name}")
+        _STREAMS[key] = root
+    return layers
 
 
 @query("stream_ingest", "from stg_orders_int")
 def _(t):
-    """Raw orders arriving as a file stream, staged like the batch ones."""
-    root = t.fresh_dir("stream")
-    ingest_available(StreamSource(t.spark, t.sf_dir).raw_orders, f"{root}/landing",
-                     f"{root}/checkpoint")
-    landed = t.spark.read.parquet(f"{root}/landing").drop("_run_id")
-    return staging.stage_orders(landed)[0]
+    """Staged orders after the streams: those of the batch form."""
+    return streamed(t).read("staging/orders").drop("purchase_period")
+
+
+@query("stream_items", STAGED_ITEMS)
+def _(t):
+    return doubles(streamed(t).read("staging/order_items").drop("purchase_period"))
+
+
+@query("stream_customers", STAGED_CUSTOMERS)
+def _(t):
+    return streamed(t).read("staging/customers")
 
 
 # ---- run log reports over the event table ----------------------------------

@@ -18,11 +18,14 @@ AS_OF = dt.date.fromisoformat(MOVE_DATE)
 
 # ---- cleaning --------------------------------------------------------------
 
-@query("stage_customers", """
+STAGED_CUSTOMERS = """
     select customer_id, customer_unique_id,
            customer_zip_code_prefix as zip_code_prefix,
            customer_city || ' do sul novo' as city, customer_state as state
-    from src_customers""")
+    from src_customers"""
+
+
+@query("stage_customers", STAGED_CUSTOMERS)
 def _(t):
     return staging.stage_customers(t.raw_customers)[0]
 
@@ -42,13 +45,16 @@ RAW_ITEMS = """
     from lineitem"""
 
 
-@query("stage_items", f"""
+STAGED_ITEMS = f"""
     select order_id, order_item_id, product_id, seller_id, shipping_limit_date,
            cast(price as double) as price, cast(freight_value as double) as freight_value
     from (select *, row_number() over (partition by order_id, order_item_id
               order by shipping_limit_date desc, product_id desc, seller_id desc,
                        price desc, freight_value desc) as rn
-          from ({RAW_ITEMS}) where price >= 0 and freight_value >= 0) where rn = 1""")
+          from ({RAW_ITEMS}) where price >= 0 and freight_value >= 0) where rn = 1"""
+
+
+@query("stage_items", STAGED_ITEMS)
 def _(t):
     return doubles(staging.stage_items(t.raw_items)[0])
 

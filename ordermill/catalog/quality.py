@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import quality as dq
-from ..schemas import ORDER_STATUSES, PAYMENT_TYPES, Constraints
+from ..schemas import MART_RULES, ORDER_STATUSES, PAYMENT_TYPES, Constraints
 from .base import query
 
 RESULT = ["check", "value", "passed"]
@@ -28,14 +28,14 @@ def single(key: str, name: str, value_sql: str, condition: str = "value = 0"):
 @single("dq_not_empty", "orders not empty", "(select count(*) from src_orders)",
         "value > 0")
 def _(t):
-    return run(dq.Check("orders not empty", "o", F.count("*"), "value > 0", ""), t.orders)
+    return run(dq.Check("orders not empty", "o", F.count("*"), "value > 0"), t.orders)
 
 
 @single("dq_unique", "raw orders unique", "(select count(*) from src_orders)")
 def _(t):
     """The raw layer holds two versions of every order."""
     return run(dq.Check("raw orders unique", "o",
-                        dq.surplus_rows(t.raw_orders, ["order_id"]), "value = 0", ""))
+                        dq.surplus_rows(t.raw_orders, ["order_id"]), "value = 0"))
 
 
 @query("dq_not_null", " union all ".join(
@@ -43,7 +43,7 @@ def _(t):
     for c in ("order_purchase_timestamp", "order_delivered_customer_date")))
 def _(t):
     checks = [dq.Check(f"{c} present", "o", dq.violations(F.col(c).isNull()),
-                       "value = 0", "")
+                       "value = 0")
               for c in ("order_purchase_timestamp", "order_delivered_customer_date")]
     return dq.evaluate(checks, {"o": t.orders}).select(*RESULT)
 
@@ -53,7 +53,7 @@ def _(t):
         "and l_extendedprice > 0)")
 def _(t):
     return run(dq.Check("raw money non-negative", "i", dq.violations(
-        (F.col("price") < 0) | (F.col("freight_value") < 0)), "value = 0", ""),
+        (F.col("price") < 0) | (F.col("freight_value") < 0)), "value = 0"),
         t.raw_items)
 
 
@@ -63,7 +63,7 @@ def _(t):
 def _(t):
     delivered = t.orders.filter("order_status = 'delivered'")
     return run(dq.Check("items have a delivered parent", "i",
-                        dq.orphans(t.items, delivered, "order_id"), "value = 0", ""))
+                        dq.orphans(t.items, delivered, "order_id"), "value = 0"))
 
 
 @query("dq_length", expected(
@@ -75,7 +75,7 @@ def _(t):
 def _(t):
     def length(name, frame, column, n):
         return run(dq.Check(name, "x", dq.violations(F.length(F.trim(column)) != n),
-                            "value = 0", ""), frame)
+                            "value = 0"), frame)
     return length("state is 2 characters", t.raw_customers, "customer_state", 2).unionByName(
         length("seller city is 6 characters", t.sellers, "seller_city", 6))
 
@@ -86,7 +86,7 @@ def _(t):
     """Raw zips carry blanks, cleaned ones do not."""
     def numeric(name, frame, column):
         return run(dq.Check(name, "x", dq.violations(
-            ~F.col(column).rlike("^[0-9]+$")), "value = 0", ""), frame)
+            ~F.col(column).rlike("^[0-9]+$")), "value = 0"), frame)
     return numeric("zip numeric", t.staged_customers, "zip_code_prefix").unionByName(
         numeric("raw zip numeric", t.raw_customers, "customer_zip_code_prefix"))
 
@@ -96,14 +96,14 @@ def _(t):
         "value > 0")
 def _(t):
     return run(dq.Check("zip leading zeros kept", "c", dq.violations(
-        F.col("zip_code_prefix").startswith("0")), "value > 0", ""), t.staged_customers)
+        F.col("zip_code_prefix").startswith("0")), "value > 0"), t.staged_customers)
 
 
 @single("dq_row_reconcile", "fact rows match source",
         "(select count(*) from src_items) - (select count(*) from fact)")
 def _(t):
     return run(dq.Check("fact rows match source", "i",
-                        dq.count_difference(t.items, t.built("fact")), "value = 0", ""))
+                        dq.count_difference(t.items, t.built("fact")), "value = 0"))
 
 
 @query("dq_grain_unique", expected(
@@ -113,16 +113,16 @@ def _(t):
 def _(t):
     keys = ["order_id", "order_item_id"]
     return run(dq.Check("source grain unique", "i", dq.surplus_rows(t.items, keys),
-                        "value = 0", "")).unionByName(
+                        "value = 0")).unionByName(
         run(dq.Check("fact grain unique", "f", dq.surplus_rows(t.built("fact"), keys),
-                     "value = 0", "")))
+                     "value = 0")))
 
 
 @single("dq_no_unknown", "no fact on unknown geography",
         "(select count(*) from fact where geo_key = -1)")
 def _(t):
     return run(dq.Check("no fact on unknown geography", "f",
-                        dq.violations(F.col("geo_key") == -1), "value = 0", ""),
+                        dq.violations(F.col("geo_key") == -1), "value = 0"),
                t.built("fact"))
 
 
@@ -137,7 +137,7 @@ def _(t):
             "seller_key": t.built("dim_seller"), "geo_key": t.built("dim_geography"),
             "date_key": t.built("dim_date").filter("not is_weekend")}
     return run(dq.Check("fact resolves all dimensions", "f",
-                        dq.unresolved_facts(t.built("fact"), dims), "value = 0", ""))
+                        dq.unresolved_facts(t.built("fact"), dims), "value = 0"))
 
 
 @single("dq_one_current", "one current row per customer", """
@@ -145,14 +145,14 @@ def _(t):
      where is_current group by customer_unique_id))""", "value <= 1")
 def _(t):
     return run(dq.Check("one current row per customer", "d",
-                        dq.most_current_rows(t.built("dim_customer")), "value <= 1", ""))
+                        dq.most_current_rows(t.built("dim_customer")), "value <= 1"))
 
 
 @single("dq_ranges_ordered", "validity ranges ordered",
         "(select count(*) from dim_customer where valid_from >= valid_to)")
 def _(t):
     return run(dq.Check("validity ranges ordered", "d", dq.violations(
-        F.col("valid_from") >= F.col("valid_to")), "value = 0", ""),
+        F.col("valid_from") >= F.col("valid_to")), "value = 0"),
         t.built("dim_customer"))
 
 
@@ -160,7 +160,7 @@ def _(t):
         "(select count(*) from fact where price < 0)")
 def _(t):
     return run(dq.Check("fact prices non-negative", "f",
-                        dq.violations(F.col("price") < 0), "value = 0", ""),
+                        dq.violations(F.col("price") < 0), "value = 0"),
                t.built("fact"))
 
 
@@ -168,7 +168,7 @@ def _(t):
         "(select coalesce(sum(price), 0) from fact)", "value > 0")
 def _(t):
     return run(dq.Check("fact revenue positive", "f",
-                        F.coalesce(F.sum("price"), F.lit(0)), "value > 0", ""),
+                        F.coalesce(F.sum("price"), F.lit(0)), "value > 0"),
                t.built("fact"))
 
 
@@ -233,14 +233,14 @@ def _(t):
     frames = {"customers": t.customers, "sellers": t.sellers, "products": t.products,
               "orders": t.orders, "order_items": t.items, "order_payments": t.payments}
     checks = [c for name in TABLES for c in dq.constraint_checks(name, frames)
-              if "primary key" in c.name or "references" in c.name]
+              if isinstance(c.value, (dq.Copies, dq.Reference))]
     return dq.evaluate(checks, frames).select(*RESULT)
 
 
 @single("dq_calendar_contiguous", "calendar has no gaps", "0")
 def _(t):
     return run(dq.Check("calendar has no gaps", "d",
-                        dq.calendar_gaps(t.built("dim_date")), "value = 0", ""))
+                        dq.calendar_gaps(t.built("dim_date")), "value = 0"))
 
 
 @single("dq_mart_reconcile", "mart revenue equals warehouse", """
@@ -250,7 +250,7 @@ def _(t):
 def _(t):
     sold = t.built("fact").filter("order_status <> 'canceled'")
     return run(dq.Check("mart revenue equals warehouse", "m", dq.money_difference(
-        t.built("mart_revenue"), sold, "revenue", "price"), "value < 1", ""))
+        t.built("mart_revenue"), sold, "revenue", "price"), "value < 1"))
 
 
 @query("dq_bounded_pct", " union all ".join([
@@ -267,28 +267,29 @@ def _(t):
     d, c = "delivery", "cohorts"
     checks = [
         dq.Check("late_pct within 0..100", d,
-                 dq.violations(~F.col("late_pct").between(0, 100)), "value = 0", ""),
+                 dq.violations(~F.col("late_pct").between(0, 100)), "value = 0"),
         dq.Check("late items within delivered", d,
                  dq.violations(F.col("late_items") > F.col("delivered_items")),
-                 "value = 0", ""),
+                 "value = 0"),
         dq.Check("retention within 0..100", c,
-                 dq.violations(~F.col("retention_pct").between(0, 100)), "value = 0", ""),
+                 dq.violations(~F.col("retention_pct").between(0, 100)), "value = 0"),
         dq.Check("month 0 retention is 100", c, dq.violations(
             (F.col("month_offset") == 0) & (F.col("retention_pct") != 100)),
-            "value = 0", "")]
+            "value = 0")]
     return dq.evaluate(checks, {d: t.built("mart_delivery"),
                                 c: t.built("mart_cohorts")}).select(*RESULT)
 
 
 STAGING = [
-    expected("orders not empty", "(select count(*) from src_orders)", "value > 0"),
-    expected("orders unique on order_id", "0"),
-    expected("orders purchase timestamp present", "0"),
-    expected("items money non-negative", "{negative}"),
-    expected("items have a parent order", "0"),
-    expected("customers state well formed", "0"),
-    expected("customers zip numeric", "0"),
-    expected("customers zip leading zeros kept",
+    expected("orders has rows", "(select count(*) from src_orders)", "value > 0"),
+    expected("orders primary key", "0"), expected("orders.order_id not null", "0"),
+    expected("orders.order_purchase_timestamp not null", "0"),
+    expected("items.price in range", "{negative}"),
+    expected("items.freight_value in range", "0"),
+    expected("items.order_id references orders", "0"),
+    expected("customers.state has 2 characters", "0"),
+    expected("customers.zip_code_prefix like ^[0-9]+$", "0"),
+    expected("customers.zip_code_prefix sometimes starts with 0",
              "(select count(*) from src_customers where customer_zip_code_prefix "
              "like '0%')", "value > 0")]
 
@@ -297,23 +298,35 @@ STAGING = [
 def _(t):
     frames = {"orders": t.staged_orders, "items": t.staged_items,
               "customers": t.staged_customers}
-    return dq.evaluate(dq.staging_checks(**frames), frames).select(*RESULT)
+    return dq.evaluate(dq.staging_checks(), frames).select(*RESULT)
 
 
 @query("dq_warehouse_phase", " union all ".join([
-    expected("fact rows match staging",
+    expected("fact rows as items",
              "(select count(*) from stg_items) - (select count(*) from fact)"),
-    expected("fact grain unique", "0"), expected("fact customer keys resolve", "0"),
-    expected("one current row per customer", "1", "value <= 1"),
-    expected("validity ranges ordered", "0"), expected("fact prices non-negative", "0"),
-    expected("fact revenue positive",
-             "(select cast(trunc(sum(price)) as bigint) from fact)", "value > 0"),
-    expected("no fact on unknown geography", "0")]))
+    expected("fact primary key", "0"), expected("fact.order_id not null", "0"),
+    expected("fact.order_item_id not null", "0"),
+    expected("fact.customer_key references dim_customer", "0"),
+    expected("dim_customer.is_current once per customer_unique_id", "1", "value <= 1"),
+    expected("dim_customer.valid_from before valid_to", "0"),
+    expected("fact.price in range", "0"),
+    expected("fact.price in total", "(select sum(price) from fact)", "value > 0"),
+    expected("fact.geo_key never -1", "0")]))
 def _(t):
-    frames = {"fact": t.built("fact"), "dim_customer": t.built("dim_customer")}
-    return dq.evaluate(dq.warehouse_checks(
-        frames["fact"], t.staged_items, frames["dim_customer"], no_unknown=True),
-        frames).select(*RESULT)
+    frames = {"fact": t.built("fact"), "dim_customer": t.built("dim_customer"),
+              "items": t.staged_items}
+    return dq.evaluate(dq.warehouse_checks(no_unknown=True), frames).select(*RESULT)
+
+
+@query("dq_marts_phase", " union all ".join([
+    expected("delivery.late_pct in range", "(select count(*) from mart_delivery "
+                                           "where late_pct not between 0 and 100)"),
+    expected("cohorts.retention_pct in range", "(select count(*) from mart_cohorts "
+                                               "where retention_pct not between 0 and 100)")]))
+def _(t):
+    frames = {"delivery": t.built("mart_delivery"), "cohorts": t.built("mart_cohorts")}
+    checks = [c for n in frames for c in dq.constraint_checks(n, frames, MART_RULES[n])]
+    return dq.evaluate(checks, frames).select(*RESULT)
 
 
 @query("gate", f"""
@@ -322,13 +335,20 @@ def _(t):
                         "and l_tax = 0 and l_extendedprice > 0)"))
 def _(t):
     """The staging gate on items that were not cleaned: it stops the load. All
-    checks are reported, and whether the phase would publish."""
+    checks are reported, and whether the phase would publish. Each is measured
+    once, year by year where the table has a date, and merged."""
     frames = {"orders": t.staged_orders, "items": t.raw_items,
               "customers": t.staged_customers}
-    checks = dq.staging_checks(**frames)
-    published = True
+    checks = dq.bound(dq.staging_checks(), frames)
+    by = {"orders": F.year("order_purchase_timestamp").cast("string")}
+    states = {n: dq.measure(df, by.get(n, F.lit("")), [c for c in checks if c.table == n])
+              for n, df in frames.items()}
+    failed = []
     try:
-        dq.gate(checks, frames, "staging")
-    except dq.GateFailed:
-        published = False
-    return dq.evaluate(checks, frames).select(*RESULT, F.lit(published).alias("published"))
+        dq.gate(checks, states, "staging")
+    except dq.GateFailed as stopped:
+        failed = [name for name, _, _ in stopped.failures]
+    rows = [(c.name, float(dq.merged(c, states)), c.name not in failed, not failed)
+            for c in checks]
+    return t.spark.createDataFrame(
+        rows, "check string, value double, passed boolean, published boolean")

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import UNKNOWN_KEY
@@ -32,6 +32,34 @@ def point_in_time(facts: DataFrame, versions: DataFrame, key: str,
         & (at >= F.col("valid_from")) & (at < F.col("valid_to"))).drop("_vkey")
 
 
+def as_of(facts: DataFrame, versions: DataFrame, key: str, day: str, value: str
+          ) -> DataFrame:
+    """``facts`` with the ``value`` of the version of their key valid on their day
+    (``valid_from`` to before ``valid_to``); facts without one go. Versions of a key
+    don't overlap.
+
+    The days on which a key has facts are found first, counted together before the
+    shuffle; one sort per key of these days and of the versions' first days carries
+    the last version on. A group there is bounded by the calendar and the key's
+    versions, however many facts a key has, and facts never meet versions that
+    don't hold on their day. The facts then look up key and day by an equi-join.
+    """
+    days = facts.select(F.col(key), F.col(day).alias("_at")).distinct()
+    found = F.struct(value, "valid_to")
+    events = days.select(key, "_at", F.lit(None).cast(
+        versions.select(found.alias("v")).schema["v"].dataType).alias("_version"),
+        F.lit(1).alias("_kind")).unionByName(versions.select(
+            key, F.col("valid_from").alias("_at"), found.alias("_version"),
+            F.lit(0).alias("_kind")))
+    order = Window.partitionBy(key).orderBy("_at", "_kind").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    valid = (events.withColumn("_version", F.last("_version", ignorenulls=True).over(order))
+             .filter((F.col("_kind") == 1) & (F.col("_at") < F.col("_version.valid_to")))
+             .select(F.col(key).alias("_key"), "_at", F.col(f"_version.{value}").alias(value)))
+    return facts.join(valid, (F.col(key) == F.col("_key"))
+                      & (F.col(day) == F.col("_at"))).drop("_key", "_at")
+
+
 def lookup_or_unknown(facts: DataFrame, dim: DataFrame, on: str,
                       key: str, unknown: int = UNKNOWN_KEY) -> DataFrame:
     """Surrogate key of a dimension row, the unknown member where none matches."""

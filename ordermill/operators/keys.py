@@ -33,13 +33,15 @@ def assign_dense_keys(df: DataFrame, natural_key: str, key: str,
     )
 
 
-def extend_keys(existing: DataFrame, merged: DataFrame, natural_key: str,
-                key: str) -> DataFrame:
+def extend_keys(existing: DataFrame | None, merged: DataFrame, natural_key: str,
+                key: str, top: int | None = None) -> DataFrame:
     """Keys for the rows of ``merged`` whose key is still NULL, from max+1 on.
 
-    The reserved unknown member does not count towards the maximum.
+    The reserved unknown member does not count towards the maximum. ``top``: the
+    maximum where the caller knows it, so that ``existing`` need not be read.
     """
-    top = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).first()["top"]
+    if top is None:
+        top = existing.agg(F.coalesce(F.max(key), F.lit(0)).alias("top")).first()["top"]
     fresh = assign_dense_keys(
         merged.filter(F.col(key).isNull()).drop(key), natural_key, key,
         max(top, UNKNOWN_KEY + 1) + 1)

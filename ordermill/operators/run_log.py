@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import seconds_between
-from ..session import append_state
+from ..session import append_state, compact_state
 from .dedup import first_per_key
 
 LOG_DDL = ("run_id long, step string, started_at timestamp_ntz, "
@@ -62,6 +62,13 @@ class RunLog:
     def step(self, name: str) -> Step:
         return Step(self, name)
 
+    def compact(self, files: int = 100) -> None:
+        """Keep the last row of each step, in one file, where there are more than
+        ``files``."""
+        compact_state(self.spark, self.path, lambda: first_per_key(
+            self.spark.read.schema(LOG_DDL).json(self.path), ["run_id", "step"],
+            [F.desc("started_at"), F.desc("seq")]), files)
+
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Current state of each (run, step)."""

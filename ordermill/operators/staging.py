@@ -5,7 +5,9 @@ the run log instead of vanishing in a filter.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clean_code, clean_place, is_late
@@ -21,14 +23,26 @@ ITEM_UPDATES = ["product_id", "seller_id", "shipping_limit_date", "price",
                 "freight_value"]
 
 
-def _split(raw: DataFrame, valid) -> tuple[DataFrame, DataFrame]:
-    """A NULL verdict rejects, like a WHERE clause would."""
-    ok = F.coalesce(valid, F.lit(False))
-    return raw.filter(ok), raw.filter(~ok)
+def _all(*columns: str) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
+
+
+def accepted(table: str) -> Column:
+    """Whether a raw row is staged; a NULL verdict rejects, like a WHERE clause would."""
+    valid = {"customers": lambda: _all("customer_id"),
+             "orders": lambda: _all("order_id", "order_purchase_timestamp",
+                                    "order_estimated_delivery_date"),
+             "order_items": lambda: _all("order_id", "order_item_id")
+             & (F.col("price") >= 0) & (F.col("freight_value") >= 0)}[table]()
+    return F.coalesce(valid, F.lit(False))
+
+
+def _split(raw: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    return raw.filter(accepted(table)), raw.filter(~accepted(table))
 
 
 def stage_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good, bad = _split(raw, F.col("customer_id").isNotNull())
+    good, bad = _split(raw, "customers")
     cleaned = good.select(
         "customer_id", "customer_unique_id",
         F.trim("customer_zip_code_prefix").alias("zip_code_prefix"),
@@ -39,9 +53,7 @@ def stage_customers(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stage_orders(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good, bad = _split(raw, F.col("order_id").isNotNull()
-                       & F.col("order_purchase_timestamp").isNotNull()
-                       & F.col("order_estimated_delivery_date").isNotNull())
+    good, bad = _split(raw, "orders")
     delivered = F.col("order_delivered_customer_date")
     latest = latest_per_key(good, ["order_id"]).drop("_extracted_at")
     return latest.withColumns({
@@ -53,7 +65,5 @@ def stage_orders(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def stage_items(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    good, bad = _split(raw, F.col("order_id").isNotNull()
-                       & F.col("order_item_id").isNotNull()
-                       & (F.col("price") >= 0) & (F.col("freight_value") >= 0))
+    good, bad = _split(raw, "order_items")
     return latest_per_key(good, ["order_id", "order_item_id"]).drop("_extracted_at"), bad

@@ -78,6 +78,15 @@ class Constraints:
     foreign_keys: tuple[tuple[str, str], ...] = ()      # (column, parent table)
     domains: dict[str, list[str]] = field(default_factory=dict)
     ranges: dict[str, tuple[int | None, int | None]] = field(default_factory=dict)
+    required: bool = False                              # at least one row
+    widths: dict[str, int] = field(default_factory=dict)        # trimmed length
+    patterns: dict[str, str] = field(default_factory=dict)      # regular expression
+    starts: dict[str, str] = field(default_factory=dict)        # some value starts so
+    intervals: tuple[tuple[str, str], ...] = ()         # half open, never empty
+    flags: tuple[tuple[str, str], ...] = ()             # at most one flagged row per key
+    totals: tuple[str, ...] = ()                        # sum above 0
+    never: dict[str, int] = field(default_factory=dict)         # a value that must not occur
+    as_many_as: str | None = None                       # the other table's rows
 
 
 CONSTRAINTS: dict[str, Constraints] = {
@@ -120,3 +129,24 @@ CONSTRAINTS: dict[str, Constraints] = {
         (("order_id", "orders"),),
         ranges={"review_score": (1, 5)}),
 }
+
+#: What a load must hold before it is published.
+STAGING_RULES: dict[str, Constraints] = {
+    "orders": Constraints(("order_id",), ("order_purchase_timestamp",), required=True),
+    "items": Constraints(ranges={"price": (0, None), "freight_value": (0, None)},
+                         foreign_keys=(("order_id", "orders"),)),
+    "customers": Constraints(widths={"state": 2}, patterns={"zip_code_prefix": "^[0-9]+$"},
+                             starts={"zip_code_prefix": "0"}),
+}
+WAREHOUSE_RULES: dict[str, Constraints] = {
+    "fact": Constraints(("order_id", "order_item_id"), ranges={"price": (0, None)},
+                        foreign_keys=(("customer_key", "dim_customer"),),
+                        totals=("price",), never={"geo_key": UNKNOWN_KEY},
+                        as_many_as="items"),
+    "dim_customer": Constraints(intervals=(("valid_from", "valid_to"),),
+                                flags=(("customer_unique_id", "is_current"),)),
+}
+MART_RULES: dict[str, Constraints] = {
+    "delivery": Constraints(ranges={"late_pct": (0, 100)}),
+    "cohorts": Constraints(ranges={"retention_pct": (0, 100)}),
+}

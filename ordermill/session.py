@@ -4,8 +4,9 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "ordermill", cores: int | str = "*",
@@ -86,6 +87,30 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(fs.delete(hadoop_path, True))
 
 
+def compact_state(spark: SparkSession, path: str, merged: Callable[[], DataFrame],
+                  files: int) -> None:
+    """Bring the state files below ``path`` into one if there are more than ``files``.
+
+    ``merged`` reads the state and drops what is superseded. Its rows appear as one
+    more file before the old ones go; readers take a row that is there twice as one,
+    so a compaction that dies at any moment changes nothing.
+    """
+    old = [n for n in child_names(spark, path) if n.endswith(".json") and n[0] not in "._"]
+    if len(old) <= files:
+        return
+    work = f"{path}/_{uuid.uuid4().hex}"
+    (merged().coalesce(1).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+     .json(work))
+    conf = spark._jsc.hadoopConfiguration()
+    new = next(n for n in child_names(spark, work) if n.startswith("part-"))
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{work}/{new}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{uuid.uuid4().hex}.json")
+    if not part.getFileSystem(conf).rename(part, target):
+        raise OSError(f"run state could not be compacted at {target}")
+    for name in [*old, work.rsplit("/", 1)[1]]:
+        delete_path(spark, f"{path}/{name}")
+
+
 def append_state(spark: SparkSession, path: str, rows: list[dict]) -> None:
     """Add a few rows of run state as one JSON-lines file below ``path``.
 

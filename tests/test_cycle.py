@@ -94,14 +94,15 @@ def test_bad_row_stops_the_load_and_recovery_works(spark, loaded, tables):
         [r.asDict() | {"order_item_id": 99, "price": -r["price"]} for r in
          items.orderBy("order_id", "order_item_id").limit(1).collect()], items.schema)
     layers.replace(9, "staging/order_items", items.unionByName(bad))
-    with pytest.raises(quality.GateFailed, match="money non-negative .got 1."):
+    with pytest.raises(quality.GateFailed, match="items.price in range: 1 = 0") as stopped:
         cycle(layers, tables, 10).run()
+    assert [(n, int(v)) for n, v, _ in stopped.value.failures] == [("items.price in range", 1)]
     for t in STATE[3:]:
         assert rows(layers.read(t)) == before[t], t
     log = run_log.read_log(spark, layers.path("meta/run_log")).filter("run_id = 10")
     failed = log.filter("status = 'failed'").collect()
     assert [r["step"] for r in failed] == ["quality.staging"]
-    assert "negative money" in failed[0]["message"]
+    assert "items.price in range" in failed[0]["message"]
     layers.replace(9, "staging/order_items", items)
     cycle(layers, tables, 11).run()
     assert contents(layers) == before
@@ -149,7 +150,7 @@ def test_empty_source_fails_the_gate(spark, tables, tmp_path):
     nothing = SimpleNamespace(**{n: getattr(tables, n) for n in (
         "products", "translation", "sellers")}, orders=tables.orders.limit(0),
         items=tables.items, customers=tables.customers)
-    with pytest.raises(quality.GateFailed, match="not empty"):
+    with pytest.raises(quality.GateFailed, match="orders has rows"):
         cycle(Layers(spark, str(tmp_path / "e")), nothing, 1).run()
 
 
@@ -169,7 +170,7 @@ def test_publish_that_dies_loses_nothing(spark, tables, tmp_path, monkeypatch):
             return write(self, *args, **kw)
 
         def dies_pointing(spark, path, rows, append=state.append_state):
-            if path.endswith("meta/pointers"):
+            if path.endswith(state.POINTERS):
                 raise RuntimeError("driver lost")
             append(spark, path, rows)
 
