@@ -46,9 +46,9 @@ SAMPLE = 64
 #: A segment is closed when it holds so many ids.
 SEGMENT_IDS = 1 << 20
 #: Pieces of text whose ids a worker keeps.
-CACHED_PIECES = 600_000
-#: Texts that are encoded together.
-BATCH_ROWS = 500
+CACHED_PIECES = 250_000
+#: Characters of texts that are encoded together.
+BATCH_CHARS = 4_000_000
 
 
 def low_bits(n: int, total: int) -> int:
@@ -130,8 +130,13 @@ def unpack_segment(blob: bytes) -> tuple[np.ndarray, Boundaries]:
 
 #: A space before anything but white space begins a piece of its own: the
 #: pre-tokenizer never joins what stands before it with what follows.
-_CUT = re.compile(r"(?= \S)")
-_BLANKS = re.compile(r" (?:\s|$)")
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
+#: First bytes of white space beyond ASCII.
+_WIDE = np.zeros(256, bool)
+_WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_WIDE_BLANK = re.compile(rb" (?:\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|"
+                         rb"\xe2\x81\x9f|\xe3\x80\x80)")
 #: It doesn't join a letter with a mark or white space behind it either, nor a
 #: single line feed with a letter.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -139,14 +144,38 @@ _INNER = re.compile(f"(?<=[{_LETTER}])(?=[!-/:-@\\[-`{{-~\\s])|(?<=\\S\n)(?=[{_L
 _WORD = re.compile(f" ?[{_LETTER}]+")
 
 
-def pieces(text: str) -> tuple[str, list[str]]:
-    """``text`` cut where the pre-tokenizer cuts in any case: what comes first, and
-    the following pieces without the space that each begins with."""
-    if _BLANKS.search(text):
-        first, *rest = _CUT.split(text)
-        return first, [x[1:] for x in rest]
-    first, *rest = text.split(" ")
-    return first, rest
+def pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """All texts cut where the pre-tokenizer cuts in any case: the pieces, side by side
+    as one array over the texts' bytes, and the number of pieces before each text."""
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([len(t) for t in texts])
+    cut = np.zeros(len(data) + 1, bool)
+    space = data[:-1] == 32
+    cut[:len(data)][:-1] = space & ~_WHITE[data[1:]] if len(data) else False
+    if (space & _WIDE[data[1:]]).any():
+        # White space of several bytes behind a space: no cut there.
+        for m in _WIDE_BLANK.finditer(data.tobytes()):
+            cut[m.start()] = False
+    # A text's last byte is followed by nothing, its first one begins a piece.
+    cut[ends[ends > 0] - 1] = False
+    starts = np.concatenate([[0], ends])
+    cut[starts[:-1][np.diff(starts) > 0]] = True
+    cut[len(data)] = False
+    at = np.flatnonzero(cut)
+    offsets = np.concatenate([at, [len(data)]]).astype(np.int64)
+    found = pa.Array.from_buffers(pa.large_binary(), len(at), [
+        None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    return found, np.searchsorted(at, starts)
+
+
+def values(array: pa.Array) -> list[bytes]:
+    """Values of a large binary array without nulls."""
+    if not len(array):
+        return []
+    at = np.frombuffer(array.buffers()[1], np.int64)[
+        array.offset:array.offset + len(array) + 1].tolist()
+    data = array.buffers()[2].to_pybytes() if array.buffers()[2] is not None else b""
+    return [data[a:b] for a, b in zip(at, at[1:])]
 
 
 def inner_pieces(piece: str) -> list[str] | tuple[str, ...]:
@@ -206,33 +235,51 @@ class ByteBpe:
             texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Packed ids of each text, the end id last."""
+        """Packed ids of each text, the end id last.
+
+        Each different piece of the batch is looked up once; its ids are put wherever
+        it stands by one ``take``.
+        """
         # Special tokens are found before any cut, so such a text goes as a whole.
         special = [i for i, t in enumerate(texts) if t and any(x in t for x in self.special)]
-        cut = [pieces(t or "") for t in texts]
-        for i in special:
-            cut[i] = "", []
+        whole = dict.fromkeys(special)
+        found, before = pieces([b"" if t is None or i in whole else t.encode()
+                                for i, t in enumerate(texts)])
+        found = found.dictionary_encode()
+        distinct = values(found.dictionary)
         self.whole.turn()
-        whole = self.whole.held
-        found = [list(map(whole.get, rest)) for _, rest in cut]
-        fresh = self.whole.absent(p for (_, rest), ids in zip(cut, found) if None in ids
-                                  for p, x in zip(rest, ids) if x is None)
-        inner = {p: inner_pieces(p) for p in fresh}
-        firsts = [_INNER.split(first) for first, _ in cut]
+        fresh = [(p, p.decode()) for p in self.whole.absent(distinct)]
+        # A piece with a space before it, or what a text begins with.
+        inner = {p: inner_pieces(t[1:]) if t[0] == " " else _INNER.split(t) for p, t in fresh}
         self.words.turn()
-        new = self.words.absent(chain(*inner.values(), *firsts))
+        new = self.words.absent(chain.from_iterable(inner.values()))
         self.words.held.update(self._new_words(list(new)))
-        word = self.words.held.__getitem__
+        word, held = self.words.held.__getitem__, self.whole.held
         for p, parts in inner.items():
-            whole[p] = b"".join(map(word, parts))
-        packed = []
-        for first, (_, rest), ids in zip(firsts, cut, found):
-            if None in ids:
-                ids = [whole[p] if x is None else x for p, x in zip(rest, ids)]
-            packed.append(b"".join((*map(word, first), *ids, self.end)))
-        for i, ids in zip(special, self._ids([texts[i] for i in special])):
-            packed[i] = np.array(ids, self.dtype).tobytes() + self.end
-        return packed
+            held[p] = b"".join(map(word, parts))
+        own = list(map(held.__getitem__, distinct))
+        ends = np.concatenate([[0], np.cumsum(list(map(len, own)))]).astype(np.int64)
+        ids = pa.Array.from_buffers(pa.large_binary(), len(own), [
+            None, pa.py_buffer(ends), pa.py_buffer(b"".join(own))]).take(found.indices)
+        offsets = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset:ids.offset + len(ids) + 1]
+        packed, at = ids.buffers()[2], offsets[before].tolist() if len(ids) else [0] * len(before)
+        data = memoryview(packed) if packed is not None else memoryview(b"")
+        out = [bytes(data[a:b]) + self.end for a, b in zip(at, at[1:])]
+        for i, own in zip(special, self._ids([texts[i] for i in special])):
+            out[i] = np.array(own, self.dtype).tobytes() + self.end
+        return out
+
+
+def batches_of(texts: list[str | None]) -> Iterator[slice]:
+    """Stretches of a list with about ``BATCH_CHARS`` characters each."""
+    start = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= BATCH_CHARS:
+            yield slice(start, i + 1)
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
 
 
 SEGMENTS = ("part int, seq int, n_docs long, n_ids long, keys array<bigint>, blob binary")
@@ -258,9 +305,9 @@ def write(docs: DataFrame, key: str, text: str, path: str, tokenizer: str, end_i
                 ["part", "seq", "n_docs", "n_ids", "keys", "blob"])
 
         for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_ROWS):
-                rows = batch.slice(at, BATCH_ROWS)
-                for k, ids in zip(rows["_k"].to_pylist(), bpe.encode(rows["_t"].to_pylist())):
+            ks, texts = batch["_k"].to_pylist(), batch["_t"].to_pylist()
+            for part_of in batches_of(texts):
+                for k, ids in zip(ks[part_of], bpe.encode(texts[part_of])):
                     keys.append(k)
                     held.append(ids)
                     size += len(ids)
@@ -296,7 +343,7 @@ def read(spark, path: str, key: str) -> DataFrame:
             for i in range(batch.num_rows):
                 ids, bounds = unpack_segment(batch["blob"][i].as_py())
                 wide = ids.astype("<u4").tobytes()
-                ends = bounds.all()
+                ends = np.array([bounds.end(j) for j in range(bounds.n)], np.int64)
                 starts = np.concatenate(([0], ends[:-1]))
                 crcs = [zlib.crc32(memoryview(wide)[4 * a:4 * b])
                         for a, b in zip(starts.tolist(), ends.tolist())]
