@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import size_checked, stored
+from .tables import size_checked, stored, unused
 
 RATIO = 0.1
 MIN_PAGES = 5
@@ -50,16 +50,18 @@ def boilerplate(pages: DataFrame, site: str, text: str, ratio: float = RATIO,
 
 def drop_boilerplate(pages: DataFrame, site: str, text: str, ratio: float = RATIO,
                      min_pages: int = MIN_PAGES, dropped: str = "n_dropped") -> DataFrame:
-    """``pages`` with the shortened ``text`` and the number of lines ``dropped``."""
+    """``pages`` with the shortened ``text`` and the number of lines ``dropped``, which
+    takes the place of a column of that name."""
     found, path = stored(boilerplate(pages, site, text, ratio, min_pages), "boilerplate")
-    found = size_checked(found, path).withColumnRenamed(site, "_site")
+    of, listed, rest = (unused([*pages.columns, dropped], c) for c in ("_site", "_lines", "_kept"))
+    found = size_checked(found, path).toDF(of, listed)
     lines = F.split(F.col(text), "\n")
-    kept = F.filter(lines, lambda x: ~F.array_contains(F.col("_lines"), _key(x))
+    kept = F.filter(lines, lambda x: ~F.array_contains(F.col(listed), _key(x))
                     | (F.trim(x) == ""))
-    return (pages.join(found, F.col(site) == F.col("_site"), "left")
-            .withColumn("_kept", F.when(F.col("_lines").isNotNull(), kept))
-            .withColumn(dropped, F.when(F.col("_kept").isNotNull(),
-                                        F.size(lines) - F.size("_kept")).otherwise(0))
-            .withColumn(text, F.when(F.col(dropped) > 0, F.array_join("_kept", "\n"))
+    return (pages.join(found, F.col(site) == F.col(of), "left")
+            .withColumn(rest, F.when(F.col(listed).isNotNull(), kept))
+            .withColumn(dropped, F.when(F.col(rest).isNotNull(),
+                                        F.size(lines) - F.size(rest)).otherwise(0))
+            .withColumn(text, F.when(F.col(dropped) > 0, F.array_join(rest, "\n"))
                         .otherwise(F.col(text)))
-            .select(*pages.columns, dropped))
+            .select(*[c for c in pages.columns if c.lower() != dropped.lower()], dropped))

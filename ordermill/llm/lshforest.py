@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from .tables import size_checked, stored
+from .tables import size_checked, stored, unused
 
 MINIMA = 64
 #: Neighbours before a node in an order, and nodes of a region that are compared as
@@ -422,17 +422,18 @@ def one_of_each(docs: DataFrame, key: str, text: str, k: int = 5, percent: int =
         F.col(key).alias("_key"), F.lit(None).cast("binary").alias("_set"),
         F.lit(1).cast("long").alias("_copies")).distinct()
     stay, path = stored(stay.union(bare), "stay")
-    stay = size_checked(stay, path)
+    of, own, copies, node = (unused(docs.columns, c) for c in ("_key", "_set", "_copies", "_node"))
+    stay = size_checked(stay, path).toDF(of, own, copies)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), k) for t in batch[text]]
-            yield batch.append_column("_node", pa.array(
+            yield batch.append_column(node, pa.array(
                 [digest(s) if len(s) else None for s in sets], pa.binary()))
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    kept = docs.mapInArrow(named, f"{schema}, _node binary").join(
-        stay, F.col(key).eqNullSafe(F.col("_key")) & F.col("_node").eqNullSafe(F.col("_set")))
-    single = kept.filter("_copies = 1")
-    copies = kept.filter("_copies > 1").dropDuplicates([key, "_node"])
-    return single.unionByName(copies).select(*docs.columns)
+    kept = docs.mapInArrow(named, f"{schema}, `{node}` binary").join(
+        stay, F.col(key).eqNullSafe(F.col(of)) & F.col(node).eqNullSafe(F.col(own)))
+    single = kept.filter(F.col(copies) == 1)
+    repeats = kept.filter(F.col(copies) > 1).dropDuplicates([key, node])
+    return single.unionByName(repeats).select(*docs.columns)

@@ -129,6 +129,8 @@ class Network:
         rng = np.random.default_rng(seed)
         order = rng.permutation(len(x))
         held, used = order[:len(x) // 6], order[len(x) // 6:]
+        if len(set(y[used])) < 2:  # of few rows both labels are needed to learn from
+            held, used = order[:0], order
         self.shift, self.scale = x[used].mean(axis=0), x[used].std(axis=0) + 0.02
         z = self.standard(x)
         sizes = (x.shape[1], HIDDEN)
@@ -175,7 +177,7 @@ class Model:
         y = np.array(labels, float)
         self.constant = float(y.mean()) if len(y) else 0.5
         self.network = None
-        if 0 < self.constant < 1 and len(y) >= 20:
+        if len(set(labels)) == 2:
             self.vectors = Vectors(texts)
             matrix, row_of = self.vectors.matrix, self.vectors.row_of
             x = np.stack([pooled(t.split(), row_of, matrix) for t in texts])

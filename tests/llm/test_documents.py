@@ -552,3 +552,21 @@ def test_pipeline_of_nothing(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_clashing_names_stay(spark):
+    names = {c: F.lit(c) for c in ("_node", "_key", "_set", "_copies", "_score", "_dropped")}
+    docs = spark.createDataFrame([(i, "one two three four five six " * 3 + str(i // 2))
+                                  for i in range(6)], "doc_id long, text string").withColumns(names)
+    kept = lshforest.one_of_each(docs, "doc_id", "text")
+    assert kept.columns == docs.columns and kept.count() <= 3
+    assert all(r[c] == c for r in kept.collect() for c in names)
+
+
+def test_few_labelled_rows_are_learned_from():
+    good, bad = "A plain sentence about rivers and towns.", "zz zz zz $$$ ### 000 zz"
+    for n in (1, 2, 5, 9):
+        model = quality.Model([good] * n + [bad] * n, [1] * n + [0] * n)
+        scores = model.scorer()([good, bad, "", None])
+        assert scores[0] > 0.5 > scores[1] and np.isfinite(scores).all(), (n, scores)
+    assert quality.Model([good] * 3, [1, 1, 1]).scorer()([bad]).tolist() == [1.0]

@@ -58,8 +58,10 @@ def test_boilerplate_lines(spark):
     pages = [(i, "a", f"head\nbody {i}\n\nhead \nfoot") for i in range(10)]
     pages += [(20 + i, "b", "head\nrare") for i in range(3)] + [(30, None, "head"), (31, "a", None),
                                                                (32, "a", "head")]
-    df = spark.createDataFrame(pages, "id int, site string, text string").withColumn(
-        "_lines", F.lit(1)).drop("_lines")
+    df = spark.createDataFrame(pages, "id int, site string, text string").withColumns(
+        {c: F.lit(c) for c in ("_lines", "_kept", "_site", "n_dropped")})
+    out = linefreq.drop_boilerplate(df, "site", "text", ratio=0.5, min_pages=4)
+    assert out.columns == df.columns and out.filter("_lines <> '_lines'").count() == 0
     got = {r["id"]: (r["text"], r["n_dropped"]) for r in
            linefreq.drop_boilerplate(df, "site", "text", ratio=0.5, min_pages=4).collect()}
     assert got[3] == ("body 3\n", 3) and got[20] == ("head\nrare", 0)
