@@ -12,24 +12,26 @@ from pyspark.sql import functions as F
 
 from ordermill.llm import decontaminate, linefreq, lshforest, quality, spbpe
 from ordermill.llm.queries import ACCEPTED, held_out
-from ordermill.llm.tables import importable, stored, table
+from ordermill.llm.tables import importable, stored, table, unused
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the rows not held out."""
     labels = table(spark, sf_dir, "labels").filter(~held_out())
     model = quality.fit(docs, labels, "doc_id", "text", "quality")
-    return (quality.scored(docs, "text", model, "_score").filter(F.col("_score") >= ACCEPTED)
+    score = unused(docs.columns, "_score")
+    return (quality.scored(docs, "text", model, score).filter(F.col(score) >= ACCEPTED)
             .select(*docs.columns))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without their source's boilerplate lines; none goes, and ``n_chars``
     follows the text."""
-    short = linefreq.drop_boilerplate(docs, "source", "text", dropped="_dropped")
+    dropped = unused(docs.columns, "_dropped")
+    short = linefreq.drop_boilerplate(docs, "source", "text", dropped=dropped)
     if "n_chars" in docs.columns:
         short = short.withColumn("n_chars", F.when(
-            F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+            F.col(dropped) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return short.select(*docs.columns)
 
 
