@@ -6,31 +6,38 @@ reaches the threshold; linked texts form components.
 1. Every text gets its shingle set, 64 minima over it, and a 128-bit digest of
    the set. Texts with equal sets are one *node* from here on, so copies cost
    nothing however many there are.
-2. The forest: 32 orders of the minima. In each order all nodes are sorted by
-   their minima, then by name (range partitions, so a region of any size is split). Nodes that
-   agree in the first four minima of an order lie in one *region*; two texts of
-   similarity 0.8 share none of 32 regions with a probability of about 1e-6.
-3. A node is first compared with its neighbour of the longest common prefix in
-   each order and with the region's least node. The two that agree best over all
-   64 minima are confirmed on the full shingle sets, and components are formed.
-4. Then, in each order, the eight neighbours before a node, and in each region of
-   up to 256 nodes every node outside the region's largest component with all
-   nodes of others. All these pairs, unless both ends are in one component by now,
-   are confirmed on the full sets if they can reach the threshold and agree in 36
-   of 64 minima (1e-5 fail to at 0.8). What a pair can reach is bounded exactly:
-   shingles that only one node has are in no intersection and in every union.
-5. Last, the nodes of larger regions: all pairs of them that are still in different
-   components and that a prefix filter over their shingles, rare ones first, can't
-   exclude. The filter is exact, so a region's size costs work but no link: two
-   nodes share a region of up to 256 nodes, or both are in this join.
-
-No list of candidates is cut. The number of pairs in step 5 is not bounded: it can
-grow with the square of a group of near copies that fall just short of the threshold.
+2. The forest: 32 orders of the minima. In each order all nodes are sorted by eight
+   minima, then by name (range partitions, so a region of any size is split). Nodes
+   that agree in the first four minima of an order lie in one *region*; two texts of
+   similarity 0.8 share none of 32 regions with a probability of about 1e-6. Nodes
+   without company in any region go, and then those with so many shingles of their
+   own that they can reach the threshold with no text.
+3. The forest again, of the nodes that are left. Regions with nodes in common form
+   *clusters*, and each cluster has a *hub*: the shingles that more than half of its
+   nodes have. A node is from here on its difference from the hub, d. For sets A and
+   B of a cluster, whatever its hub, the differing shingles number |dA| + |dB| less
+   twice what dA and dB have in common; so a link is confirmed on the differences
+   exactly as on the full sets.
+4. Candidates: in each order the neighbour with the longest common prefix, as deep as
+   that place of the forest goes, and the region's least node. Of these the two that
+   a node meets in most orders are confirmed.
+5. Every node so near to the hub that it and the cluster's nearest one are linked
+   whatever their differences have in common is linked with that one. Components are
+   formed.
+6. Pairs of a cluster that are still in different components need differences in
+   common, so they meet in an exact prefix filter with places over these, rare ones
+   first, and are confirmed.
+
+No list of candidates is cut. Two nodes that share a region are compared exactly or
+are in one component already. The pairs of step 6 are those that share a rare
+difference from what the cluster has in common; a crowd that falls just short of the
+threshold has few of them, but their number has no bound of its own.
 
 Words are what stands between ASCII white space, with A-Z lower-cased. Fewer
 words than a shingle has are one shingle. A null text or one without words has
 an empty set: it is linked with nothing and stays. Rows with equal ids are kept
 apart by their sets. A null id never names a component that has other ids.
+Shingles count as equal if 64-bit hashes agree, differences if 58 bits do.
 """
 from __future__ import annotations
 
@@ -38,22 +45,19 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from .collocations import BITS, bit_map
 from .tables import size_checked, stored, unused
 
 MINIMA = 64
-#: Neighbours before a node in an order, and nodes of a region that are compared as
-#: they are; the nodes of larger ones are joined on their rare shingles.
-NEAR = 8
-REGION = 256
 ORDERS = 32
 DEPTH = 8
-SAME_MINIMA = 36
 CONFIRMED = 2
 _RNG = np.random.default_rng(20_011)
 _FACTORS = _RNG.integers(1, 2 ** 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -108,8 +112,8 @@ def signatures(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
 
 
 def forest(nodes: DataFrame) -> DataFrame:
-    """Rows (order, region, rest, node, n, near): the members of regions that may have
-    several, each with the nodes of its region just before it, the nearest first."""
+    """Rows (order, region, node, near): the members of regions that may have several,
+    each with the node of its region just before it in the order, if there is one."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,118 +127,176 @@ def forest(nodes: DataFrame) -> DataFrame:
                 which = pa.array(np.repeat(np.arange(m), ORDERS))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.tile(np.arange(ORDERS, dtype=np.int32), m)),
-                     pa.array(keys[:, 0]), pa.array(keys[:, 1]),
-                     part["node"].take(which), part["n"].take(which)],
-                    ["order", "region", "rest", "node", "n"])
+                     pa.array(keys[:, 0]), pa.array(keys[:, 1]), part["node"].take(which)],
+                    ["order", "region", "rest", "node"])
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # ``tail``: rows that are done but still neighbours, then one that isn't
-        # done, as its successor isn't known. The first and the last row of a
-        # partition are passed on in any case: their region may go on beyond it.
-        tail, done, first = None, 0, True
+        # The first and the last row of a partition are passed on in any case: their
+        # region may go on beyond it. ``held`` is the last row so far with the one
+        # before it, as its successor isn't known.
+        held, first = None, True
 
-        def passed(rows: pa.Table, done: int, upto: int, ends: bool) -> pa.Table:
+        def passed(rows: pa.Table, fresh: int, ends: bool) -> pa.Table:
             order, region = (rows[c].to_numpy() for c in ("order", "region"))
-            n = len(order)
-            same = [np.concatenate((np.zeros(min(d, n), bool), (order[d:] == order[:-d])
-                                    & (region[d:] == region[:-d]))) for d in range(1, NEAR + 1)]
-            wanted = same[0] | np.append(same[0][1:], ends)
+            same = np.append(False, (order[1:] == order[:-1]) & (region[1:] == region[:-1]))
+            wanted = same | np.append(same[1:], ends)
             wanted[0] |= first
-            pick = np.flatnonzero(wanted[done:upto]) + done
-            has = np.stack(same)[:, pick].T
-            near = (pick[:, None] - np.arange(1, NEAR + 1))[has]
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate(([0], np.cumsum(has.sum(axis=1)))), pa.int32()),
-                rows["node"].combine_chunks().take(pa.array(near)))
-            return rows.take(pa.array(pick)).append_column("near", lists)
+            upto = len(rows) if ends else len(rows) - 1
+            pick = np.flatnonzero(wanted[fresh:upto]) + fresh
+            near = pa.array(pick - 1, mask=~same[pick])
+            return rows.take(pa.array(pick)).append_column(
+                "near", rows["node"].combine_chunks().take(near))
 
         for batch in batches:
             if batch.num_rows:
                 rows = pa.Table.from_batches([batch])
-                rows = rows if tail is None else pa.concat_tables([tail, rows])
-                yield from passed(rows, done, len(rows) - 1, False).to_batches()
+                fresh = 0 if held is None else len(held) - 1
+                rows = rows if held is None else pa.concat_tables([held, rows])
+                yield from passed(rows, fresh, False).to_batches()
                 first = first and len(rows) == 1
-                done = min(NEAR, len(rows) - 1)
-                tail = rows.slice(len(rows) - 1 - done)
-        if tail is not None:
-            yield from passed(tail, done, len(tail), True).to_batches()
+                held = rows.slice(max(0, len(rows) - 2))
+        if held is not None:
+            yield from passed(held, len(held) - 1, True).to_batches()
 
     order = ["order", "region", "rest", "node"]
-    rows = nodes.select("node", "n", "sig").mapInArrow(
-        spread, "order int, region long, rest long, node binary, n long")
+    rows = nodes.select("node", "sig").mapInArrow(
+        spread, "order int, region long, rest long, node binary")
     return (rows.repartitionByRange(*order).sortWithinPartitions(*order)
-            .mapInArrow(neighbours, "order int, region long, rest long, node binary, n long, "
-                                    "near array<binary>"))
+            .mapInArrow(neighbours, "order int, region long, rest long, node binary, near binary")
+            .drop("rest"))
 
 
-def may_reach(a, b, percent: int):
-    """Whether sets of these sizes can reach the similarity."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
-
-
-def can_link(na, ua, nb, ub, percent: int):
-    """Whether sets of n shingles, u of them in no other set, can reach the similarity."""
-    common = F.least(na - ua, nb - ub)
-    return common * 100 >= (common + ua + ub) * percent
+def with_hub(members: DataFrame) -> DataFrame:
+    """``members`` of regions that have several, with the region's least node ``hub``."""
+    hubs = (members.groupBy("order", "region")
+            .agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size"))
+            .filter("size > 1").drop("size"))
+    return members.join(hubs, ["order", "region"])
 
 
 def shingles(texts: DataFrame, k: int) -> DataFrame:
-    """(shingle, ref): each node's set, with xxhash64 of the node."""
+    """A row for each shingle of each text, with the other columns of ``texts``."""
+    also = [c for c in texts.columns if c != "text"]
+    kinds = dict(texts.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for node, text in zip(batch["node"], batch["text"]):
+            for i, text in enumerate(batch["text"]):
                 own = shingle_set(text.as_py(), k).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own), pa.repeat(node, len(own))], ["shingle", "node"])
+                    [pa.array(own), *(pa.repeat(batch[c][i], len(own)) for c in also)],
+                    ["shingle", *also])
 
-    return (texts.select("node", "text").mapInArrow(run, "shingle long, node binary")
-            .select("shingle", F.xxhash64("node").alias("ref")))
+    return texts.mapInArrow(run, ", ".join(["shingle long", *(f"{c} {kinds[c]}" for c in also)]))
 
 
 def unshared(texts: DataFrame, k: int) -> DataFrame:
     """(ref, u): by xxhash64 of the node, how many shingles no other node has."""
-    return (shingles(texts, k).groupBy("shingle")
+    return (shingles(texts.select(F.xxhash64("node").alias("ref"), "text"), k).groupBy("shingle")
             .agg(F.count(F.lit(1)).alias("_in"), F.min("ref").alias("ref")).filter("_in = 1")
             .groupBy("ref").agg(F.count(F.lit(1)).alias("u")))
 
 
-def estimated(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``pairs`` (a, b) that may reach the similarity, with ``same``: equal minima."""
-    sig = nodes.select("node", "n", "sig")
+def place(key):
+    """A key's place in a bit map."""
+    return F.pmod(F.xxhash64(key), F.lit(1 << BITS))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(
-                -1, MINIMA) for c in ("sa", "sb"))
-            same = (left == right).sum(axis=1)
-            out = pa.RecordBatch.from_arrays([batch["a"], batch["b"], pa.array(same, pa.int32())],
-                                             ["a", "b", "same"])
-            yield out.filter(pa.array(same >= SAME_MINIMA))
 
-    return (pairs.join(sig.toDF("a", "na", "sa"), "a").join(sig.toDF("b", "nb", "sb"), "b")
-            .filter(may_reach(F.col("na"), F.col("nb"), percent))
-            .select("a", "b", "sa", "sb").mapInArrow(run, "a binary, b binary, same int"))
+def among(keys: DataFrame, key: str):
+    """A test on ``place``: true for all of ``keys`` and by chance for some others.
 
+    The bit map has a fixed size. The more keys, the more others pass: what passes
+    is joined exactly, what doesn't needs no shuffle."""
+    spark = keys.sparkSession
+    shared = spark.sparkContext.broadcast(bit_map(spark, keys.select(place(key).alias("position"))))
 
-def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b) whose full sets reach the similarity."""
+    @F.pandas_udf("boolean")
+    def hit(at: pd.Series) -> pd.Series:
+        at = at.to_numpy()
+        bits = np.frombuffer(shared.value, np.uint8)
+        return pd.Series((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+
+    return hit
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
-        for batch in batches:
-            linked = []
-            for b, tb, ta in zip(batch["b"].to_pylist(), batch["tb"], batch["ta"]):
-                if b != last:
-                    last, own = b, shingle_set(tb.as_py(), k)
-                other = shingle_set(ta.as_py(), k)
-                both = len(np.intersect1d(own, other, assume_unique=True))
-                linked.append(100 * both >= percent * (len(own) + len(other) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
-    return (pairs.select("a", "b").join(texts.toDF("a", "ta"), "a")
-            .join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
-            .mapInArrow(run, "a binary, b binary"))
+def differences(texts: DataFrame, known: DataFrame, k: int, percent: int) -> DataFrame:
+    """Rows (c, node, e, d) for the nodes ``known`` (node, n, c: cluster).
+
+    ``d`` has the shingles in which a node differs from its cluster's hub and that
+    another's difference has too, as growing numbers with the rare ones first. ``e``
+    is so that two nodes of a cluster reach the similarity if and only if their lists
+    have common elements of at least (e + e) / (2 * (100 + percent)).
+    """
+    known = known.withColumn("ref", F.xxhash64("node"))
+    sizes, path = stored(known.groupBy("c").agg(F.count(F.lit(1)).alias("s")), "sizes")
+    each = shingles(texts.join(known.select("node", "ref", "c"), "node")
+                    .select("ref", "c", "text"), k)
+    often = F.when(F.col("hub"), F.col("s") - F.col("m")).otherwise(F.col("m"))
+    rank = F.length(F.bin("w"))
+    marks, _ = stored(each.groupBy("c", "shingle").agg(F.count(F.lit(1)).alias("m"))
+                      .filter("m > 1").join(size_checked(sizes, path), "c")
+                      .withColumn("hub", F.col("m") * 2 > F.col("s")).withColumn("w", often)
+                      .select("c", "shingle", "hub", F.when(F.col("w") > 1, F.shiftleft(
+                          F.least(rank, F.lit(31)).cast("long"), 58).bitwiseOR(
+                          F.col("shingle").bitwiseAND((1 << 58) - 1))).alias("code")), "marks")
+    inside = F.when(F.col("hub"), F.col("code"))
+    own = (each.join(marks, ["c", "shingle"]).groupBy("c", "ref").agg(
+        F.count_if("hub").alias("h"), F.collect_list(inside).alias("has"),
+        F.collect_list(F.when(~F.col("hub"), F.col("code"))).alias("added")))
+    hubs, path = stored(marks.filter("hub").groupBy("c").agg(
+        F.count(F.lit(1)).alias("size"), F.collect_list("code").alias("all")), "hubs")
+    none = F.array().cast("array<bigint>")
+    h, size = F.coalesce("h", F.lit(0)), F.coalesce("size", F.lit(0))
+    differing = F.col("n") - h + size - h
+    return (known.join(own, ["c", "ref"], "left").join(size_checked(hubs, path), "c", "left")
+            .select("c", "node", (differing * (100 + percent) - F.col("n") * (100 - percent)).alias("e"),
+                    F.array_sort(F.concat(F.coalesce("added", none), F.array_except(
+                        F.coalesce("all", none), F.coalesce("has", none)))).alias("d")))
+
+
+def confirmed(pairs: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) of nodes of one cluster that reach the similarity."""
+    one = apart.select("node", "c", "e", "d")
+    both = F.size(F.array_intersect("da", "db"))
+    return (pairs.select("a", "b").join(one.toDF("a", "ca", "ea", "da"), "a")
+            .join(one.toDF("b", "cb", "eb", "db"), "b")
+            .filter((F.col("ca") == F.col("cb"))
+                    & (both * 2 * (100 + percent) >= F.col("ea") + F.col("eb")))
+            .select("a", "b"))
+
+
+def sharing_rare(apart: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), once each, of the nodes ``apart`` (c, node, label, e, d) of one cluster
+    that have different labels and that a prefix filter with places can't exclude.
+
+    A node needs the more in common the larger its e and the least e of another
+    label are. Of so many common elements the first stands early in both lists.
+    """
+    step = 2 * (100 + percent)
+    first = apart.groupBy("c").agg(F.min(F.struct("e", "label")).alias("_1"))
+    second = (apart.join(first, "c").filter(F.col("label") != F.col("_1.label"))
+              .groupBy("c").agg(F.first("_1").alias("_1"), F.min("e").alias("_2")))
+    other = F.when(F.col("label") == F.col("_1.label"), F.col("_2")).otherwise(F.col("_1.e"))
+    need = F.greatest(F.lit(1), F.ceil((F.col("e") + other) / step))
+    front = (F.size("d") - need + 1).cast("int")
+    posts = (apart.join(second, "c").withColumn("_front", front).filter("_front > 0")
+             .select("c", "node", "label", "e", F.size("d").alias("_size"),
+                     F.posexplode(F.slice("d", 1, F.col("_front"))).alias("_place", "code"))
+             .withColumn("left", F.col("_size") - F.col("_place")).drop("_size", "_place"))
+    posts, _ = stored(posts, "posts")
+    at = ["c", "code"]
+    sizes = posts.groupBy(*at, "label").agg(F.count(F.lit(1)).alias("_m"))
+    largest = (sizes.groupBy(*at).agg(F.count(F.lit(1)).alias("_labels"),
+                                      F.max(F.struct("_m", "label")).alias("_top"))
+               .filter("_labels > 1").select(*at, F.col("_top.label").alias("_top")))
+    posts = posts.join(largest, at).withColumn("_in", F.col("label") == F.col("_top"))
+    outside = posts.filter("not _in").drop("_in", "_top")
+    every = posts.select(*at, F.col("node").alias("b"), F.col("label").alias("lb"),
+                         F.col("e").alias("eb"), F.col("left").alias("leftb"), "_in")
+    return (outside.join(every, at)
+            .filter((F.col("label") != F.col("lb")) & (F.col("_in") | (F.col("node") < F.col("b")))
+                    & (F.least("left", "leftb") * step >= F.col("e") + F.col("eb")))
+            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -269,23 +331,51 @@ def linked_components(docs: DataFrame, key: str, text: str, k: int = 5,
     rows, _ = stored(signatures(docs, key, text, k), "signatures")
     nodes, _ = stored(rows.filter("node is not null").groupBy("node").agg(
         F.min("key").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
-    members, _ = stored(forest(nodes), "forest")
-    hubs = (members.groupBy("order", "region")
-            .agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1"))
-    regions, _ = stored(members.join(hubs, ["order", "region"]), "regions")
-
-    near = regions.select("node", F.get("near", F.lit(0))).union(
-        regions.select("node", "hub")).toDF("a", "b")
-    near = estimated(near.filter("b is not null and a != b").distinct(), nodes, percent)
-    best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("same"), "b"))
-    near = near.withColumn("_rank", best).filter(F.col("_rank") <= CONFIRMED)
-    tested, _ = stored(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-                       .distinct(), "tested")
-
-    wanted, path = stored(regions.select("node").distinct().join(nodes.select("node", "rep"),
-                                                                 "node"), "wanted")
-    wanted = size_checked(wanted, path)
+    wanted, path = stored(with_hub(forest(nodes)).select("node").distinct().join(
+        nodes.select("node", "rep"), "node"), "wanted")
+    texts, _ = stored(texts_of(docs, key, text, k, size_checked(wanted, path)), "texts")
+
+    ref = F.xxhash64("node")
+    left = (texts.select("node").join(nodes.select("node", "n", "sig"), "node")
+            .withColumn("ref", ref).join(unshared(texts, k), "ref", "left")
+            .filter(F.coalesce("u", F.lit(0)) * 100 <= F.col("n") * (100 - percent)))
+    left, _ = stored(left.select("node", "n", "sig"), "left")
+    regions, _ = stored(with_hub(forest(left)), "regions")
+    to_hub = regions.filter("node != hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    clusters = components(to_hub)
+    known, _ = stored(left.select("node", "n").join(clusters, "node").select(
+        "node", "n", F.xxhash64("label").alias("c")), "known")
+    apart, _ = stored(differences(texts, known, k, percent), "apart")
+
+    met = (regions.filter("near is not null").select(F.col("node").alias("a"),
+                                                     F.col("near").alias("b")).union(to_hub)
+           .groupBy("a", "b").agg(F.count(F.lit(1)).alias("orders")))
+    best = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("orders"), "b"))
+    met = met.withColumn("_rank", best).filter(F.col("_rank") <= CONFIRMED)
+    links = confirmed(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                      .distinct(), apart, percent)
+    least = apart.groupBy("c").agg(F.min(F.struct("e", "node")).alias("_1"))
+    links = links.union(apart.join(least, "c").filter(
+        (F.col("e") + F.col("_1.e") <= 0) & (F.col("node") != F.col("_1.node")))
+        .select("node", F.col("_1.node")))
+    links, _ = stored(links, "links")
+    labelled = apart.join(components(links), "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
+    labelled, _ = stored(labelled, "labelled")
+    more, _ = stored(confirmed(sharing_rare(labelled, percent), labelled, percent), "more")
+    if more.isEmpty():
+        named_by = labelled.select("node", F.col("label").alias("component"))
+    else:
+        named_by = components(links.union(more)).toDF("node", "component")
+    return (rows.select(F.col("key").alias(key), "n", "node").join(named_by, "node", "left")
+            .select(key, "n", "node", F.coalesce("component", "node").alias("component")))
+
+
+def texts_of(docs: DataFrame, key: str, text: str, k: int, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the ``wanted`` (node, rep): texts of others don't enter a shuffle."""
+    hit = among(wanted, "rep")
     texts = (docs.select(F.col(key).alias("rep"), F.col(text).alias("text"))
+             .filter(hit(place("rep")))
              .join(wanted.select(F.col("rep").alias("_rep")).distinct(),
                    F.col("rep").eqNullSafe(F.col("_rep")), "left_semi"))
 
@@ -295,106 +385,8 @@ def linked_components(docs: DataFrame, key: str, text: str, k: int = 5,
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), batch["text"]],
                                              ["node", "text"])
 
-    texts = (texts.select("text").mapInArrow(named, "node binary, text string")
-             .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    links, _ = stored(confirmed(tested, texts, k, percent), "links")
-
-    known = (wanted.select("node").join(components(links), "node", "left")
-             .join(nodes.select("node", "n"), "node").withColumn("ref", F.xxhash64("node"))
-             .join(unshared(texts, k), "ref", "left")
-             .select("node", "n", F.coalesce("label", "node").alias("label"),
-                     F.coalesce("u", F.lit(0)).alias("u")))
-    known, _ = stored(known, "known")
-    rest = remaining(regions, known, percent).join(tested, ["a", "b"], "left_anti")
-    rest, _ = stored(estimated(rest, nodes, percent).select("a", "b"), "rest")
-    more, _ = stored(confirmed(rest, texts, k, percent), "more")
-    links = links.union(more)
-    crowded, _ = stored(regions.filter(F.col("size") > REGION).select("node").distinct(), "crowded")
-    if not crowded.isEmpty():
-        known = (crowded.join(components(links), "node", "left").join(nodes.select("node", "n"), "node")
-                 .select("node", "n", F.coalesce("label", "node").alias("label")))
-        known, _ = stored(known, "known")
-        apart = sharing_rare(texts.join(crowded, "node", "left_semi"), known, k, percent)
-        apart = apart.join(tested.union(rest), ["a", "b"], "left_anti")
-        apart, _ = stored(estimated(apart, nodes, percent).select("a", "b"), "apart")
-        last, _ = stored(confirmed(apart, texts, k, percent), "last")
-        links = links.union(last)
-    named_by = components(links).toDF("node", "component")
-    return (rows.select(F.col("key").alias(key), "n", "node").join(named_by, "node", "left")
-            .select(key, "n", "node", F.coalesce("component", "node").alias("component")))
-
-
-def remaining(regions: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of different components, once each: neighbours in an order, and in
-    regions of up to ``REGION`` nodes those with an end outside the largest component.
-    ``known`` has each node's label, n and u."""
-    at = ["order", "region"]
-    members = regions.select(*at, "node", "near", "size").join(known, "node")
-    one = known.select(F.col("node").alias("b"), F.col("label").alias("lb"),
-                       F.col("n").alias("nb"), F.col("u").alias("ub"))
-    linkable = (F.col("la") != F.col("lb")) & can_link(
-        F.col("na"), F.col("ua"), F.col("nb"), F.col("ub"), percent)
-    mine = [F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"),
-            F.col("u").alias("ua")]
-    close = (members.filter(F.col("u") * 100 <= F.col("n") * (100 - percent))
-             .select(*mine, F.explode("near").alias("b")).distinct()
-             .join(one, "b").filter(linkable & may_reach(F.col("na"), F.col("nb"), percent))
-             .select("a", "b"))
-    members = members.filter(F.col("size") <= REGION)
-    sizes = members.groupBy(*at, "label").agg(F.count(F.lit(1)).alias("_m"))
-    largest = (sizes.groupBy(*at).agg(F.count(F.lit(1)).alias("_labels"),
-                                      F.max(F.struct("_m", "label")).alias("_top"))
-               .filter("_labels > 1").select(*at, F.col("_top.label").alias("_top")))
-    members = members.join(largest, at).withColumn("_in", F.col("label") == F.col("_top"))
-    outside = members.filter(~F.col("_in")).select(*at, *mine)
-    every = members.select(*at, F.col("node").alias("b"), F.col("label").alias("lb"),
-                           F.col("n").alias("nb"), F.col("u").alias("ub"), "_in")
-    pairs = (outside.join(every, at)
-             .filter(linkable & (F.col("_in") | (F.col("a") < F.col("b")))
-                     & may_reach(F.col("na"), F.col("nb"), percent)).select("a", "b"))
-    return (pairs.union(close)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-
-def sharing_rare(texts: DataFrame, known: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b), once each, of the nodes ``known`` (with n and label) that are in
-    different components and that a prefix filter with places can't exclude.
-
-    A node's shingles are in one order for all, rare ones first. Of a pair that
-    reaches the similarity the first common shingle stands so far in front in both
-    that enough of each are left: at least the similarity's share of the larger
-    one's, and of the smaller one's that share of two sets of its size (``light``).
-    """
-    each = shingles(texts, k)
-    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("_in")).filter("_in > 1")
-    lists = (each.join(often, "shingle").groupBy("ref")
-             .agg(F.sort_array(F.collect_list(F.struct("_in", "shingle"))).alias("own"))
-             .join(known.withColumn("ref", F.xxhash64("node")), "ref")
-             # Those in no other set come first and are in no pair.
-             .withColumn("lone", F.col("n") - F.size("own")))
-    front = F.floor(F.col("n") * (100 - percent) / 100) + 1 - F.col("lone")
-    left = F.col("n") - F.col("lone") - F.col("_place")
-    posts = (lists.filter(front > 0).select(
-        "node", "label", "n", "lone",
-        F.posexplode(F.slice("own", 1, front.cast("int"))).alias("_place", "_shingle"))
-        .select(F.col("_shingle.shingle").alias("shingle"), "node", "label", "n",
-                left.alias("left"),
-                (left * (100 + percent) >= 2 * percent * F.col("n")).alias("light")))
-    posts, _ = stored(posts, "posts")
-    sizes = posts.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("_m"))
-    largest = (sizes.groupBy("shingle").agg(F.count(F.lit(1)).alias("_labels"),
-                                            F.max(F.struct("_m", "label")).alias("_top"))
-               .filter("_labels > 1").select("shingle", F.col("_top.label").alias("_top")))
-    posts = posts.join(largest, "shingle").withColumn("_in", F.col("label") == F.col("_top"))
-    small = posts.filter("light").select(
-        "shingle", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"),
-        F.col("left").alias("leftb"), F.col("_in").alias("inb"))
-    enough = (F.least("left", "leftb") * (100 + percent) >= (F.col("n") + F.col("nb")) * percent)
-    passing = (F.col("label") != F.col("lb")) & (F.col("n") >= F.col("nb")) & enough
-    pairs = lambda a, b: a.join(b, "shingle").filter(passing).select("node", "b")
-    return (pairs(posts, small.filter("not inb"))
-            .union(pairs(posts.filter("not _in"), small.filter("inb")))
-            .select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct())
+    return (texts.select("text").mapInArrow(named, "node binary, text string")
+            .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
 
 def with_component_id(found: DataFrame, key: str) -> DataFrame:
@@ -421,7 +413,11 @@ def one_of_each(docs: DataFrame, key: str, text: str, k: int = 5, percent: int =
     bare = found.filter("component is null").select(
         F.col(key).alias("_key"), F.lit(None).cast("binary").alias("_set"),
         F.lit(1).cast("long").alias("_copies")).distinct()
-    stay, path = stored(stay.union(bare), "stay")
+    # Rows without company stay as they are; only the keys of others are joined.
+    shared = full.join(full.groupBy("component").agg(F.count(F.lit(1)).alias("_rows"))
+                       .filter("_rows > 1"), "component", "left_semi")
+    hit = among(shared.select(F.col(key).alias("_key")), "_key")
+    stay, path = stored(stay.union(bare).filter(hit(place("_key"))), "stay")
     of, own, copies, node = (unused(docs.columns, c) for c in ("_key", "_set", "_copies", "_node"))
     stay = size_checked(stay, path).toDF(of, own, copies)
 
@@ -432,8 +428,9 @@ def one_of_each(docs: DataFrame, key: str, text: str, k: int = 5, percent: int =
                 [digest(s) if len(s) else None for s in sets], pa.binary()))
 
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    kept = docs.mapInArrow(named, f"{schema}, `{node}` binary").join(
+    kept = docs.filter(hit(place(F.col(key)))).mapInArrow(named, f"{schema}, `{node}` binary").join(
         stay, F.col(key).eqNullSafe(F.col(of)) & F.col(node).eqNullSafe(F.col(own)))
     single = kept.filter(F.col(copies) == 1)
     repeats = kept.filter(F.col(copies) > 1).dropDuplicates([key, node])
-    return single.unionByName(repeats).select(*docs.columns)
+    return (docs.filter(~hit(place(F.col(key)))).unionByName(single.select(*docs.columns))
+            .unionByName(repeats.select(*docs.columns)))
