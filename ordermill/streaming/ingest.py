@@ -153,10 +153,7 @@ class StagingStream:
         layers = self.layers
         clean = {"customers": staging.stage_customers, "orders": staging.stage_orders,
                  "order_items": staging.stage_items}[name]
-        newest = landed.filter(staging.accepted(name)).groupBy(*keys).agg(
-            F.max(VERSION).alias("version"))
-        rows, _ = clean(landed)
-        rows = rows.join(newest, keys)
+        rows, _ = clean(landed, "version")
         if name == "orders":
             rows = step.with_period(rows)
         rows = layers.write_candidate(step.run_id, f"_work/{name}_versions", rows)

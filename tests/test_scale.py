@@ -1,9 +1,11 @@
-"""What keeps the work of larger tables small."""
+"""What keeps the work of larger tables small: width of key rows, runs without orders,
+partitioned writes without a sort."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ordermill.operators import quality
+from conftest import rows, ts
+from ordermill.operators import quality, staging
 
 
 def values(checks, frames):
@@ -35,3 +37,17 @@ def test_whole_number_keys_stay_numbers(spark):
               quality.Check("ref", "c", quality.Reference("ref", "p", "id"))]
     plan = quality.key_counts(checks, frames)._jdf.queryExecution().optimizedPlan().toString()
     assert "as string" not in plan and values(checks, frames) == {"p key": 0, "ref": 2}
+
+
+def test_staged_rows_carry_the_latest_version_of_their_key(spark):
+    """Rejected rows don't count, and a version that is NULL is the earliest."""
+    raw = spark.createDataFrame(
+        [(1, 1, 5.0, 1.0, ts("2020-01-01")), (1, 1, 6.0, 1.0, ts("2020-01-02")),
+         (1, 1, -7.0, 1.0, ts("2020-01-03")), (2, 1, 5.0, 1.0, None),
+         (2, 1, 4.0, 1.0, ts("2020-01-01")), (3, 1, 3.0, 1.0, None)],
+        "order_id long, order_item_id int, price double, freight_value double, "
+        "_extracted_at timestamp_ntz")
+    kept, _ = staging.stage_items(raw, "version")
+    assert {(r["order_id"], r["price"], r["version"]) for r in kept.collect()} == {
+        (1, 6.0, ts("2020-01-02")), (2, 4.0, ts("2020-01-01")), (3, 3.0, None)}
+    assert rows(kept.drop("version")) == rows(staging.stage_items(raw)[0])
