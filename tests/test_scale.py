@@ -2,10 +2,15 @@
 partitioned writes without a sort."""
 from __future__ import annotations
 
+import datetime as dt
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from conftest import rows, ts
 from ordermill.operators import quality, staging
+from ordermill.plans import elt
+from ordermill.sources.layers import Layers
 
 
 def values(checks, frames):
@@ -39,6 +44,19 @@ def test_whole_number_keys_stay_numbers(spark):
     assert "as string" not in plan and values(checks, frames) == {"p key": 0, "ref": 2}
 
 
+def test_a_run_without_orders_reads_no_children(spark, tables, tmp_path):
+    layers = Layers(spark, str(tmp_path / "layers"))
+    settings = elt.Settings(marts=False)
+    as_of = dt.date(2002, 1, 1)
+    whole = elt.Cycle(layers, tables, 1, as_of, settings)
+    assert whole.extract() > 0
+    unread = F.raise_error(F.lit("children were read")).cast("boolean")
+    source = SimpleNamespace(orders=tables.orders, items=tables.items.filter(unread),
+                             customers=tables.customers.filter(unread))
+    assert elt.Cycle(layers, source, 2, as_of, settings).extract() == 0
+    assert layers.landed_runs("raw/order_items") == [1]
+
+
 def test_staged_rows_carry_the_latest_version_of_their_key(spark):
     """Rejected rows don't count, and a version that is NULL is the earliest."""
     raw = spark.createDataFrame(
