@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows, ts
 from ordermill.operators import quality, staging
 from ordermill.plans import elt
+from ordermill.session import handle_skew
 from ordermill.sources.layers import Layers
 
 
@@ -57,6 +58,21 @@ def test_a_run_without_orders_reads_no_children(spark, tables, tmp_path):
     assert layers.landed_runs("raw/order_items") == [1]
 
 
+def test_partitioned_writes_need_no_sort(spark, tmp_path):
+    handle_skew(spark)
+    spark.sql("create table written_by_part (a long, p int) using parquet "
+              f"partitioned by (p) location '{tmp_path / 'written'}'")
+    try:
+        insert = ("insert into written_by_part select /*+ rebalance(p) */ id, p from "
+                  "(select id, cast(id % 20 as int) as p from range(200))")
+        assert "Sort" not in spark.sql(f"explain {insert}").first()[0]
+        spark.sql(insert)
+        assert spark.table("written_by_part").groupBy("p").count().filter(
+            "count = 10").count() == 20
+    finally:
+        spark.sql("drop table written_by_part")
+
+
 def test_staged_rows_carry_the_latest_version_of_their_key(spark):
     """Rejected rows don't count, and a version that is NULL is the earliest."""
     raw = spark.createDataFrame(
