@@ -15,9 +15,20 @@ from ordermill.llm.queries import ACCEPTED, held_out
 from ordermill.llm.tables import importable, stored, table, unused
 
 
+#: Rows of a batch handed to Python. The stages keep whole texts, and an executor holds a
+#: batch of each task three times and more: in its own buffers, and read and held by Python.
+BATCH_ROWS = 1_000
+
+
+def lean(spark: SparkSession) -> SparkSession:
+    """The session with small batches; no result depends on how rows are batched."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the rows not held out."""
-    labels = table(spark, sf_dir, "labels").filter(~held_out())
+    labels = table(lean(spark), sf_dir, "labels").filter(~held_out())
     model = quality.fit(docs, labels, "doc_id", "text", "quality")
     score = unused(docs.columns, "_score")
     return (quality.scored(docs, "text", model, score).filter(F.col(score) >= ACCEPTED)
@@ -37,16 +48,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked at 0.8 on five-word shingles."""
+    lean(spark)
     return lshforest.one_of_each(docs, "doc_id", "text", k=5, percent=80)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any stretch of a benchmark item."""
-    return decontaminate.clean(docs, "text", table(spark, sf_dir, "benchmark"), "item_id", "text")
+    return decontaminate.clean(docs, "text", table(lean(spark), sf_dir, "benchmark"), "item_id", "text")
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids (decimal, joined by spaces, with the end id) and the text they decode to."""
+    lean(spark)
     return spbpe.encode_decode(docs.select("doc_id", "text"), "text",
                                public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 

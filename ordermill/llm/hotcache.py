@@ -1,8 +1,29 @@
 """Bounded caches of computed values for one Python worker."""
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Hashable, Iterable
 from itertools import filterfalse
+from typing import Any
+
+#: What this worker keeps from one task to the next.
+_KEPT: dict[Hashable, Any] = {}
+
+
+def kept(key: Hashable, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, kept for the worker's next tasks under ``key``.
+
+    Spark gives the tasks of later queries to the same workers, and an executor has
+    several of them beside its heap; so they keep what one operator needs only.
+    """
+    if key not in _KEPT:
+        release()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Free what the worker keeps of the operator that it ran before."""
+    _KEPT.clear()
 
 
 class HotCache(dict):

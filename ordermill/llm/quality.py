@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hotcache import HotCache
+from .hotcache import HotCache, release
 
 #: Labelled rows that are fitted on, at most.
 SAMPLE = 5_000
@@ -40,7 +40,7 @@ HIDDEN = 32
 EPOCHS = 60
 #: At least; a small sample is gone through more often.
 STEPS = 1500
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
 
 
 def kind(word: str) -> tuple[str, str]:
@@ -221,6 +221,7 @@ def scored(docs: DataFrame, text: str, model: Model, into: str = "score") -> Dat
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         score = shared.value.scorer()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):

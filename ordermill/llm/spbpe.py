@@ -21,17 +21,16 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hotcache import HotCache
+from .hotcache import HotCache, kept
 
 MARK = "▁"
 #: Segments whose ids a worker keeps.
-CACHED_SEGMENTS = 300_000
+CACHED_SEGMENTS = 100_000
 _CUT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 
 
@@ -98,48 +97,56 @@ class Encoder:
 
         self.model = model
         self.known = {p for p in model.ids if merge(p, model.score) == [p]}
+        self.piece = {model.ids[p]: p for p in self.known}
+        self.size = max(self.piece, default=0) + 1
         self.automaton = ahocorasick.Automaton()
         for piece in self.known:
-            self.automaton.add_word(piece, len(piece))
+            self.automaton.add_word(piece, (len(piece), model.ids[piece]))
         self.automaton.make_automaton()
-        self.fits = HotCache(self._fits, 500_000)
+        #: By one number for both ids: a tuple of texts would take thrice the memory.
+        self.fits = HotCache(self._fits, 200_000)
 
-    def _fits(self, pair: tuple[str, str]) -> bool:
-        return merge(pair[0] + pair[1], self.model.score) == [*pair]
+    def _fits(self, pair: int) -> bool:
+        first, second = (self.piece[i] for i in divmod(pair, self.size))
+        return merge(first + second, self.model.score) == [first, second]
 
     def pieces(self, text: str) -> list[str]:
-        """The pieces of ``text``, all of whose characters are pieces."""
+        return [self.piece[i] for i in self.piece_ids(text)]
+
+    def piece_ids(self, text: str) -> list[int]:
+        """The ids of the pieces of ``text``, all of whose characters are pieces."""
         n = len(text)
-        lengths: list[list[int]] = [[] for _ in range(n)]
-        for end, length in self.automaton.iter(text):
-            lengths[end - length + 1].append(length)  # in growing order for each start
-        fits, failed = self.fits, 0
-        path: list[str] = []
-        at, options = 0, [lengths[0].copy()]
+        found: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+        for end, match in self.automaton.iter(text):
+            found[end - match[0] + 1].append(match)  # in growing order for each start
+        fits, size, failed = self.fits, self.size, 0
+        path: list[tuple[int, int]] = []
+        at, options = 0, [found[0].copy()]
         while at < n:
             here = options[-1]
             while here:
-                piece = text[at:at + here.pop()]
-                to = at + len(piece)
-                if not failed >> to & 1 and (not path or fits[path[-1], piece]):
-                    path.append(piece)
+                match = here.pop()
+                to = at + match[0]
+                if not failed >> to & 1 and (
+                        not path or fits[path[-1][1] * size + match[1]]):
+                    path.append(match)
                     at = to
-                    options.append(lengths[at].copy() if at < n else [])
+                    options.append(found[at].copy() if at < n else [])
                     break
             else:
                 failed |= 1 << at
                 options.pop()
-                at -= len(path.pop())
-        return path
+                at -= path.pop()[0]
+        return [i for _, i in path]
 
     def segment(self, text: str) -> list[int]:
         model, out, run = self.model, [], 0
         if all(c in self.known for c in text):
-            return [model.ids[p] for p in self.pieces(text)]
+            return self.piece_ids(text)
         for i, c in enumerate([*text, None]):
             if c is None or c not in self.known:
                 if run < i:
-                    out += [model.ids[p] for p in self.pieces(text[run:i])]
+                    out += self.piece_ids(text[run:i])
                 if c is not None:
                     out += [model.byte_ids[b] for b in c.encode()] if c not in model.ids \
                         else [model.ids[c]]
@@ -147,55 +154,74 @@ class Encoder:
         return out
 
 
+#: Decimal ids joined by spaces; with them what they decode to, where that is not the
+#: text they come from. Most are kept as the ids alone, so that caches stay small.
+Coded = str | tuple[str, bytes]
+
+
 class Codec:
     """Whole texts to ids with the end id, and ids to text."""
 
     def __init__(self, path: str, cached: int = CACHED_SEGMENTS):
         self.model = Model(path)
         self.encoder = Encoder(self.model)
-        #: Segment to its decimal ids, joined by spaces, and to what these decode to.
+        #: By segment, without the mark that each begins with.
         self.cache = HotCache(self._encoded, cached)
         self.parts = HotCache(self._part, cached)
         #: Adjacent characters that stand in a piece; nothing merges across others.
         self.joined = {p[i:i + 2] for p in self.model.ids for i in range(len(p) - 1)}
 
-    def _part(self, part: str) -> tuple[str, bytes]:
+    def _part(self, part: str) -> Coded:
         ids = self.encoder.segment(part)
-        return " ".join(map(str, ids)), self.surface(ids)
+        joined, raw = " ".join(map(str, ids)), self.surface(ids)
+        return joined if raw == _raw(part) else (joined, raw)
 
-    def _encoded(self, segment: str) -> tuple[str, bytes]:
-        joined = self.joined
+    def _encoded(self, word: str) -> Coded:
+        joined, segment = self.joined, MARK + word
         cuts = [i for i in range(1, len(segment)) if segment[i - 1:i + 1] not in joined]
         if not cuts:
             return self._part(segment)
-        found = [self.parts[segment[a:b]] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
-        return " ".join([x[0] for x in found]), b"".join([x[1] for x in found])
+        texts = [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
+        ids, raw = self._whole(texts, [self.parts[x] for x in texts])
+        return " ".join(ids) if raw is None else (" ".join(ids), raw)
+
+    @staticmethod
+    def _whole(texts: list[str], found: list[Coded]) -> tuple[list[str], bytes | None]:
+        """Ids of each text, and what all decode to if that is not the texts."""
+        if all([x.__class__ is str for x in found]):
+            return found, None
+        return ([x if isinstance(x, str) else x[0] for x in found],
+                b"".join([_raw(t) if isinstance(x, str) else x[1]
+                          for t, x in zip(texts, found)]))
 
     def surface(self, ids: list[int]) -> bytes:
         surface = self.model.surface
         return b"".join([surface[i] for i in ids])
 
     @staticmethod
-    def segments(text: str) -> list[str]:
-        """The marked text, cut before each run of space marks."""
+    def words(text: str) -> list[str]:
+        """The marked text, cut before each run of space marks; the first mark of each
+        segment is left out."""
         if not text:
             return []
         if "  " in text or MARK in text or text[0] == " ":
-            return _CUT.split(MARK + text.replace(" ", MARK))
-        return [MARK + x for x in text.split(" ")]
+            return [x[1:] for x in _CUT.split(MARK + text.replace(" ", MARK))]
+        return text.split(" ")
 
     def encode(self, text: str | None) -> str:
         """Decimal ids with the end id, joined by spaces."""
-        cache = self.cache
-        return " ".join([*[cache[x][0] for x in self.segments(text or "")],
-                         str(self.model.end_id)])
+        return self.both(text)[0]
 
     def both(self, text: str | None) -> tuple[str, str]:
         """Decimal ids and the text that they decode to."""
-        cache = self.cache
-        found = [cache[x] for x in self.segments(text or "")]
-        return (" ".join([*[x[0] for x in found], str(self.model.end_id)]),
-                self._text(b"".join([x[1] for x in found])))
+        cache, words = self.cache, self.words(text or "")
+        found = [cache[x] for x in words]
+        if all([x.__class__ is str for x in found]):  # each decodes to itself
+            ids, decoded = found, " ".join(words).replace(MARK, " ")
+        else:
+            ids, raw = self._whole([MARK + x for x in words], found)
+            decoded = self._text(raw)
+        return " ".join([*ids, str(self.model.end_id)]), decoded
 
     @staticmethod
     def _text(raw: bytes) -> str:
@@ -206,10 +232,13 @@ class Codec:
         return self._text(self.surface(ids))
 
 
-@lru_cache(1)
+def _raw(text: str) -> bytes:
+    return text.replace(MARK, " ").encode()
+
+
 def codec(path: str) -> Codec:
-    """One per worker and model."""
-    return Codec(path)
+    """One per worker and model; it goes when another operator runs in the worker."""
+    return kept(("codec", path), lambda: Codec(path))
 
 
 def encode_decode(docs: DataFrame, text: str, model: str) -> DataFrame:

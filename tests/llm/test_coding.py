@@ -14,7 +14,7 @@ from conftest import rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ordermill.llm import eliasfano, queries, spbpe
+from ordermill.llm import eliasfano, hotcache, queries, spbpe
 
 from .conftest import AWKWARD, LONG, SF
 
@@ -119,3 +119,21 @@ def test_op9_brute_force(spark, texts):
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(),
                      hashlib.sha256(SP.decode(ids).encode()).hexdigest()))
     assert rows(queries.op9_sentencepiece(spark, SF)) == sorted(want, key=repr)
+
+
+def test_worker_state_is_small_and_of_one_operator():
+    """Ids alone are kept of words that decode to themselves; the next operator's state
+    takes the place of the codec."""
+    first = spbpe.codec(PIECE)
+    assert spbpe.codec(PIECE) is first
+    for text in ["plain words, and more of them", "mit Umlauten: größer", " ▁ marks  ▁x ",
+                 "語彙の\x00ない文字 \U0001f9ff\U000e0001"]:
+        ids = SP.encode(text, add_eos=True)
+        if SP.decode(ids) == text:
+            assert first.both(text) == (" ".join(map(str, ids)), text)
+    assert first.cache and all(isinstance(x, str) for x in first.cache.values())
+    assert all(isinstance(x, int) for x in first.encoder.fits)
+    hotcache.kept("another operator", dict)
+    assert spbpe.codec(PIECE) is not first
+    hotcache.release()
+    assert not hotcache._KEPT
