@@ -3,14 +3,16 @@ partitioned writes without a sort."""
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 from types import SimpleNamespace
 
 from pyspark.sql import functions as F
 
 from conftest import rows, ts
+from ordermill.catalog.base import Tables
 from ordermill.operators import quality, staging
 from ordermill.plans import elt
-from ordermill.session import handle_skew
+from ordermill.session import TASK_BYTES, handle_skew, small_tasks
 from ordermill.sources.layers import Layers
 
 
@@ -85,3 +87,29 @@ def test_staged_rows_carry_the_latest_version_of_their_key(spark):
     assert {(r["order_id"], r["price"], r["version"]) for r in kept.collect()} == {
         (1, 6.0, ts("2020-01-02")), (2, 4.0, ts("2020-01-01")), (3, 3.0, None)}
     assert rows(kept.drop("version")) == rows(staging.stage_items(raw)[0])
+
+
+def test_order_data_is_read_and_shuffled_in_small_tasks(spark, tmp_path):
+    """A session's larger tasks are made smaller, its smaller ones stay; rows are the
+    same, and items are sorted without a copy of their date."""
+    old = {k: spark.conf.get(k) for k in TASK_BYTES}
+    lines = [(1, 1, 5, 6, ts("1997-01-02"), 2.5, 1.0), (1, 1, 5, 6, ts("1997-01-03"), 3.5, 1.0),
+             (1, 1, 9, 6, ts("1997-01-03"), 4.5, 1.0), (None, 1, 5, 6, None, None, 1.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, "
+                          "l_suppkey long, l_shipdate timestamp_ntz, l_extendedprice double, "
+                          "l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    try:
+        for k in TASK_BYTES:
+            spark.conf.set(k, "128m")
+        items = Tables(spark, str(tmp_path)).staged_items
+        assert all(spark.conf.get(k) == f"{n}b" for k, n in TASK_BYTES.items())
+        assert "_extracted_at" not in items._jdf.queryExecution().analyzed().toString()
+        assert rows(items, "order_id", "product_id", "price") == sorted(
+            [(None, 5, None), (1, 9, Decimal("4.50"))], key=repr)
+        for k in TASK_BYTES:
+            spark.conf.set(k, "1m")
+        small_tasks(spark)
+        assert all(spark.conf.get(k) == "1m" for k in TASK_BYTES)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
