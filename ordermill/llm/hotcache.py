@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Hashable, Iterable
-from itertools import filterfalse
+from itertools import filterfalse, islice
 from typing import Any
 
 #: What this worker keeps from one task to the next.
@@ -48,6 +48,13 @@ class HotCache(dict):
         self[key] = value
         return value
 
+    def trim(self, entries: int) -> None:
+        """Keep the first entries only: frequent keys are met early."""
+        first = dict(islice(self.items(), entries))
+        self.old = {}
+        self.clear()
+        self.update(first)
+
 
 class Generations:
     """A cache that is filled in bulk: ``turn`` before a batch, then ``absent`` for

@@ -30,7 +30,9 @@ from .hotcache import HotCache, kept
 
 MARK = "▁"
 #: Segments whose ids a worker keeps.
-CACHED_SEGMENTS = 100_000
+CACHED_SEGMENTS = 300_000
+#: Those of them that it keeps between tasks.
+KEPT_SEGMENTS = 20_000
 _CUT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 
 
@@ -104,7 +106,7 @@ class Encoder:
             self.automaton.add_word(piece, (len(piece), model.ids[piece]))
         self.automaton.make_automaton()
         #: By one number for both ids: a tuple of texts would take thrice the memory.
-        self.fits = HotCache(self._fits, 200_000)
+        self.fits = HotCache(self._fits, 500_000)
 
     def _fits(self, pair: int) -> bool:
         first, second = (self.piece[i] for i in divmod(pair, self.size))
@@ -171,6 +173,11 @@ class Codec:
         #: Adjacent characters that stand in a piece; nothing merges across others.
         self.joined = {p[i:i + 2] for p in self.model.ids for i in range(len(p) - 1)}
 
+    def trim(self) -> None:
+        """What is left when a task ends: idle workers hold no more."""
+        for cache in (self.cache, self.parts, self.encoder.fits):
+            cache.trim(KEPT_SEGMENTS)
+
     def _part(self, part: str) -> Coded:
         ids = self.encoder.segment(part)
         joined, raw = " ".join(map(str, ids)), self.surface(ids)
@@ -260,6 +267,7 @@ def encode_decode(docs: DataFrame, text: str, model: str) -> DataFrame:
                      pa.array([x.count(" ") + 1 for x in ids], pa.int64()),
                      pa.array([p[1] for p in pairs], pa.string())],
                     [*names, "ids", "n_tokens", "decoded"])
+        codec(model).trim()
 
     return docs.mapInArrow(run, f"{schema}, ids string, n_tokens long, decoded string")
 
@@ -286,6 +294,7 @@ def digest(docs: DataFrame, key: str, text: str, model: str) -> DataFrame:
                 [batch[key], *[pa.array([r[i] for r in rows], kind) for i, kind in
                                enumerate((pa.int64(), pa.string(), pa.string()))]],
                 [key, "n_tokens", "ids_sha256", "decoded_sha256"])
+        codec(model).trim()
 
     kind = dict(docs.dtypes)[key]
     return docs.select(F.col(key), F.col(text)).mapInArrow(

@@ -133,6 +133,11 @@ def test_worker_state_is_small_and_of_one_operator():
             assert first.both(text) == (" ".join(map(str, ids)), text)
     assert first.cache and all(isinstance(x, str) for x in first.cache.values())
     assert all(isinstance(x, int) for x in first.encoder.fits)
+    first.cache.update({str(i): "0" for i in range(2 * spbpe.KEPT_SEGMENTS)})
+    first.cache.old = dict(first.cache)
+    first.trim()
+    assert len(first.cache) == spbpe.KEPT_SEGMENTS and not first.cache.old
+    assert first.both("plain words, and more of them")[1] == "plain words, and more of them"
     hotcache.kept("another operator", dict)
     assert spbpe.codec(PIECE) is not first
     hotcache.release()
