@@ -12,18 +12,7 @@ from pyspark.sql import functions as F
 
 from ordermill.llm import decontaminate, linefreq, lshforest, quality, spbpe
 from ordermill.llm.queries import ACCEPTED, held_out
-from ordermill.llm.tables import importable, stored, table, unused
-
-
-#: Rows of a batch handed to Python. The stages keep whole texts, and an executor holds a
-#: batch of each task three times and more: in its own buffers, and read and held by Python.
-BATCH_ROWS = 1_000
-
-
-def lean(spark: SparkSession) -> SparkSession:
-    """The session with small batches; no result depends on how rows are batched."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return spark
+from ordermill.llm.tables import importable, lean, stored, table, unused
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

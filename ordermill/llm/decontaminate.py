@@ -42,6 +42,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from .hotcache import frugal
+
 
 Q = 12
 LENGTH = 80
@@ -325,6 +327,7 @@ def contaminations(docs: DataFrame, key: str, text: str, items: DataFrame, item_
     for index in indexes(items, item_key, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
+        @frugal
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 matches = shared.value.matches(batch.column(1).to_pylist())
@@ -346,6 +349,7 @@ def clean(docs: DataFrame, text: str, items: DataFrame, item_key: str, item_text
     for index in indexes(items, item_key, item_text):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
+        @frugal
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 matches = shared.value.matches(batch[text].to_pylist())

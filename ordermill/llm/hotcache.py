@@ -1,10 +1,14 @@
 """Bounded caches of computed values for one Python worker."""
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable, Iterable
+import ctypes
+from collections.abc import Callable, Hashable, Iterable, Iterator
+from functools import wraps
 from itertools import filterfalse, islice
 from typing import Any
 
+import pyarrow as pa
+
 #: What this worker keeps from one task to the next.
 _KEPT: dict[Hashable, Any] = {}
 
@@ -26,6 +30,25 @@ def release() -> None:
     _KEPT.clear()
 
 
+def give_back() -> None:
+    """Return what was freed to the system; allocators keep it for the process else."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):  # glibc has it
+        libc.malloc_trim(0)
+
+
+def frugal(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, a function for mapInArrow, that gives memory back when its task ends:
+    an executor has idle workers beside those that run."""
+
+    @wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 class HotCache(dict):
     """``cache[key]`` computes and keeps what is missing, in bounded memory.
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hotcache import HotCache, release
+from .hotcache import HotCache, frugal, release
 
 #: Labelled rows that are fitted on, at most.
 SAMPLE = 5_000
@@ -220,6 +220,7 @@ def scored(docs: DataFrame, text: str, model: Model, into: str = "score") -> Dat
     docs = docs.drop(into)
     names = docs.columns
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         score = shared.value.scorer()
