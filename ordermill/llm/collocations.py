@@ -41,6 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .hotcache import frugal
 from .tables import stored
 
 SUPPORT = 10
@@ -163,24 +164,38 @@ def triples(w: Words, bits: np.ndarray) -> np.ndarray:
 
 
 def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, and their counts added up."""
-    key, back = np.unique(np.concatenate(keys), return_inverse=True)
-    return key, np.bincount(back, np.concatenate(counts), len(key)).astype(np.int64)
+    """Distinct keys in order, and their counts added up. Both lists are emptied, so that
+    what is summed is held once."""
+    key = np.concatenate(keys)
+    n = np.concatenate(counts).astype(np.int64, copy=False)
+    keys.clear()
+    counts.clear()
+    order = np.argsort(key)
+    key, n = key[order], n[order]
+    del order
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else key[:0].astype(np.int64)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def packed(key: np.ndarray, n: np.ndarray, shard: int, bits: int) -> pa.RecordBatch:
     """A row for each bucket (the upper ``bits`` of a key) with the next 32 bits of its
     keys, and counts of a byte; what is counted more often is there several times."""
-    times = -(-n // 255)
-    last = np.cumsum(times) - 1
-    counts = np.full(times.sum(), 255, np.uint8)
-    counts[last] = n - 255 * (times - 1)
-    key = np.repeat(key, times) >> 63 - LOW - bits
-    bucket, first = np.unique(key >> LOW, return_index=True)
-    ends = np.r_[first[1:], len(key)]
+    key = key >> 63 - LOW - bits
+    often = np.flatnonzero(n > 255)
+    counts = np.minimum(n, 255).astype(np.uint8)
+    if len(often):
+        times = -(-n[often] // 255)
+        each = np.ones(len(n), np.int64)
+        each[often] = times
+        key, counts = np.repeat(key, each), np.repeat(counts, each)
+        counts[(np.cumsum(each) - 1)[often]] = n[often] - 255 * (times - 1)
+    # Keys are in order, and so are their buckets.
+    bucket = (key >> LOW).astype(np.int32)
+    first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(key) else []
+    ends, bucket = np.r_[first[1:], len(key)].astype(np.int64), bucket[first]
     rest, counts = key.astype("<u4").tobytes(), counts.tobytes()
     return pa.record_batch({
-        "bucket": pa.array(bucket.astype(np.int32)),
+        "bucket": pa.array(bucket),
         "shard": pa.array(np.full(len(bucket), shard, np.int32)),
         "keys": pa.array([rest[4 * a:4 * b] for a, b in zip(first, ends)], pa.binary()),
         "counts": pa.array([counts[a:b] for a, b in zip(first, ends)], pa.binary())})
@@ -204,7 +219,7 @@ def _local(batches, shards: int, lengths: tuple[int, ...], bits: int, shared
             held += len(key)
         if held >= HELD:
             yield packed(*summed(keys, counts), shard, bits)
-            keys, counts, held = [], [], 0
+            held = 0
     if held:
         yield packed(*summed(keys, counts), shard, bits)
 
@@ -250,9 +265,10 @@ def frequent_in_a_shard(docs: DataFrame, support: int, shards: int, lengths: tup
                         bits: int, shared=None) -> DataFrame:
     """Places in the bit map of the phrases that reach their share of the support in a
     shard; shares are rounded up, and 1 less in each is less than the support."""
-    local = docs.mapInArrow(lambda b: _local(b, shards, lengths, bits, shared), PACKED_DDL)
+    local = docs.mapInArrow(frugal(lambda b: _local(b, shards, lengths, bits, shared)),
+                            PACKED_DDL)
     return (local.repartition("bucket").sortWithinPartitions("bucket")
-            .mapInArrow(lambda b: _frequent(b, support, shards, bits), "position long"))
+            .mapInArrow(frugal(lambda b: _frequent(b, support, shards, bits)), "position long"))
 
 
 def bit_map(spark: SparkSession, places: DataFrame, start: bytes | None = None) -> bytes:
@@ -311,7 +327,7 @@ def frequent_phrases(docs: DataFrame, lang: str, text: str, support: int = SUPPO
     shared = spark.sparkContext.broadcast(known)
     known = bit_map(spark, frequent_in_a_shard(docs, support, shards, (3,), deal, shared), known)
     shared = spark.sparkContext.broadcast(known)
-    counted = docs.mapInArrow(lambda b: _exact(b, shared),
+    counted = docs.mapInArrow(frugal(lambda b: _exact(b, shared)),
                               "lang string, phrase string, length int, f long")
     return (counted.groupBy("lang", "phrase", "length").agg(F.sum("f").alias("f"))
             .filter((F.col("length") == 0) | (F.col("f") >= support)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_root
 from . import (collocations, decontaminate, eliasfano, license_join, linefreq, lshforest,
                mixing, quality, rendezvous, sketch, spbpe, warc, whitening)
-from .tables import stored, table
+from .tables import lean, stored, table
 
 SHARDS = 8
 #: Of a document by the quality classifier.
@@ -127,7 +127,7 @@ def op12_mixing(spark, sf_dir):
 
 def op13_collocations(spark, sf_dir):
     """The best phrases of each language of all documents."""
-    return collocations.collocations(table(spark, sf_dir, "documents"), "lang", "text")
+    return collocations.collocations(table(lean(spark), sf_dir, "documents"), "lang", "text")
 
 
 def pipeline(spark, sf_dir):

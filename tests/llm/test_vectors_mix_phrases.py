@@ -273,3 +273,15 @@ def test_blocks_are_cut_between_texts(monkeypatch):
         for i in w.at[2]:
             found[w.langs[w.lang[w.id[i]]], w.word[int(w.id[i])].as_py()] += 1
     assert found == Counter({("a", "x"): 2, ("a", "y"): 1, ("b", "z"): 29})
+
+
+def test_counts_are_held_once_and_packed_whole():
+    keys = [np.array([1 << 40, 5 << 40, 9 << 50]), np.array([5 << 40, 9 << 50])]
+    counts = [np.array([1, 255, 300]), np.array([1, 255])]
+    key, n = collocations.summed(keys, counts)
+    assert not keys and not counts
+    assert dict(zip(key.tolist(), n.tolist())) == {1 << 40: 1, 5 << 40: 256, 9 << 50: 555}
+    rows = collocations.packed(key, n, 1, 8).to_pylist()
+    assert [r["bucket"] for r in rows] == sorted({r["bucket"] for r in rows})
+    assert sum(sum(r["counts"]) for r in rows) == 812
+    assert all(len(r["keys"]) == 4 * len(r["counts"]) for r in rows)
