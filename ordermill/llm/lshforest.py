@@ -53,7 +53,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .collocations import BITS, bit_map
-from .tables import size_checked, stored, unused
+from .hotcache import frugal
+from .tables import bucketed, size_checked, stored, unused
 
 MINIMA = 64
 ORDERS = 32
@@ -98,6 +99,7 @@ def signatures(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     """Per row: ``key``, ``n`` (set size), ``node`` (null if empty) and ``sig``."""
     kind = dict(docs.dtypes)[key]
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), k) for t in batch[text]]
@@ -111,10 +113,13 @@ def signatures(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     return docs.select(key, text).mapInArrow(run, f"key {kind}, n long, node binary, sig binary")
 
 
-def forest(nodes: DataFrame) -> DataFrame:
+def forest(nodes: DataFrame, deep: bool = True) -> DataFrame:
     """Rows (order, region, node, near): the members of regions that may have several,
-    each with the node of its region just before it in the order, if there is one."""
+    each with the node of its region just before it in the order, if there is one; in
+    the order of names alone if not ``deep``."""
+    named, rest = dict(nodes.dtypes)["node"], ["rest"] if deep else []
 
+    @frugal
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -127,9 +132,10 @@ def forest(nodes: DataFrame) -> DataFrame:
                 which = pa.array(np.repeat(np.arange(m), ORDERS))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.tile(np.arange(ORDERS, dtype=np.int32), m)),
-                     pa.array(keys[:, 0]), pa.array(keys[:, 1]), part["node"].take(which)],
-                    ["order", "region", "rest", "node"])
+                     *[pa.array(keys[:, i]) for i in range(1 + deep)], part["node"].take(which)],
+                    order)
 
+    @frugal
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # The first and the last row of a partition are passed on in any case: their
         # region may go on beyond it. ``held`` is the last row so far with the one
@@ -158,12 +164,11 @@ def forest(nodes: DataFrame) -> DataFrame:
         if held is not None:
             yield from passed(held, len(held) - 1, True).to_batches()
 
-    order = ["order", "region", "rest", "node"]
-    rows = nodes.select("node", "sig").mapInArrow(
-        spread, "order int, region long, rest long, node binary")
+    order = ["order", "region", *rest, "node"]
+    schema = ", ".join(["order int, region long", *(f"{c} long" for c in rest), f"node {named}"])
+    rows = nodes.select("node", "sig").mapInArrow(spread, schema)
     return (rows.repartitionByRange(*order).sortWithinPartitions(*order)
-            .mapInArrow(neighbours, "order int, region long, rest long, node binary, near binary")
-            .drop("rest"))
+            .mapInArrow(neighbours, f"{schema}, near {named}").drop("rest"))
 
 
 def with_hub(members: DataFrame) -> DataFrame:
@@ -179,6 +184,7 @@ def shingles(texts: DataFrame, k: int) -> DataFrame:
     also = [c for c in texts.columns if c != "text"]
     kinds = dict(texts.dtypes)
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, text in enumerate(batch["text"]):
@@ -331,11 +337,13 @@ def linked_components(docs: DataFrame, key: str, text: str, k: int = 5,
     rows, _ = stored(signatures(docs, key, text, k), "signatures")
     nodes, _ = stored(rows.filter("node is not null").groupBy("node").agg(
         F.min("key").alias("rep"), F.first("n").alias("n"), F.first("sig").alias("sig")), "nodes")
-    wanted, path = stored(with_hub(forest(nodes)).select("node").distinct().join(
-        nodes.select("node", "rep"), "node"), "wanted")
-    texts, _ = stored(texts_of(docs, key, text, k, size_checked(wanted, path)), "texts")
-
+    # Here 64 bits name a node: two with one name are both kept, and parted below.
     ref = F.xxhash64("node")
+    met = with_hub(forest(nodes.select(ref.alias("node"), "sig"), deep=False))
+    wanted, path = stored(met.select(F.col("node").alias("_ref")).distinct().join(
+        nodes.select(ref.alias("_ref"), "node", "rep"), "_ref").select("node", "rep"), "wanted")
+    texts = bucketed(texts_of(docs, key, text, k, size_checked(wanted, path)), "texts", "node")
+
     left = (texts.select("node").join(nodes.select("node", "n", "sig"), "node")
             .withColumn("ref", ref).join(unshared(texts, k), "ref", "left")
             .filter(F.coalesce("u", F.lit(0)) * 100 <= F.col("n") * (100 - percent)))
@@ -379,6 +387,7 @@ def texts_of(docs: DataFrame, key: str, text: str, k: int, wanted: DataFrame) ->
              .join(wanted.select(F.col("rep").alias("_rep")).distinct(),
                    F.col("rep").eqNullSafe(F.col("_rep")), "left_semi"))
 
+    @frugal
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = [digest(shingle_set(t.as_py(), k)) for t in batch["text"]]
@@ -421,6 +430,7 @@ def one_of_each(docs: DataFrame, key: str, text: str, k: int = 5, percent: int =
     of, own, copies, node = (unused(docs.columns, c) for c in ("_key", "_set", "_copies", "_node"))
     stay = size_checked(stay, path).toDF(of, own, copies)
 
+    @frugal
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py(), k) for t in batch[text]]

@@ -570,3 +570,27 @@ def test_few_labelled_rows_are_learned_from():
         scores = model.scorer()([good, bad, "", None])
         assert scores[0] > 0.5 > scores[1] and np.isfinite(scores).all(), (n, scores)
     assert quality.Model([good] * 3, [1, 1, 1]).scorer()([bad]).tolist() == [1.0]
+
+
+def test_bucketed_texts_are_joined_without_a_shuffle(spark):
+    from ordermill.llm import tables
+
+    data = [(bytes([i]), f"text {i}") for i in range(20)]
+    texts = tables.bucketed(spark.createDataFrame(data, "node binary, text string"), "t", "node")
+    known = spark.createDataFrame([(bytes([3]), 1)], "node binary, c long").hint("merge")
+    joined = texts.join(known, "node")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert [tuple(r) for r in joined.collect()] == [(bytearray([3]), "text 3", 1)]
+    assert sorted(map(tuple, texts.collect())) == sorted(map(tuple, (
+        (bytearray(n), t) for n, t in data)))
+
+
+def test_forest_of_names_has_the_members_of_the_deep_one(spark):
+    rnd = np.random.default_rng(3)
+    sigs = rnd.integers(0, 3, (60, lshforest.MINIMA)).astype(np.uint16)
+    nodes = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sigs)],
+                                  "node long, sig binary")
+    deep, flat = (sorted(map(tuple, lshforest.with_hub(lshforest.forest(nodes, d)).select(
+        "order", "region", "node", "hub").collect())) for d in (True, False))
+    assert deep and deep == flat
