@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .hotcache import Generations
+from .hotcache import Generations, frugal, kept
 
 MAGIC = b"IDEF"
 HEADER = struct.Struct("<4sBBHQQ")
@@ -275,6 +275,11 @@ class ByteBpe:
         return out
 
 
+def byte_bpe(path: str, end_id: int) -> ByteBpe:
+    """One per worker and tokenizer: the pieces of its next tasks are mostly the same."""
+    return kept(("byte_bpe", path, end_id), lambda: ByteBpe(path, end_id))
+
+
 def batches_of(texts: list[str | None]) -> Iterator[slice]:
     """Stretches of a list with about ``BATCH_CHARS`` characters each."""
     start = size = 0
@@ -294,10 +299,11 @@ def write(docs: DataFrame, key: str, text: str, path: str, tokenizer: str, end_i
           segment_ids: int = SEGMENT_IDS) -> None:
     """Encode ``docs`` in ascending ``key`` order into segments at ``path``."""
 
+    @frugal
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, seq, bpe = TaskContext.get().partitionId(), 0, ByteBpe(tokenizer, end_id)
+        part, seq, bpe = TaskContext.get().partitionId(), 0, byte_bpe(tokenizer, end_id)
         keys, held, size = [], [], 0
 
         def segment():
@@ -343,12 +349,13 @@ def read(spark, path: str, key: str) -> DataFrame:
              .join(parts, "part")
              .select("part", "seq", (F.col("_base") + F.col("_before")).alias("base")))
 
+    @frugal
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, bounds = unpack_segment(batch["blob"][i].as_py())
                 wide = ids.astype("<u4").tobytes()
-                ends = np.array([bounds.end(j) for j in range(bounds.n)], np.int64)
+                ends = bounds.all()
                 starts = np.concatenate(([0], ends[:-1]))
                 crcs = [zlib.crc32(memoryview(wide)[4 * a:4 * b])
                         for a, b in zip(starts.tolist(), ends.tolist())]
