@@ -21,12 +21,13 @@ import hashlib
 import heapq
 import re
 from collections.abc import Iterator
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .hotcache import HotCache, kept
+from .hotcache import HotCache, frugal, kept
 
 MARK = "▁"
 #: Segments whose ids a worker keeps.
@@ -99,11 +100,18 @@ class Encoder:
 
         self.model = model
         self.known = {p for p in model.ids if merge(p, model.score) == [p]}
+        self.chars = frozenset(p for p in self.known if len(p) == 1)
         self.piece = {model.ids[p]: p for p in self.known}
         self.size = max(self.piece, default=0) + 1
+        #: By id: its length, and the longest piece that it begins with (-1: none). The
+        #: pieces that match at a place are the longest one there and so on from it.
+        self.length, self.shorter = [0] * self.size, [-1] * self.size
         self.automaton = ahocorasick.Automaton()
-        for piece in self.known:
-            self.automaton.add_word(piece, (len(piece), model.ids[piece]))
+        for i, piece in self.piece.items():
+            self.automaton.add_word(piece, i)
+            self.length[i] = len(piece)
+            self.shorter[i] = next((model.ids[piece[:k]] for k in range(len(piece) - 1, 0, -1)
+                                    if piece[:k] in self.known), -1)
         self.automaton.make_automaton()
         #: By one number for both ids: a tuple of texts would take thrice the memory.
         self.fits = HotCache(self._fits, 500_000)
@@ -117,33 +125,31 @@ class Encoder:
 
     def piece_ids(self, text: str) -> list[int]:
         """The ids of the pieces of ``text``, all of whose characters are pieces."""
-        n = len(text)
-        found: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, match in self.automaton.iter(text):
-            found[end - match[0] + 1].append(match)  # in growing order for each start
+        n, length, shorter = len(text), self.length, self.shorter
+        longest = [-1] * n
+        for end, i in self.automaton.iter(text):
+            longest[end - length[i] + 1] = i  # in growing order for each start
         fits, size, failed = self.fits, self.size, 0
-        path: list[tuple[int, int]] = []
-        at, options = 0, [found[0].copy()]
+        path: list[int] = []
+        at, last, i = 0, -1, longest[0] if n else -1
         while at < n:
-            here = options[-1]
-            while here:
-                match = here.pop()
-                to = at + match[0]
-                if not failed >> to & 1 and (
-                        not path or fits[path[-1][1] * size + match[1]]):
-                    path.append(match)
-                    at = to
-                    options.append(found[at].copy() if at < n else [])
+            while i >= 0:
+                to = at + length[i]
+                if not failed >> to & 1 and (last < 0 or fits[last * size + i]):
+                    path.append(i)
+                    at, last, i = to, i, longest[to] if to < n else -1
                     break
+                i = shorter[i]
             else:
                 failed |= 1 << at
-                options.pop()
-                at -= path.pop()[0]
-        return [i for _, i in path]
+                taken = path.pop()
+                at -= length[taken]
+                last, i = path[-1] if path else -1, shorter[taken]
+        return path
 
     def segment(self, text: str) -> list[int]:
         model, out, run = self.model, [], 0
-        if all(c in self.known for c in text):
+        if self.chars.issuperset(text):
             return self.piece_ids(text)
         for i, c in enumerate([*text, None]):
             if c is None or c not in self.known:
@@ -185,9 +191,9 @@ class Codec:
 
     def _encoded(self, word: str) -> Coded:
         joined, segment = self.joined, MARK + word
-        cuts = [i for i in range(1, len(segment)) if segment[i - 1:i + 1] not in joined]
-        if not cuts:
+        if joined.issuperset(map(add, segment, word)):
             return self._part(segment)
+        cuts = [i for i in range(1, len(segment)) if segment[i - 1:i + 1] not in joined]
         texts = [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])]
         ids, raw = self._whole(texts, [self.parts[x] for x in texts])
         return " ".join(ids) if raw is None else (" ".join(ids), raw)
@@ -256,6 +262,7 @@ def encode_decode(docs: DataFrame, text: str, model: str) -> DataFrame:
     names = docs.columns
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = codec(model).both
         for batch in batches:
@@ -282,6 +289,7 @@ def digest(docs: DataFrame, key: str, text: str, model: str) -> DataFrame:
     """Key, n_tokens, ids_sha256 and decoded_sha256, made beside the encoding
     so that neither ids nor texts leave the worker."""
 
+    @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = codec(model).both
         for batch in batches:

@@ -142,3 +142,29 @@ def test_worker_state_is_small_and_of_one_operator():
     assert spbpe.codec(PIECE) is not first
     hotcache.release()
     assert not hotcache._KEPT
+
+
+def test_memory_goes_back_when_a_task_ends(monkeypatch):
+    given = []
+    monkeypatch.setattr(hotcache, "give_back", lambda: given.append(1))
+    run = hotcache.frugal(lambda batches: (b + 1 for b in batches))(iter([1, 2]))
+    assert next(run) == 2 and not given
+    assert list(run) == [3] and given == [1]
+
+
+def test_shorter_pieces_are_all_that_a_piece_begins_with():
+    """From the longest piece at a place the others there follow, without lists of them."""
+    encoder = CODEC.encoder
+    for i, piece in [*encoder.piece.items()][::97]:
+        chain = [i]
+        while encoder.shorter[chain[-1]] >= 0:
+            chain.append(encoder.shorter[chain[-1]])
+        assert [encoder.piece[x] for x in chain] == [
+            piece[:k] for k in range(len(piece), 0, -1) if piece[:k] in encoder.known]
+
+
+def test_tokenizer_stays_with_the_worker():
+    first = eliasfano.byte_bpe(BPE, 0)
+    assert eliasfano.byte_bpe(BPE, 0) is first
+    assert eliasfano.byte_bpe(BPE, 1) is not first
+    hotcache.release()
