@@ -130,16 +130,14 @@ def unpack_segment(blob: bytes) -> tuple[np.ndarray, Boundaries]:
 
 #: A space before anything but white space begins a piece of its own: the
 #: pre-tokenizer never joins what stands before it with what follows.
-_WHITE = np.zeros(256, bool)
-_WHITE[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = True
-#: ASCII letters, and marks and white space, before which a letter's piece ends.
-_ALPHA = np.zeros(256, bool)
-_ALPHA[[*range(65, 91), *range(97, 123)]] = True
-_ENDS = _WHITE.copy()
-_ENDS[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
-#: First bytes of white space beyond ASCII.
-_WIDE = np.zeros(256, bool)
-_WIDE[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+WHITE, ALPHA, ENDS, WIDE = 1, 2, 4, 8
+#: The kinds of each byte: white space; ASCII letters, and marks and white space, before
+#: which a letter's piece ends; first bytes of white space beyond ASCII.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[9, 10, 11, 12, 13, 28, 29, 30, 31, 32]] = WHITE | ENDS
+_KIND[[*range(65, 91), *range(97, 123)]] = ALPHA
+_KIND[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = ENDS
+_KIND[[0xC2, 0xE1, 0xE2, 0xE3]] = WIDE
 _WIDE_BLANK = re.compile(rb" (?:\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|"
                          rb"\xe2\x81\x9f|\xe3\x80\x80)")
 #: It doesn't join a letter with a mark or white space behind it either, nor a
@@ -155,17 +153,18 @@ def pieces(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     data = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.cumsum([len(t) for t in texts])
     cut = np.zeros(len(data) + 1, bool)
+    kind = _KIND[data]
     space = data[:-1] == 32
-    cut[:len(data)][:-1] = space & ~_WHITE[data[1:]] if len(data) else False
-    if (space & _WIDE[data[1:]]).any():
+    cut[:len(data)][:-1] = space & (kind[1:] & WHITE == 0) if len(data) else False
+    if (space & (kind[1:] & WIDE != 0)).any():
         # White space of several bytes behind a space: no cut there.
         for m in _WIDE_BLANK.finditer(data.tobytes()):
             cut[m.start()] = False
     # A text's last byte is followed by nothing, its first one begins a piece.
     cut[ends[ends > 0] - 1] = False
     # As ``_INNER`` does, for ASCII: fewer different pieces are left to look at.
-    cut[1:len(data)] |= _ALPHA[data[:-1]] & _ENDS[data[1:]]
-    cut[2:len(data)] |= (data[1:-1] == 10) & ~_WHITE[data[:-2]] & _ALPHA[data[2:]]
+    cut[1:len(data)] |= (kind[:-1] & ALPHA != 0) & (kind[1:] & ENDS != 0)
+    cut[2:len(data)] |= (data[1:-1] == 10) & (kind[:-2] & WHITE == 0) & (kind[2:] & ALPHA != 0)
     starts = np.concatenate([[0], ends])
     cut[starts[:-1][np.diff(starts) > 0]] = True
     cut[len(data)] = False
@@ -194,11 +193,21 @@ def inner_pieces(piece: str) -> list[str] | tuple[str, ...]:
     return _INNER.split(" " + piece)
 
 
+#: The characters that stand for bytes in byte-level tokens.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_LEVEL = {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)}.difference(_PRINTED)))}
+
+
+def byte_level(word: str) -> str:
+    return word.encode().decode("latin-1").translate(_LEVEL)
+
+
 class ByteBpe:
     """Ids of whole texts as packed bytes.
 
-    The library encodes a piece once for as long as the worker keeps it. Pieces
-    that are new to a batch are cut into words, which go to the library in one call.
+    The library encodes a piece once for as long as the worker keeps it. Pieces that
+    are new to a batch are cut into words; those of letters go to the library's model,
+    as what its pre-tokenizer makes of them, the others to the whole of it in one call.
     """
 
     def __init__(self, path: str, end_id: int, cached: int = CACHED_PIECES):
@@ -208,6 +217,7 @@ class ByteBpe:
         # The caches hold no cycles; to look through them again and again takes time.
         gc.set_threshold(100_000, 50, 100)
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
@@ -215,25 +225,21 @@ class ByteBpe:
         self.dtype = f"<u{self.width}"
         self.end = np.array([end_id], self.dtype).tobytes()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        # A character of a byte-level token stands for one byte of text.
-        self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
-        self.n_bytes[list(vocab.values())] = [len(x) for x in vocab]
+        self.packed = [i.to_bytes(self.width, "little") for i in range(max(vocab.values()) + 1)]
+        cutter = self.tokenizer.pre_tokenizer
+        #: A word is cut no further and is what its bytes stand for: the model can have it.
+        self.direct = (self.tokenizer.normalizer is None and isinstance(cutter, ByteLevel)
+                       and not cutter.add_prefix_space)
         self.whole = Generations(cached)
 
     def _new_words(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
-        plain, other = [], []
+        packed, tokenize, other = self.packed, self.tokenizer.model.tokenize, []
         for w in words:
-            (plain if _WORD.fullmatch(w) else other).append(w)
-        if plain:
-            # A word without a space of its own gets a line feed, which is one id.
-            marked = [w if w[0] == " " else "\n" + w for w in plain]
-            ids = np.array(self._ids(["".join(marked)])[0])
-            ends = np.searchsorted(np.cumsum(self.n_bytes[ids]),
-                                   np.cumsum([len(w.encode()) for w in marked])) + 1
-            raw, start = ids.astype(self.dtype).tobytes(), 0
-            for w, end in zip(plain, (ends * self.width).tolist()):
-                yield w, raw[start + self.width * (w[0] != " "):end]
-                start = end
+            if self.direct and _WORD.fullmatch(w):
+                level = w.replace(" ", "Ġ") if w.isascii() else byte_level(w)
+                yield w, b"".join([packed[t.id] for t in tokenize(level)])
+            else:
+                other.append(w)
         for w, ids in zip(other, self._ids(other)):
             yield w, np.array(ids, self.dtype).tobytes()
 
@@ -255,14 +261,16 @@ class ByteBpe:
         found = found.dictionary_encode()
         distinct = values(found.dictionary)
         self.whole.turn()
-        fresh = [(p, p.decode()) for p in self.whole.absent(distinct)]
+        own = self.whole.found(distinct)
+        absent = [i for i, x in enumerate(own) if x is None]
+        fresh = [(p, p.decode()) for p in map(distinct.__getitem__, absent)]
         # A piece with a space before it, or what a text begins with.
         inner = {p: inner_pieces(t[1:]) if t[0] == " " else _INNER.split(t) for p, t in fresh}
         word = dict(self._new_words(list(set(chain.from_iterable(inner.values()))))).__getitem__
         held = self.whole.held
-        for p, parts in inner.items():
-            held[p] = word(parts[0]) if len(parts) == 1 else b"".join(map(word, parts))
-        own = list(map(held.__getitem__, distinct))
+        for i, (p, parts) in zip(absent, inner.items()):
+            own[i] = held[p] = (word(parts[0]) if len(parts) == 1
+                                else b"".join(map(word, parts)))
         ends = np.concatenate([[0], np.cumsum(list(map(len, own)))]).astype(np.int64)
         ids = pa.Array.from_buffers(pa.large_binary(), len(own), [
             None, pa.py_buffer(ends), pa.py_buffer(b"".join(own))]).take(found.indices)
@@ -364,5 +372,6 @@ def read(spark, path: str, key: str) -> DataFrame:
                      pa.array(ends - starts), pa.array(crcs, pa.int64())],
                     [key, "start", "n_tokens", "ids_crc32"])
 
-    return (segments.join(bases, ["part", "seq"]).select("base", "keys", "blob")
+    # A few bytes for a million ids each: blobs stay where they were read.
+    return (segments.join(F.broadcast(bases), ["part", "seq"]).select("base", "keys", "blob")
             .mapInArrow(decode, f"{key} long, start long, n_tokens long, ids_crc32 long"))

@@ -2,9 +2,9 @@
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Callable, Hashable, Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterator
 from functools import wraps
-from itertools import filterfalse, islice
+from itertools import islice
 from typing import Any
 
 import pyarrow as pa
@@ -80,8 +80,8 @@ class HotCache(dict):
 
 
 class Generations:
-    """A cache that is filled in bulk: ``turn`` before a batch, then ``absent`` for
-    the batch's keys, which ``held`` has but for those that it returns."""
+    """A cache that is filled in bulk: ``turn`` before a batch, then ``found`` for the
+    batch's keys, after which ``held`` gets those that were absent."""
 
     def __init__(self, limit: int):
         self.limit, self.held, self.old = limit, {}, {}
@@ -90,8 +90,11 @@ class Generations:
         if len(self.held) >= self.limit:
             self.held, self.old = {}, self.held
 
-    def absent(self, keys: Iterable) -> set:
-        wanted = set(filterfalse(self.held.__contains__, keys))
-        known = {k: self.old[k] for k in wanted if k in self.old}
-        self.held.update(known)
-        return wanted.difference(known)
+    def found(self, keys: list) -> list:
+        """Values of the batch's distinct keys, looked up once; None for absent ones."""
+        held, old = self.held, self.old
+        values = list(map(held.get, keys))
+        for i in [i for i, v in enumerate(values) if v is None]:
+            if (v := old.get(keys[i])) is not None:
+                values[i] = held[keys[i]] = v
+        return values

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -168,3 +169,30 @@ def test_tokenizer_stays_with_the_worker():
     assert eliasfano.byte_bpe(BPE, 0) is first
     assert eliasfano.byte_bpe(BPE, 1) is not first
     hotcache.release()
+
+
+def test_new_words_go_to_the_model(monkeypatch):
+    """Words of letters need no other part of the tokenizer than its model."""
+    texts = ["Plain words only", "größer Ãéÿ naïve x\nBÖSE", " one"]
+    mine, sent = eliasfano.ByteBpe(BPE, 0), []
+    ids = mine._ids
+    monkeypatch.setattr(mine, "_ids", lambda t: sent.extend(t) or ids(t))
+    got = [np.frombuffer(x, mine.dtype).tolist() for x in mine.encode(texts)]
+    assert got == [LIBRARY.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert sent == ["\n"]
+    again = mine.whole.held
+    mine.whole.held, mine.whole.old = {}, again
+    assert mine.whole.found([b" only", b" none"]) == [again[b" only"], None]
+    assert mine.whole.held == {b" only": again[b" only"]}
+
+
+def test_segments_are_read_without_a_shuffle(spark, awkward, tmp_path):
+    path, limit = str(tmp_path / "s"), "spark.sql.autoBroadcastJoinThreshold"
+    eliasfano.write(awkward, "doc_id", "text", path, BPE, segment_ids=500)
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        plan = eliasfano.read(spark, path, "doc_id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(limit, before)
+    assert re.search(r"\w+Join\b", plan)[0] == "BroadcastHashJoin"
