@@ -209,20 +209,29 @@ def place(key):
 
 
 def among(keys: DataFrame, key: str):
-    """A test on ``place``: true for all of ``keys`` and by chance for some others.
+    """A bit map by ``place``: ``here`` is true for all of ``keys`` and by chance for some others.
 
-    The bit map has a fixed size. The more keys, the more others pass: what passes
+    It has a fixed size. The more keys, the more others pass: what passes
     is joined exactly, what doesn't needs no shuffle."""
     spark = keys.sparkSession
-    shared = spark.sparkContext.broadcast(bit_map(spark, keys.select(place(key).alias("position"))))
+    return spark.sparkContext.broadcast(bit_map(spark, keys.select(place(key).alias("position"))))
+
+
+def here(bits: bytes, at: np.ndarray) -> np.ndarray:
+    """Which of the places ``at`` are set."""
+    bits = np.frombuffer(bits, np.uint8)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def hit(shared):
+    """``here`` on a column. Not for rows that go on to ``mapInArrow``: a task has a
+    Python worker for each of the two, and an executor keeps them all."""
 
     @F.pandas_udf("boolean")
-    def hit(at: pd.Series) -> pd.Series:
-        at = at.to_numpy()
-        bits = np.frombuffer(shared.value, np.uint8)
-        return pd.Series((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)
+    def test(at: pd.Series) -> pd.Series:
+        return pd.Series(here(shared.value, at.to_numpy()))
 
-    return hit
+    return test
 
 
 def differences(texts: DataFrame, known: DataFrame, k: int, percent: int) -> DataFrame:
@@ -381,20 +390,22 @@ def linked_components(docs: DataFrame, key: str, text: str, k: int = 5,
 
 def texts_of(docs: DataFrame, key: str, text: str, k: int, wanted: DataFrame) -> DataFrame:
     """(node, text) of the ``wanted`` (node, rep): texts of others don't enter a shuffle."""
-    hit = among(wanted, "rep")
-    texts = (docs.select(F.col(key).alias("rep"), F.col(text).alias("text"))
-             .filter(hit(place("rep")))
-             .join(wanted.select(F.col("rep").alias("_rep")).distinct(),
-                   F.col("rep").eqNullSafe(F.col("_rep")), "left_semi"))
+    shared, kind = among(wanted, "rep"), dict(docs.dtypes)[key]
 
     @frugal
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(here(shared.value, batch["at"].to_numpy())))
             names = [digest(shingle_set(t.as_py(), k)) for t in batch["text"]]
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), batch["text"]],
-                                             ["node", "text"])
-
-    return (texts.select("text").mapInArrow(named, "node binary, text string")
+            yield pa.RecordBatch.from_arrays(
+                [batch["rep"], pa.array(names, pa.binary()), batch["text"]],
+                ["rep", "node", "text"])
+
+    texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("text"),
+                        place(F.col(key)).alias("at"))
+    return (texts.mapInArrow(named, f"rep {kind}, node binary, text string")
+            .join(wanted.select(F.col("rep").alias("_rep")).distinct(),
+                  F.col("rep").eqNullSafe(F.col("_rep")), "left_semi").select("node", "text")
             .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
 
@@ -425,22 +436,25 @@ def one_of_each(docs: DataFrame, key: str, text: str, k: int = 5, percent: int =
     # Rows without company stay as they are; only the keys of others are joined.
     shared = full.join(full.groupBy("component").agg(F.count(F.lit(1)).alias("_rows"))
                        .filter("_rows > 1"), "component", "left_semi")
-    hit = among(shared.select(F.col(key).alias("_key")), "_key")
-    stay, path = stored(stay.union(bare).filter(hit(place("_key"))), "stay")
-    of, own, copies, node = (unused(docs.columns, c) for c in ("_key", "_set", "_copies", "_node"))
+    bits = among(shared.select(F.col(key).alias("_key")), "_key")
+    stay, path = stored(stay.union(bare).filter(hit(bits)(place("_key"))), "stay")
+    of, own, copies, node, at = (unused(docs.columns, c) for c in (
+        "_key", "_set", "_copies", "_node", "_at"))
     stay = size_checked(stay, path).toDF(of, own, copies)
 
     @frugal
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(here(bits.value, batch[at].to_numpy()))).select(names)
             sets = [shingle_set(t.as_py(), k) for t in batch[text]]
             yield batch.append_column(node, pa.array(
                 [digest(s) if len(s) else None for s in sets], pa.binary()))
 
+    names, placed = docs.columns, place(F.col(key))
     schema = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    kept = docs.filter(hit(place(F.col(key)))).mapInArrow(named, f"{schema}, `{node}` binary").join(
+    kept = docs.withColumn(at, placed).mapInArrow(named, f"{schema}, `{node}` binary").join(
         stay, F.col(key).eqNullSafe(F.col(of)) & F.col(node).eqNullSafe(F.col(own)))
     single = kept.filter(F.col(copies) == 1)
     repeats = kept.filter(F.col(copies) > 1).dropDuplicates([key, node])
-    return (docs.filter(~hit(place(F.col(key)))).unionByName(single.select(*docs.columns))
+    return (docs.filter(~hit(bits)(placed)).unionByName(single.select(*docs.columns))
             .unionByName(repeats.select(*docs.columns)))

@@ -34,6 +34,8 @@ MARK = "▁"
 CACHED_SEGMENTS = 300_000
 #: Those of them that it keeps between tasks.
 KEPT_SEGMENTS = 20_000
+#: As many where ids and texts leave the worker: beside heaps that earlier stages filled.
+LEAN_SEGMENTS = 100_000
 _CUT = re.compile(f"(?<=[^{MARK}])(?={MARK})")
 
 
@@ -95,7 +97,7 @@ def merge(text: str, score: dict[str, float]) -> list[str]:
 class Encoder:
     """Ids of a segment by longest matches, compatibility and backtracking."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, cached: int):
         import ahocorasick
 
         self.model = model
@@ -114,7 +116,7 @@ class Encoder:
                                     if piece[:k] in self.known), -1)
         self.automaton.make_automaton()
         #: By one number for both ids: a tuple of texts would take thrice the memory.
-        self.fits = HotCache(self._fits, 500_000)
+        self.fits = HotCache(self._fits, cached)
 
     def _fits(self, pair: int) -> bool:
         first, second = (self.piece[i] for i in divmod(pair, self.size))
@@ -172,7 +174,7 @@ class Codec:
 
     def __init__(self, path: str, cached: int = CACHED_SEGMENTS):
         self.model = Model(path)
-        self.encoder = Encoder(self.model)
+        self.encoder = Encoder(self.model, cached * 5 // 3)
         #: By segment, without the mark that each begins with.
         self.cache = HotCache(self._encoded, cached)
         self.parts = HotCache(self._part, cached)
@@ -249,9 +251,9 @@ def _raw(text: str) -> bytes:
     return text.replace(MARK, " ").encode()
 
 
-def codec(path: str) -> Codec:
+def codec(path: str, cached: int = CACHED_SEGMENTS) -> Codec:
     """One per worker and model; it goes when another operator runs in the worker."""
-    return kept(("codec", path), lambda: Codec(path))
+    return kept(("codec", path, cached), lambda: Codec(path, cached))
 
 
 def encode_decode(docs: DataFrame, text: str, model: str) -> DataFrame:
@@ -264,7 +266,7 @@ def encode_decode(docs: DataFrame, text: str, model: str) -> DataFrame:
 
     @frugal
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = codec(model).both
+        both = codec(model, LEAN_SEGMENTS).both
         for batch in batches:
             for part in _slices(batch, text):
                 pairs = [both(t.as_py()) for t in part[text]]
@@ -274,7 +276,7 @@ def encode_decode(docs: DataFrame, text: str, model: str) -> DataFrame:
                      pa.array([x.count(" ") + 1 for x in ids], pa.int64()),
                      pa.array([p[1] for p in pairs], pa.string())],
                     [*names, "ids", "n_tokens", "decoded"])
-        codec(model).trim()
+        codec(model, LEAN_SEGMENTS).trim()
 
     return docs.mapInArrow(run, f"{schema}, ids string, n_tokens long, decoded string")
 

@@ -196,3 +196,9 @@ def test_segments_are_read_without_a_shuffle(spark, awkward, tmp_path):
     finally:
         spark.conf.set(limit, before)
     assert re.search(r"\w+Join\b", plan)[0] == "BroadcastHashJoin"
+
+
+def test_pairs_are_kept_in_proportion():
+    """A codec for a few segments holds few pairs of pieces too."""
+    assert CODEC.encoder.fits.limit == 500
+    assert spbpe.LEAN_SEGMENTS < spbpe.CACHED_SEGMENTS

@@ -594,3 +594,15 @@ def test_forest_of_names_has_the_members_of_the_deep_one(spark):
     deep, flat = (sorted(map(tuple, lshforest.with_hub(lshforest.forest(nodes, d)).select(
         "order", "region", "node", "hub").collect())) for d in (True, False))
     assert deep and deep == flat
+
+
+def test_a_task_has_one_python_worker(spark, awkward, monkeypatch):
+    """Rows tested by the bit map in Python go to no second worker of the same task."""
+    wanted = spark.createDataFrame([(b"x", 1)], "node binary, rep long")
+    frames = [lshforest.texts_of(awkward, "doc_id", "text", 5, wanted),
+              lshforest.one_of_each(awkward, "doc_id", "text")]
+    for df in frames:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        for below in plan.split("MapInArrow")[1:]:
+            assert "ArrowEvalPython" not in re.split(r":- |Scan|Exchange", below)[0]
+        assert "MapInArrow" in plan
